@@ -240,7 +240,7 @@ def score_table_native(spark, sf_dir):
     "score_table_pandas_udf",
     """
     SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
-           round(l_extendedprice * (1 - l_discount) * (1 + l_tax), 4) AS prediction
+           round(l_extendedprice * (1 - l_discount) * (1 + l_tax), 6) AS prediction
     FROM lineitem
     """,
 )
@@ -260,7 +260,7 @@ def score_table_pandas_udf(spark, sf_dir):
         "l_linenumber",
         "l_partkey",
         "l_suppkey",
-        F.round(score(packed), 4).alias("prediction"),
+        F.round(score(packed), 6).alias("prediction"),
     )
 
 
