@@ -21,6 +21,10 @@ def _squared_error(label: Column | str, prediction: Column | str) -> Column:
     return error * error
 
 
+def mean_of(col: Column | str) -> Column:
+    return F.avg(_num(col))
+
+
 def mse(label: Column | str, prediction: Column | str) -> Column:
     return F.avg(_squared_error(label, prediction))
 

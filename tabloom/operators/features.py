@@ -3,26 +3,32 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabloom.operators.joins import lookup_join
-from tabloom.session import stage
+from tabloom.session import plan_bytes
 from tabloom.sources import tables
 
+# Properties of the view readers use.
 _KEYS = "primary_keys"
 _BUCKETS = "buckets"
+_BASE = "base_table"
+_CHANGES = "changes_table"
 
 
 @dataclass(frozen=True)
 class FeatureTableSpec:
+    """A feature table is a view: base rows, and changed rows laid over them."""
+
     name: str
     primary_keys: tuple[str, ...]
     description: str
-    version: str
+    base: str
+    changes: str = ""
     buckets: int | None = None
 
 
@@ -59,25 +65,37 @@ def _require_keys(df: DataFrame, keys: Sequence[str], what: str) -> None:
         raise ValueError(f"{what} has null or repeated keys in {list(keys)}")
 
 
-def _publish(
-    spark: SparkSession,
-    name: str,
-    df: DataFrame,
-    keys: Sequence[str],
-    description: str,
-    buckets: int | None,
-) -> FeatureTableSpec:
-    """Store a version, check its keys, then point readers at it."""
-    version = tables.version_name(name)
-    tables.overwrite_table(df, version, tuple(keys), buckets)
-    try:
-        _require_keys(spark.read.table(version), keys, name)
-    except ValueError:
-        spark.sql(f"DROP TABLE {version}")
-        raise
-    properties = {_KEYS: ",".join(keys), _BUCKETS: str(buckets or 0)}
-    tables.publish_version(spark, name, version, description, properties)
-    return FeatureTableSpec(name, tuple(keys), description, version, buckets)
+def _publish(spark: SparkSession, spec: FeatureTableSpec) -> FeatureTableSpec:
+    """Point readers of the table at the stored rows named in ``spec``."""
+    if spec.changes:
+        same_key = " AND ".join(f"base.`{k}` = changed.`{k}`" for k in spec.primary_keys)
+        select = (
+            f"SELECT * FROM {spec.base} AS base LEFT ANTI JOIN {spec.changes} AS changed "
+            f"ON {same_key} UNION ALL SELECT * FROM {spec.changes}"
+        )
+    else:
+        select = f"SELECT * FROM {spec.base}"
+    properties = {
+        _KEYS: ",".join(spec.primary_keys),
+        _BUCKETS: str(spec.buckets or 0),
+        _BASE: spec.base,
+        _CHANGES: spec.changes,
+    }
+    tables.publish_view(spark, spec.name, select, spec.description, properties)
+    return spec
+
+
+def _store(spark: SparkSession, spec: FeatureTableSpec, df: DataFrame, check: bool = True) -> str:
+    """Write rows under a new table name and check their keys there."""
+    stored = tables.version_name(spec.name)
+    tables.overwrite_table(df, stored, spec.primary_keys, spec.buckets)
+    if check:
+        try:
+            _require_keys(spark.read.table(stored), spec.primary_keys, spec.name)
+        except ValueError:
+            spark.sql(f"DROP TABLE {stored}")
+            raise
+    return stored
 
 
 def create_feature_table(
@@ -91,19 +109,23 @@ def create_feature_table(
 ) -> FeatureTableSpec:
     """Create a keyed table from rows, or empty from a schema.
 
-    ``buckets`` hashes it on the keys at write time; lookups and upserts then
-    shuffle only the other side.
+    ``buckets`` hashes it on the keys at write time; key checks, lookups and
+    upserts then need no shuffle of the table.
     """
-    keys = [primary_keys] if isinstance(primary_keys, str) else list(primary_keys)
+    keys = (primary_keys,) if isinstance(primary_keys, str) else tuple(primary_keys)
     if df is None:
         if schema is None:
             raise ValueError("give the rows or a schema")
         df = spark.createDataFrame([], schema)
     elif schema is not None:
         df = df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields))
+    missing = [k for k in keys if k not in df.columns]
+    if missing:
+        raise ValueError(f"{name} lacks key columns {missing}")
     if spark.catalog.tableExists(name):
         raise ValueError(f"feature table {name} exists")
-    return _publish(spark, name, df, keys, description, buckets)
+    spec = FeatureTableSpec(name, keys, description, base="", changes="", buckets=buckets)
+    return _publish(spark, replace(spec, base=_store(spark, spec, df)))
 
 
 def feature_table_spec(spark: SparkSession, name: str) -> FeatureTableSpec:
@@ -112,45 +134,72 @@ def feature_table_spec(spark: SparkSession, name: str) -> FeatureTableSpec:
         name=name,
         primary_keys=tuple(props[_KEYS].split(",")),
         description=tables.table_comment(spark, name),
-        version=props["version_table"],
+        base=props[_BASE],
+        changes=props[_CHANGES],
         buckets=int(props[_BUCKETS]) or None,
     )
 
 
 def write_feature_table(
-    spark: SparkSession, name: str, df: DataFrame, mode: str = "merge"
+    spark: SparkSession,
+    name: str,
+    df: DataFrame,
+    mode: str = "merge",
+    compact_share: float = 0.1,
 ) -> FeatureTableSpec:
     """Upsert rows by primary key (``merge``) or replace all rows (``overwrite``).
 
-    The new state is stored beside the old one and published in one step.  A
-    small source is broadcast for the anti join by Spark's size rule; keys are
-    unique on both sides, so a shuffled join cannot be skewed.
+    An upsert leaves the base rows alone: changed rows are kept in a table of
+    their own, which readers put over the base by an anti join on the key.  It
+    costs what the changes cost, not what the table costs.  Once the changes
+    outgrow ``compact_share`` of the base, both are written anew as one.
+    Keys are unique on both sides, so no join here can be skewed.
     """
     spec = feature_table_spec(spark, name)
-    keys = list(spec.primary_keys)
-    target = spark.read.table(spec.version)
+    base = spark.read.table(spec.base)
+    if set(df.columns) != set(base.columns):
+        raise ValueError(f"columns of the source and of {name} differ")
+    source = df.select(*(F.col(f.name).cast(f.dataType) for f in base.schema.fields))
     if mode == "overwrite":
-        merged = df
-    elif mode == "merge":
-        if set(df.columns) != set(target.columns):
-            raise ValueError(f"columns of the source and of {name} differ")
-        # One evaluation serves the key check and the write.
-        source = stage(df.select(*target.columns), "upsert-source")
-        _require_keys(source, keys, "upsert source")
-        kept = target.join(source.select(*keys), keys, "left_anti")
-        merged = kept.unionByName(source)
-        merged = merged.select(*(F.col(f.name).cast(f.dataType) for f in target.schema.fields))
-    else:
+        stored = _store(spark, spec, source)
+        return _publish(spark, replace(spec, base=stored, changes=""))
+    if mode != "merge":
         raise ValueError(f"unknown mode {mode}")
-    published = _publish(spark, name, merged, keys, spec.description, spec.buckets)
-    return published
+    stored = _store(spark, spec, source)
+    changes = spark.read.table(stored)
+    if changes.isEmpty():
+        spark.sql(f"DROP TABLE {stored}")
+        return spec
+    if spec.changes:
+        # Both parts have unique keys and share none: nothing is left to check.
+        kept = spark.read.table(spec.changes).join(
+            changes.select(*spec.primary_keys), list(spec.primary_keys), "left_anti"
+        )
+        stored = _store(spark, spec, kept.select(*base.columns).unionByName(changes), check=False)
+    merged = _publish(spark, replace(spec, changes=stored))
+    if plan_bytes(spark.read.table(stored)) > compact_share * plan_bytes(base):
+        merged = compact_feature_table(spark, name)
+    return merged
+
+
+def compact_feature_table(spark: SparkSession, name: str) -> FeatureTableSpec:
+    """Write base and changed rows as one new base."""
+    spec = feature_table_spec(spark, name)
+    stored = _store(spark, spec, spark.read.table(name), check=False)
+    return _publish(spark, replace(spec, base=stored, changes=""))
+
+
+def drop_superseded(spark: SparkSession, old: FeatureTableSpec) -> None:
+    """Free the stored rows of an earlier state once nothing reads them any more."""
+    current = feature_table_spec(spark, old.name)
+    for stored in {old.base, old.changes} - {current.base, current.changes, ""}:
+        spark.sql(f"DROP TABLE IF EXISTS {stored}")
 
 
-def drop_old_version(spark: SparkSession, spec: FeatureTableSpec) -> None:
-    """Free a superseded version once nothing reads it any more."""
-    if feature_table_spec(spark, spec.name).version == spec.version:
-        raise ValueError(f"{spec.version} is the current version of {spec.name}")
-    spark.sql(f"DROP TABLE IF EXISTS {spec.version}")
+def _looked_up(
+    lookup: FeatureLookup, spec: FeatureTableSpec, columns: Sequence[str]
+) -> list[str]:
+    return [n for n in (lookup.feature_names or columns) if n not in spec.primary_keys]
 
 
 def apply_lookups(df: DataFrame, lookups: Iterable[FeatureLookup]) -> DataFrame:
@@ -167,9 +216,7 @@ def apply_lookups(df: DataFrame, lookups: Iterable[FeatureLookup]) -> DataFrame:
         given = [given] if isinstance(given, str) else list(given)
         if len(given) != len(keys):
             raise ValueError(f"{lookup.table} has keys {keys}, lookup gives {given}")
-        names = [
-            n for n in (lookup.feature_names or table.columns) if n not in keys
-        ]
+        names = _looked_up(lookup, spec, table.columns)
         clash = [n for n in names if n in df.columns]
         if clash:
             raise ValueError(f"features {clash} of {lookup.table} are already in the frame")
@@ -196,7 +243,13 @@ class TrainingSet:
 
     @property
     def feature_names(self) -> list[str]:
-        return [c for c in self.load_df().columns if c != self.label]
+        """Columns a model may train on, known without planning the joins."""
+        spark = self.df.sparkSession
+        names = list(self.df.columns)
+        for lookup in self.lookups:
+            spec = feature_table_spec(spark, lookup.table)
+            names += _looked_up(lookup, spec, spark.read.table(lookup.table).columns)
+        return [c for c in names if c != self.label and c not in self.excluded]
 
     @property
     def recipe(self) -> list[dict]:

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabloom.operators.joins import hot_key_hashes
 from tabloom.session import stage
 
 # monotonically_increasing_id keeps the row's position in its task in the low 33 bits.
@@ -41,22 +42,28 @@ def _partition_offsets(totals: DataFrame, groups: Sequence[str], sums: Sequence[
 def dense_row_id(df: DataFrame, id_col: str, order_by: Sequence[str]) -> DataFrame:
     """Ids 0..n-1 in the order of ``order_by``, the same for any partitioning.
 
-    The remaining columns break ties by hash, which also splits a key shared by
-    very many rows over several partitions; rows equal in every column are
-    interchangeable and are spread at random.
+    Rows with equal keys are ordered by a hash of their other columns, which
+    also lets a key shared by very many rows span partitions.  Where such a key
+    exists, rows are numbered and stored first, so that even rows equal in every
+    column (which may trade places) need not meet in one task; the number is
+    stored because one drawn anew on a retry could lose or repeat rows.
     """
-    rest = [c for c in df.columns if c not in set(order_by)]
-    ties = [F.xxhash64(*rest).alias("__tie")] if rest else []
-    order = [*(F.col(c) for c in order_by), *(F.col("__tie") for _ in ties), F.col("__spread")]
+    columns = df.columns
+    rest = [c for c in columns if c not in set(order_by)]
+    order = list(order_by)
+    if rest:
+        df = df.withColumn("__tie", F.xxhash64(*rest))
+        order.append("__tie")
+    if hot_key_hashes(df, order_by):
+        df = stage(df.withColumn("__spread", F.monotonically_increasing_id()), "row-id-input")
+        order.append("__spread")
     placed = (
-        df.select("*", *ties, F.rand(0).alias("__spread"))
-        .repartitionByRange(*order)
+        df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
-        .withColumn("__mid", F.monotonically_increasing_id())
-        .drop("__tie", "__spread")
+        .select(*columns, F.monotonically_increasing_id().alias("__mid"))
     )
     staged = stage(placed, "row-id").select(
-        *df.columns,
+        *columns,
         F.shiftright("__mid", _POSITION_BITS).alias(_PART),
         F.col("__mid").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)).alias(_POS),
     )
@@ -64,7 +71,7 @@ def dense_row_id(df: DataFrame, id_col: str, order_by: Sequence[str]) -> DataFra
     # One row per shuffle partition: bounded by configuration, not by the data.
     offsets = F.broadcast(_partition_offsets(counts, [], ["n"]))
     return staged.join(offsets, _PART).select(
-        *df.columns, (F.col(_POS) + F.col(f"{_OFFSET}_n")).alias(id_col)
+        *columns, (F.col(_POS) + F.col(f"{_OFFSET}_n")).alias(id_col)
     )
 
 

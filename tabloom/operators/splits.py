@@ -56,7 +56,8 @@ def exact_split(
     ranked = dense_row_id(
         df.withColumn(digest, key_digest(seed, *key)), rank, [digest, *key]
     )
-    n = df.count()
+    # Taken from the ranked rows themselves, so that both come from one evaluation.
+    n = ranked.agg(F.coalesce(F.max(rank) + 1, F.lit(0))).first()[0]
     cuts = [(name, floor(n * upper + 1e-9)) for name, upper in _cut_points(weights)]
     return ranked.withColumn(output, _choose(F.col(rank), cuts)).drop(digest, rank)
 

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from itertools import product
 from math import sqrt
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.functions.hashing import hash01
-from tabloom.session import shared_dir
+from tabloom.session import cached, shared_dir
 
 # The grid and the search space this toolkit has to reproduce.
 BOOSTING_GRID = {"maxDepth": [2, 5], "maxIter": [10, 100]}
@@ -138,11 +138,8 @@ def cross_validate(
         parallelism=parallelism,
         seed=0,
     )
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        fitted = validator.fit(cached)
-    finally:
-        cached.unpersist()
+    with cached(df) as rows:
+        fitted = validator.fit(rows)
     rows = [
         (i, {k: str(v) for k, v in point.items()}, float(metric))
         for i, (point, metric) in enumerate(
@@ -181,19 +178,16 @@ def sweep(
     The threads only submit jobs; each fit is a distributed Spark ML fit.
     """
     shared_dir(train.sparkSession)
-    cached = train.persist(StorageLevel.MEMORY_AND_DISK)
+    with cached(train) as rows:
 
-    def run(numbered: tuple[int, dict]) -> Trial:
-        number, params = numbered
-        model = build(params).fit(cached)
-        return Trial(number, params, model, measure(model))
+        def run(numbered: tuple[int, dict]) -> Trial:
+            number, params = numbered
+            model = build(params).fit(rows)
+            return Trial(number, params, model, measure(model))
 
-    try:
         with ThreadPoolExecutor(parallelism or default_parallelism(len(trials))) as pool:
             task = inheritable_thread_target(train.sparkSession)(run)
             return list(pool.map(task, enumerate(trials)))
-    finally:
-        cached.unpersist()
 
 
 def best_trial(trials: Sequence[Trial], metric: str) -> Trial:

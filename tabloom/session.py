@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -45,6 +48,33 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def cached(df: DataFrame) -> Iterator[DataFrame]:
+    """Keep a frame in memory, spilling to disk, while several jobs read it."""
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
+
+
+def scale_settings(input_bytes: int, task_bytes: int = 128 << 20) -> dict[str, str]:
+    """Session settings for an input of a given size.
+
+    Shuffles start with about ``task_bytes`` of input per partition and adaptive
+    execution merges what turns out smaller; skewed partitions are split.
+    """
+    partitions = max(8, -(-input_bytes // task_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(min(partitions, 100_000)),
+        "spark.sql.files.maxPartitionBytes": str(task_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(task_bytes),
+    }
+
+
 def plan_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate for ``df``."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

@@ -18,7 +18,6 @@ class SavedModel:
     pipeline: PipelineModel
     signature: T.StructType
     recipe: list[dict] = field(default_factory=list)
-    excluded: list[str] = field(default_factory=list)
 
 
 def save_model(
@@ -26,7 +25,6 @@ def save_model(
     path: str,
     signature: T.StructType,
     recipe: list[dict] | None = None,
-    excluded: list[str] | None = None,
     spark: SparkSession | None = None,
 ) -> None:
     """Write a fitted pipeline (or a single fitted stage) below ``path``."""
@@ -34,7 +32,7 @@ def save_model(
     if not isinstance(model, PipelineModel):
         model = PipelineModel([model])
     model.write().overwrite().save(f"{path}/model")
-    meta = {"signature": signature.jsonValue(), "recipe": recipe or [], "excluded": excluded or []}
+    meta = {"signature": signature.jsonValue(), "recipe": recipe or []}
     spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1).write.mode(
         "overwrite"
     ).text(f"{path}/meta")
@@ -46,5 +44,4 @@ def load_model(spark: SparkSession, path: str) -> SavedModel:
         pipeline=PipelineModel.load(f"{path}/model"),
         signature=T.StructType.fromJson(meta["signature"]),
         recipe=meta["recipe"],
-        excluded=meta["excluded"],
     )

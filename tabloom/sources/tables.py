@@ -1,4 +1,4 @@
-"""Catalog tables, and versions of a table published behind a view."""
+"""Catalog tables, and stored rows published behind a view."""
 
 from __future__ import annotations
 
@@ -51,24 +51,21 @@ def quoted(text: str) -> str:
 
 
 def version_name(name: str) -> str:
-    """Name for the next stored version of ``name``."""
+    """Unused table name for another stored version of ``name``."""
     return f"{name}__v{uuid.uuid4().hex[:12]}"
 
 
-def publish_version(
-    spark: SparkSession, name: str, version: str, comment: str, properties: dict[str, str]
+def publish_view(
+    spark: SparkSession, name: str, select: str, comment: str, properties: dict[str, str]
 ) -> None:
-    """Point the view ``name`` at a stored version.
+    """Point the view ``name`` at stored rows.
 
     One catalog statement moves readers over.  Queries already running keep the
-    version they started with, and the view passes the version's bucketing on.
+    rows they started with, and bucketing of the stored rows shows through.
     """
-    props = ", ".join(
-        f"{quoted(k)} = {quoted(v)}" for k, v in {**properties, "version_table": version}.items()
-    )
+    props = ", ".join(f"{quoted(k)} = {quoted(v)}" for k, v in properties.items())
     spark.sql(
-        f"CREATE OR REPLACE VIEW {name} COMMENT {quoted(comment)} "
-        f"TBLPROPERTIES ({props}) AS SELECT * FROM {version}"
+        f"CREATE OR REPLACE VIEW {name} COMMENT {quoted(comment)} TBLPROPERTIES ({props}) AS {select}"
     )
 
 
