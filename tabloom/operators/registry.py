@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Sequence
 from datetime import datetime, timezone
 
 from pyspark.ml.util import MLWritable
@@ -249,9 +250,9 @@ class ModelRegistry:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.table(f"{self.schema}.{name}")
 
-    def _append(self, table: str, *row: object) -> None:
+    def _append(self, table: str, *rows: tuple) -> None:
         schema = T.StructType.fromDDL(SCHEMAS[table])
-        frame = self.spark.createDataFrame([row], schema).coalesce(1)
+        frame = self.spark.createDataFrame(list(rows), schema).coalesce(1)
         frame.write.mode("append").insertInto(f"{self.schema}.{table}")
 
     def append_runs(self, runs: DataFrame) -> None:
@@ -259,6 +260,25 @@ class ModelRegistry:
         columns = [f.name for f in T.StructType.fromDDL(SCHEMAS["runs"]).fields]
         runs.select(*columns).write.mode("append").insertInto(f"{self.schema}.runs")
 
+    def log_runs(self, runs: Sequence[dict]) -> list[str]:
+        """Append runs in one write; each is a set of ``log_run`` arguments."""
+        ids = [uuid.uuid4().hex for _ in runs]
+        now = datetime.now(timezone.utc).replace(tzinfo=None)
+        rows = [
+            (
+                run_id,
+                run["run_name"],
+                run.get("parent_run_id"),
+                now,
+                {k: str(v) for k, v in (run.get("params") or {}).items()},
+                {k: float(v) for k, v in (run.get("metrics") or {}).items() if v is not None},
+                dict(run.get("artifacts") or {}),
+            )
+            for run_id, run in zip(ids, runs, strict=True)
+        ]
+        self._append("runs", *rows)
+        return ids
+
     def log_run(
         self,
         run_name: str,
@@ -267,18 +287,15 @@ class ModelRegistry:
         artifacts: dict[str, str] | None = None,
         parent_run_id: str | None = None,
     ) -> str:
-        run_id = uuid.uuid4().hex
-        self._append(
-            "runs",
-            run_id,
-            run_name,
-            parent_run_id,
-            datetime.now(timezone.utc).replace(tzinfo=None),
-            {k: str(v) for k, v in (params or {}).items()},
-            {k: float(v) for k, v in (metrics or {}).items()},
-            artifacts or {},
-        )
-        return run_id
+        """Append one run; ``artifacts`` maps artifact names to stored paths."""
+        run = {
+            "run_name": run_name,
+            "params": params,
+            "metrics": metrics,
+            "artifacts": artifacts,
+            "parent_run_id": parent_run_id,
+        }
+        return self.log_runs([run])[0]
 
     def store_model(
         self,
@@ -318,28 +335,28 @@ class ModelRegistry:
         version = row["next_version"] if row else 1
         run_id = target["name"] if target["kind"] == "run" else None
         self._append(
-            "model_versions", time.time_ns(), name, version, run_id, target["model_path"]
+            "model_versions", (time.time_ns(), name, version, run_id, target["model_path"])
         )
         return version
 
     def set_alias(self, name: str, alias: str, version: int) -> None:
-        self._append("aliases", time.time_ns(), name, alias, int(version))
+        self._append("aliases", (time.time_ns(), name, alias, int(version)))
 
     def delete_alias(self, name: str, alias: str) -> None:
-        self._append("aliases", time.time_ns(), name, alias, None)
+        self._append("aliases", (time.time_ns(), name, alias, None))
 
     def set_tag(self, name: str, key: str, value: str, version: int | None = None) -> None:
-        self._append("tags", time.time_ns(), name, version and int(version), key, value)
+        self._append("tags", (time.time_ns(), name, version and int(version), key, value))
 
     def set_stage(self, name: str, version: int, stage: str) -> None:
-        self._append("stages", time.time_ns(), name, int(version), stage)
+        self._append("stages", (time.time_ns(), name, int(version), stage))
 
     def delete_version(self, name: str, version: int) -> None:
-        self._append("deletions", time.time_ns(), name, int(version))
+        self._append("deletions", (time.time_ns(), name, int(version)))
 
     def delete_model(self, name: str) -> None:
         """Delete a model with all its versions; doing it twice does no harm."""
-        self._append("deletions", time.time_ns(), name, None)
+        self._append("deletions", (time.time_ns(), name, None))
 
     def _resolve(self, uri: str):
         found = resolve_uris(

@@ -119,10 +119,19 @@ def tune(
 
     parent = registry.log_run("boosted_models", {"max_evals": max_evals})
     signature = scoring.infer_signature(split, features)
+    runs = []
     for trial in done:
         model = PipelineModel([*prepare_features.stages, trial.model])
-        path = registry.store_model(model, signature)
-        registry.log_run("boosted_model", trial.params, trial.metrics, {"model": path}, parent)
+        runs.append(
+            {
+                "run_name": "boosted_model",
+                "params": trial.params,
+                "metrics": trial.metrics,
+                "artifacts": {"model": registry.store_model(model, signature)},
+                "parent_run_id": parent,
+            }
+        )
+    registry.log_runs(runs)
     return parent
 
 
