@@ -21,7 +21,9 @@ from tabloom.session import shared_dir
 MAX_DEPTH = 30
 
 # The model settings this toolkit has to reproduce.
-FOREST_REGRESSOR = {"maxDepth": 3, "numTrees": 20, "seed": 42}
+FOREST_REGRESSOR = {
+    "maxDepth": 3, "numTrees": 20, "seed": 42, "featureSubsetStrategy": "all"
+}
 TREE_CLASSIFIER = {"maxDepth": 4, "seed": 42}
 FOREST_CLASSIFIER = {"maxDepth": 4, "numTrees": 100, "seed": 42}
 FOREST_CLASSIFIER_EXERCISE = {"maxDepth": 10, "numTrees": 50, "seed": 42}

@@ -328,15 +328,12 @@ class ModelRegistry:
 
     def register_model(self, run_uri: str, name: str) -> int:
         """Make a run's model the next version of ``name``."""
-        target = self._resolve(run_uri)
+        run_id, path = self._resolve(run_uri)
         # A deleted version's number is not handed out again while the model lives.
         used = after_model_deletion(self.table("model_versions"), self.table("deletions"))
         row = next_versions(used.where(F.col("name") == name)).first()
         version = row["next_version"] if row else 1
-        run_id = target["name"] if target["kind"] == "run" else None
-        self._append(
-            "model_versions", (time.time_ns(), name, version, run_id, target["model_path"])
-        )
+        self._append("model_versions", (time.time_ns(), name, version, run_id, path))
         return version
 
     def set_alias(self, name: str, alias: str, version: int) -> None:
@@ -358,21 +355,40 @@ class ModelRegistry:
         """Delete a model with all its versions; doing it twice does no harm."""
         self._append("deletions", (time.time_ns(), name, None))
 
-    def _resolve(self, uri: str):
-        found = resolve_uris(
-            self.spark.createDataFrame([(uri,)], "uri string"),
-            self.versions(),
-            self._current("aliases"),
-            self._current("stages"),
-            self.table("runs"),
-        ).first()
-        if found["model_path"] is None:
+    def _resolve(self, uri: str) -> tuple[str | None, str]:
+        """Run id (for a run's address) and stored path.
+
+        Like ``resolve_uris`` for one address: the name is filtered on before
+        anything is folded, and only the table the address needs is read.
+        """
+        asked = parse_uris(self.spark.range(1).select(F.lit(uri).alias("uri"))).first()
+        kind, name, selector = asked["kind"], asked["name"], asked["selector"]
+        if kind == "run":
+            run = self.table("runs").where(F.col("run_id") == name).select("artifacts").first()
+            path = run["artifacts"].get(selector) if run else None
+        elif kind is None:
+            path = None
+        else:
+            named = F.col("name") == name
+            found = self.versions().where(named)
+            if kind == "version":
+                found = found.where(F.col("version") == int(selector))
+            else:
+                if kind == "alias":
+                    events = self._current("aliases").where(named)
+                    held = current_aliases(events).where(F.col("alias") == selector)
+                else:
+                    events = self._current("stages").where(named)
+                    held = current_stages(events).where(F.lower("stage") == selector)
+                found = found.join(held.select("name", "version"), ["name", "version"], "left_semi")
+            path = found.agg(F.max_by("model_path", F.struct("version", "seq"))).first()[0]
+        if path is None:
             raise LookupError(f"nothing is registered as {uri}")
-        return found
+        return (name if kind == "run" else None), path
 
     def resolve(self, uri: str) -> str:
         """Stored path of the model behind an address."""
-        return self._resolve(uri)["model_path"]
+        return self._resolve(uri)[1]
 
     def load(self, uri: str) -> SavedModel:
         return load_model(self.spark, self.resolve(uri))
