@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.operators.stages import assembler, category_indexer
-from tabloom.session import shared_dir
+from tabloom.session import iterated, shared_dir
 
 # Spark's trees stop at this depth.
 MAX_DEPTH = 30
@@ -86,9 +86,25 @@ def pipeline(
 
 
 def fit(df: DataFrame, stages: Pipeline) -> PipelineModel:
-    """Fit with a checkpoint folder in place: boosting cuts its lineage there."""
+    """Fit with a checkpoint folder in place: boosting cuts its lineage there.
+
+    Only the columns that the stages name are kept for the fit.
+    """
     shared_dir(df.sparkSession)
-    return stages.fit(df)
+    used = _input_columns(stages)
+    with iterated(df.select(*(c for c in df.columns if c in used))) as rows:
+        return stages.fit(rows)
+
+
+def _input_columns(stages: Pipeline) -> set[str]:
+    used: set[str] = set()
+    for s in stages.getStages():
+        for name in ("inputCol", "labelCol", "featuresCol", "weightCol", "validationIndicatorCol"):
+            if s.hasParam(name) and s.isDefined(name):
+                used.add(s.getOrDefault(name))
+        if s.hasParam("inputCols") and s.isDefined("inputCols"):
+            used.update(s.getOrDefault("inputCols"))
+    return used
 
 
 def feature_importance(df: DataFrame, model: PipelineModel, features: Sequence[str]) -> DataFrame:

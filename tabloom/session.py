@@ -58,6 +58,25 @@ def cached(df: DataFrame) -> Iterator[DataFrame]:
         kept.unpersist()
 
 
+# Input per core up to which moving all of it around is cheap beside repeated passes.
+_SMALL_PER_CORE = 128 << 20
+
+
+@contextmanager
+def iterated(df: DataFrame) -> Iterator[DataFrame]:
+    """A frame that an iterative fit is about to read many times.
+
+    A small input, often one file and so one task, is spread over the cores and
+    kept; a large one has tasks enough and is left where it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if input_bytes(df) > cores * _SMALL_PER_CORE:
+        yield df
+        return
+    with cached(df.repartition(cores)) as kept:
+        yield kept
+
+
 def scale_settings(input_bytes: int, task_bytes: int = 128 << 20) -> dict[str, str]:
     """Session settings for an input of a given size.
 
@@ -80,6 +99,15 @@ def plan_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Size of everything ``df`` reads; unlike ``plan_bytes`` not inflated by joins."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves().iterator()
+    total = 0
+    while leaves.hasNext():
+        total += int(str(leaves.next().stats().sizeInBytes()))
+    return total
+
+
 def broadcast_limit(spark: SparkSession) -> int:
     """Size in bytes up to which Spark itself chooses a broadcast join."""
     text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").strip().lower()
