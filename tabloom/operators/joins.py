@@ -11,17 +11,17 @@ from tabloom.session import broadcast_limit, plan_bytes
 
 # A key is hot when it alone holds this share of the rows: there are at most
 # 1/HOT_SHARE such keys, which bounds what the hot side broadcasts.
-HOT_SHARE = 0.01
+HOT_SHARE = 0.001
 _TRACKED_KEYS = 10_000
 
 
-def hot_key_hashes(df: DataFrame, keys: Sequence[str]) -> list[int]:
-    """Hashes of keys holding at least ``HOT_SHARE`` of the rows (a bounded list).
+def hot_key_hashes(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> list[int]:
+    """Hashes of keys holding at least ``share`` of the rows (at most 1/share of them).
 
     One pass over the key columns with a bounded summary; a summary's errors
-    only change which way a row is joined, never the result.
+    only change which way a row is handled, never the result.
     """
-    most = int(1 / HOT_SHARE)
+    most = round(1 / share)
     found = (
         df.select(F.xxhash64(*keys).alias("h"))
         .agg(
@@ -30,18 +30,24 @@ def hot_key_hashes(df: DataFrame, keys: Sequence[str]) -> list[int]:
         )
         .first()
     )
-    return [t["item"] for t in found["top"] or [] if t["count"] >= HOT_SHARE * found["n"]]
+    return [t["item"] for t in found["top"] or [] if t["count"] >= share * found["n"]]
 
 
-def lookup_join(df: DataFrame, features: DataFrame, keys: Sequence[str]) -> DataFrame:
+def lookup_join(
+    df: DataFrame,
+    features: DataFrame,
+    keys: Sequence[str],
+    small_bytes: int | None = None,
+) -> DataFrame:
     """Left join to a frame whose ``keys`` are unique; every row of ``df`` is kept.
 
-    A small feature side is broadcast by Spark's own size rule.  A large one is
-    shuffled, and rows with a hot key are joined apart, to the few feature rows
-    they can match, so that no task receives all rows of one key.
+    A small feature side is left to Spark, whose own size rule (the default of
+    ``small_bytes``) broadcasts it.  A large one is shuffled, and rows with a hot
+    key are joined apart, to the few feature rows they can match, so that no
+    task receives all rows of one key.
     """
     keys = list(keys)
-    limit = broadcast_limit(df.sparkSession)
+    limit = broadcast_limit(df.sparkSession) if small_bytes is None else small_bytes
     if plan_bytes(features) <= limit:
         return df.join(features, keys, "left")
     hot = hot_key_hashes(df, keys)

@@ -21,6 +21,9 @@ from tabloom.session import stage
 _POSITION_BITS = 33
 _PART, _POS, _OFFSET = "__part", "__pos", "__offset"
 
+# A sort key holding this share of the rows would crowd a range partition.
+_HOT_ORDER_SHARE = 0.01
+
 # Up to this many rows, one task may sort a whole group.
 SMALL_GROUP_ROWS = 1_000_000
 
@@ -54,7 +57,7 @@ def dense_row_id(df: DataFrame, id_col: str, order_by: Sequence[str]) -> DataFra
     if rest:
         df = df.withColumn("__tie", F.xxhash64(*rest))
         order.append("__tie")
-    if hot_key_hashes(df, order_by):
+    if hot_key_hashes(df, order_by, _HOT_ORDER_SHARE):
         df = stage(df.withColumn("__spread", F.monotonically_increasing_id()), "row-id-input")
         order.append("__spread")
     placed = (

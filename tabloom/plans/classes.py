@@ -25,14 +25,14 @@ def standard_candidates(label_index: str = "label_index") -> list[Candidate]:
     tree, forest = models.TREE_CLASSIFIER, models.FOREST_CLASSIFIER
     return [
         Candidate(
-            "untuned_decision_tree",
-            "decision_tree_model",
+            "shallow_tree",
+            "tree",
             models.tree_classifier(label_index),
             {"max_depth": tree["maxDepth"], "model_type": "tree", "random_state": tree["seed"]},
         ),
         Candidate(
-            "untuned_random_forest",
-            "random_forest_model",
+            "shallow_forest",
+            "forest",
             models.forest_classifier(label_index),
             {
                 "max_depth": forest["maxDepth"],

@@ -62,12 +62,12 @@ def train_baseline(
     area = _auc(test, model, label)
     path = registry.store_model(model, scoring.infer_signature(split, features))
     run_id = registry.log_run(
-        "untuned_random_forest",
+        "baseline_forest",
         {"n_estimators": forest.getNumTrees()},
         {"auc": area},
-        {"random_forest_model": path},
+        {"model": path},
     )
-    version = registry.register_model(f"runs:/{run_id}/random_forest_model", model_name)
+    version = registry.register_model(f"runs:/{run_id}/model", model_name)
     registry.set_tag(model_name, "task", "classification")
     registry.set_tag(model_name, "validation_status", "approved", version)
     registry.set_alias(model_name, "champion", version)

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from tabloom.functions.hashing import real_time_measurement
 from tabloom.operators import features, models, scoring
 from tabloom.operators.features import FeatureLookup
-from tabloom.queries.base import hash01_sql, load, query, work_schema
+from tabloom.operators.joins import lookup_join
+from tabloom.queries.base import SQL, hash01_sql, load, query, work_schema
 from tabloom.session import scratch_path
 from tabloom.sources.models import load_model, save_model
 
@@ -21,6 +22,14 @@ def _part_features(spark, sf_dir, schema):
     return name
 
 
+def _part_changes(spark, sf_dir):
+    part = load(spark, sf_dir, "part")
+    stored = ["p_partkey", "p_size", "p_retailprice", "p_brand"]
+    changed = part.where("p_type = 'ECONOMY'").withColumn("p_size", F.col("p_size") + 100)
+    added = part.where("p_type = 'PROMO'").withColumn("p_partkey", -F.col("p_partkey") - 1)
+    return changed.select(*stored).unionByName(added.select(*stored))
+
+
 def _supplier_features(spark, sf_dir, schema):
     name = f"{schema}.supplier_features"
     supplier = load(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey", "s_acctbal")
@@ -143,16 +152,45 @@ def score_batch_lookup(spark, sf_dir):
 def feature_table_upsert(spark, sf_dir):
     """Changed rows replace theirs, new keys are added."""
     table = _part_features(spark, sf_dir, work_schema(spark))
-    part = load(spark, sf_dir, "part")
-    stored = ["p_partkey", "p_size", "p_retailprice", "p_brand"]
-    changed = part.where("p_type = 'ECONOMY'").withColumn("p_size", F.col("p_size") + 100)
-    added = part.where("p_type = 'PROMO'").withColumn("p_partkey", -F.col("p_partkey") - 1)
+    features.write_feature_table(spark, table, _part_changes(spark, sf_dir))
+    return spark.read.table(table)
+
+
+_UPSERT_SQL = SQL["feature_table_upsert"]
+
+
+@query("feature_table_upsert_layered", _UPSERT_SQL)
+def feature_table_upsert_layered(spark, sf_dir):
+    """The same, read while the changes still lie over an untouched base."""
+    schema = work_schema(spark)
+    table = _part_features(spark, sf_dir, schema)
     features.write_feature_table(
-        spark, table, changed.select(*stored).unionByName(added.select(*stored))
+        spark, table, _part_changes(spark, sf_dir), compact_share=float("inf")
     )
     return spark.read.table(table)
 
 
+@query(
+    "training_set_lookup_skewed",
+    """
+    WITH kinds AS (
+      SELECT event_type, count(*) AS n_events, round(avg(value), 6) AS mean_value
+      FROM events GROUP BY event_type
+    )
+    SELECT event_id, event_type, user_id, n_events, mean_value
+    FROM events LEFT JOIN kinds USING (event_type)
+    """,
+)
+def training_set_lookup_skewed(spark, sf_dir):
+    """Keys that each hold a fifth of the rows, joined apart as if no side were small."""
+    events = load(spark, sf_dir, "events")
+    kinds = events.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n_events"), F.round(F.avg("value"), 6).alias("mean_value")
+    )
+    rows = events.select("event_id", "event_type", "user_id")
+    return lookup_join(rows, kinds, ["event_type"], small_bytes=0)
+
+
 @query(
     "primary_key_violations",
     """

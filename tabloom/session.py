@@ -36,6 +36,9 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/tabloom/{label}-{uuid.uuid4().hex}"
 
 
+_staged: list[str] = []
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -45,9 +48,23 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
+    _staged.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Delete on leaving what operators staged inside; write results out before."""
+    before = len(_staged)
+    try:
+        yield
+    finally:
+        for path in _staged[before:]:
+            location = spark._jvm.org.apache.hadoop.fs.Path(path)
+            location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
+        del _staged[before:]
+
+
 @contextmanager
 def cached(df: DataFrame) -> Iterator[DataFrame]:
     """Keep a frame in memory, spilling to disk, while several jobs read it."""
