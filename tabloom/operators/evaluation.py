@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.operators.ordering import SMALL_GROUP_ROWS, running_sums
+from tabloom.operators.ordering import SMALL_GROUP_ROWS, running_sums, stage_in_order
 
 
 def evaluate(df: DataFrame, metrics: dict[str, Column], by: Sequence[str] = ()) -> DataFrame:
@@ -33,7 +33,8 @@ def auc(
     tied = known.groupBy(*by, F.col(score).cast("double").alias("__score")).agg(
         F.count_if(positive).alias("__pos"), F.count_if(~positive).alias("__neg")
     )
-    ranked = running_sums(tied, ["__score"], {"__neg_upto": "__neg"}, by, small_rows)
+    staged = stage_in_order(tied, ["__score"], by)
+    ranked = running_sums(staged, ["__score"], {"__neg_upto": "__neg"}, by, small_rows)
     # Pairs won by the positives at this score: negatives below, plus half of those level.
     won = F.col("__pos").cast("double") * (
         F.col("__neg_upto").cast("double") - F.col("__neg").cast("double") / 2

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from tabloom.operators.joins import hot_key_hashes
 from tabloom.session import stage
@@ -78,8 +79,20 @@ def dense_row_id(df: DataFrame, id_col: str, order_by: Sequence[str]) -> DataFra
     )
 
 
+def stage_in_order(
+    df: DataFrame, order_by: Sequence[str], group_by: Sequence[str] = ()
+) -> DataFrame:
+    """Range-partition by group and order, remember each row's partition, store once.
+
+    ``df`` should already be aggregated to distinct (group, order) rows: equal
+    keys cannot be split over partitions.
+    """
+    ranged = df.repartitionByRange(*group_by, *order_by)
+    return stage(ranged.withColumn(_PART, F.spark_partition_id()), "ordered")
+
+
 def running_sums(
-    df: DataFrame,
+    staged: DataFrame,
     order_by: Sequence[str],
     sums: dict[str, str],
     group_by: Sequence[str] = (),
@@ -87,39 +100,33 @@ def running_sums(
 ) -> DataFrame:
     """Add inclusive running sums ``{output: input}`` in ``order_by`` order per group.
 
-    ``df`` should already be aggregated to distinct (group, order) rows: equal
-    keys cannot be split over partitions.
+    ``staged`` comes from ``stage_in_order`` with the same order and groups.  Up
+    to ``small_rows`` rows in all, a plain window per group does.
     """
     groups = list(group_by)
-    staged = stage(
-        df.repartitionByRange(*groups, *order_by).withColumn(_PART, F.spark_partition_id()),
-        "running-sums",
-    )
+    columns = [c for c in staged.columns if c != _PART]
+
+    def upto(*keys: str) -> WindowSpec:
+        window = Window.partitionBy(*keys).orderBy(*order_by)
+        return window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
     if staged.count() <= small_rows:
-        window = (
-            Window.partitionBy(*groups)
-            .orderBy(*order_by)
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        )
         return staged.select(
-            *df.columns, *(F.sum(c).over(window).alias(out) for out, c in sums.items())
+            *columns, *(F.sum(c).over(upto(*groups)).alias(out) for out, c in sums.items())
         )
-    local = (
-        Window.partitionBy(_PART, *groups)
-        .orderBy(*order_by)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
     inputs = list(dict.fromkeys(sums.values()))
     totals = staged.groupBy(*groups, _PART).agg(*(F.sum(c).alias(c) for c in inputs))
     offsets = _partition_offsets(totals, groups, inputs)
-    within = staged.select("*", *(F.sum(c).over(local).alias(f"__run_{c}") for c in inputs))
+    within = staged.select(
+        "*", *(F.sum(c).over(upto(_PART, *groups)).alias(f"__run_{c}") for c in inputs)
+    )
     # Groups come from the data and may be null: join on null-safe equality.
     condition = F.col(f"w.{_PART}") == F.col(f"o.{_PART}")
     for g in groups:
         condition = condition & F.col(f"w.{g}").eqNullSafe(F.col(f"o.{g}"))
     joined = within.alias("w").join(offsets.alias("o"), condition)
     return joined.select(
-        *(F.col(f"w.{c}") for c in df.columns),
+        *(F.col(f"w.{c}") for c in columns),
         *(
             (F.col(f"w.__run_{c}") + F.col(f"o.{_OFFSET}_{c}")).alias(out)
             for out, c in sums.items()

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabloom.operators.ordering import SMALL_GROUP_ROWS, running_sums
+from tabloom.operators.ordering import SMALL_GROUP_ROWS, running_sums, stage_in_order
 from tabloom.session import stage
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -139,7 +139,7 @@ def boxplot_stats(
     the built-in percentile is used, beyond that ranks from running counts,
     which give the same result.
     """
-    counts = stage(_long_counts(df, features, label), "box-plot-values")
+    counts = stage_in_order(_long_counts(df, features, label), ["value"], ["feature", "label"])
     small = counts.count() <= small_rows
     quartiles = _quartiles_small(counts) if small else _quartiles_by_rank(counts)
     boxed = _join_groups(counts, quartiles)

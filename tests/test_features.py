@@ -15,7 +15,7 @@ def _rows(df):
 
 
 @pytest.fixture
-def wines(spark, schema):
+def items(spark, schema):
     name = f"{schema}.items"
     rows = spark.range(10).select(
         F.col("id").alias("item_id"), (F.col("id") * 1.5).alias("size"), F.lit("s").alias("kind")
@@ -24,10 +24,10 @@ def wines(spark, schema):
     return name
 
 
-def test_spec_is_kept_with_the_table(spark, wines):
-    spec = features.feature_table_spec(spark, wines)
+def test_spec_is_kept_with_the_table(spark, items):
+    spec = features.feature_table_spec(spark, items)
     assert spec.primary_keys == ("item_id",) and spec.description == "it's items"
-    assert spark.read.table(wines).count() == 10
+    assert spark.read.table(items).count() == 10
 
 
 def test_bad_keys_are_refused(spark, schema):
@@ -42,47 +42,47 @@ def test_bad_keys_are_refused(spark, schema):
         features.create_feature_table(spark, f"{schema}.bad", "nokey", twice)
 
 
-def test_table_cannot_be_created_twice(spark, wines):
+def test_table_cannot_be_created_twice(spark, items):
     with pytest.raises(ValueError, match="exists"):
-        features.create_feature_table(spark, wines, "item_id", spark.range(1).toDF("item_id"))
+        features.create_feature_table(spark, items, "item_id", spark.range(1).toDF("item_id"))
 
 
-def test_upsert_layers_then_compacts(spark, wines):
-    before = features.feature_table_spec(spark, wines)
+def test_upsert_layers_then_compacts(spark, items):
+    before = features.feature_table_spec(spark, items)
     change = spark.createDataFrame([(3, 99.0, "new"), (50, 1.0, "new")], "item_id bigint, size double, kind string")
     # A huge share keeps the changes apart; zero folds them in.
-    layered = features.write_feature_table(spark, wines, change, compact_share=1e9)
+    layered = features.write_feature_table(spark, items, change, compact_share=1e9)
     assert layered.base == before.base and layered.changes
     again = spark.createDataFrame([(50, 2.0, "newer")], "item_id bigint, size double, kind string")
-    layered = features.write_feature_table(spark, wines, again, compact_share=1e9)
-    got = {r["item_id"]: (r["size"], r["kind"]) for r in spark.read.table(wines).collect()}
+    layered = features.write_feature_table(spark, items, again, compact_share=1e9)
+    got = {r["item_id"]: (r["size"], r["kind"]) for r in spark.read.table(items).collect()}
     assert len(got) == 11
     assert got[3] == (99.0, "new") and got[50] == (2.0, "newer") and got[4] == (6.0, "s")
-    compacted = features.write_feature_table(spark, wines, again, compact_share=0)
+    compacted = features.write_feature_table(spark, items, again, compact_share=0)
     assert compacted.changes == "" and compacted.base != before.base
-    assert {r["item_id"]: (r["size"], r["kind"]) for r in spark.read.table(wines).collect()} == got
+    assert {r["item_id"]: (r["size"], r["kind"]) for r in spark.read.table(items).collect()} == got
     features.drop_superseded(spark, layered)
-    assert spark.read.table(wines).count() == 11
+    assert spark.read.table(items).count() == 11
     assert not spark.catalog.tableExists(layered.changes)
 
 
-def test_readers_keep_the_rows_they_started_with(spark, wines):
-    earlier = spark.read.table(wines)
-    features.write_feature_table(spark, wines, earlier.limit(1), mode="overwrite")
-    assert spark.read.table(wines).count() == 1
+def test_readers_keep_the_rows_they_started_with(spark, items):
+    earlier = spark.read.table(items)
+    features.write_feature_table(spark, items, earlier.limit(1), mode="overwrite")
+    assert spark.read.table(items).count() == 1
     assert earlier.count() == 10
 
 
-def test_upsert_edges(spark, wines):
+def test_upsert_edges(spark, items):
     columns = "item_id bigint, size double, kind string"
     twice = spark.createDataFrame([(1, 1.0, "a"), (1, 2.0, "b")], columns)
     with pytest.raises(ValueError, match="null or repeated"):
-        features.write_feature_table(spark, wines, twice)
+        features.write_feature_table(spark, items, twice)
     with pytest.raises(ValueError, match="differ"):
-        features.write_feature_table(spark, wines, spark.range(1).toDF("item_id"))
-    before = _rows(spark.read.table(wines))
-    features.write_feature_table(spark, wines, spark.createDataFrame([], columns))
-    assert _rows(spark.read.table(wines)) == before
+        features.write_feature_table(spark, items, spark.range(1).toDF("item_id"))
+    before = _rows(spark.read.table(items))
+    features.write_feature_table(spark, items, spark.createDataFrame([], columns))
+    assert _rows(spark.read.table(items)) == before
 
 
 def test_empty_table_is_filled_later(spark, schema):
@@ -111,24 +111,24 @@ def test_bucketed_lookup_shuffles_one_side_only(spark, schema):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
-def test_lookup_keeps_unmatched_rows_and_selects(spark, wines):
+def test_lookup_keeps_unmatched_rows_and_selects(spark, items):
     labelled = spark.createDataFrame([(1, 0), (77, 1), (None, 1)], "item_id bigint, y int")
-    full = features.create_training_set(labelled, [FeatureLookup(wines, "item_id")], "y", "item_id")
+    full = features.create_training_set(labelled, [FeatureLookup(items, "item_id")], "y", "item_id")
     assert full.load_df().columns == ["y", "size", "kind"]
     assert full.feature_names == ["size", "kind"]
     assert _rows(full.load_df()) == sorted(map(repr, [(0, 1.5, "s"), (1, None, None), (1, None, None)]))
-    one = features.create_training_set(labelled, [FeatureLookup(wines, "item_id", ("size",))], "y")
+    one = features.create_training_set(labelled, [FeatureLookup(items, "item_id", ("size",))], "y")
     assert one.load_df().columns == ["item_id", "y", "size"]
     with pytest.raises(ValueError, match="no label"):
         features.create_training_set(labelled, [], "absent")
 
 
-def test_clashing_features_are_refused(spark, wines):
+def test_clashing_features_are_refused(spark, items):
     labelled = spark.createDataFrame([(1, 0.0)], "item_id bigint, size double")
     with pytest.raises(ValueError, match="already"):
-        features.apply_lookups(labelled, [FeatureLookup(wines)])
+        features.apply_lookups(labelled, [FeatureLookup(items)])
     with pytest.raises(ValueError, match="keys"):
-        features.apply_lookups(labelled, [FeatureLookup(wines, ("item_id", "size"))])
+        features.apply_lookups(labelled, [FeatureLookup(items, ("item_id", "size"))])
 
 
 def test_hot_keys_are_joined_apart(spark):
@@ -150,11 +150,11 @@ def test_hot_keys_are_joined_apart(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
-def test_scoring_replays_the_recipe(spark, wines):
+def test_scoring_replays_the_recipe(spark, items):
     labelled = spark.range(10).select(
         F.col("id").alias("item_id"), (F.col("id") * 10.0).alias("y"), F.lit(0.5).alias("live")
     )
-    training = features.create_training_set(labelled, [FeatureLookup(wines, "item_id", ("size",))], "y", "item_id")
+    training = features.create_training_set(labelled, [FeatureLookup(items, "item_id", ("size",))], "y", "item_id")
     rows = training.load_df()
     used = training.feature_names
     assert used == ["live", "size"]

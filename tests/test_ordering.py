@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tabloom.operators.ordering import dense_row_id, running_sums
+from tabloom.operators.ordering import dense_row_id, running_sums, stage_in_order
 
 
 def _letters(spark, n=1000):
@@ -56,5 +56,6 @@ def test_running_sums_match_a_window(spark, groups, small_rows):
     rows = spark.createDataFrame(data, "g int, k int, a int, b int").repartition(5)
     window = Window.partitionBy(*groups).orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
     want = rows.select("*", *(F.sum(c).over(window).alias(f"run_{c}") for c in "ab"))
-    got = running_sums(rows, ["k"], {"run_a": "a", "run_b": "b"}, groups, small_rows)
+    staged = stage_in_order(rows, ["k"], groups)
+    got = running_sums(staged, ["k"], {"run_a": "a", "run_b": "b"}, groups, small_rows)
     assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
