@@ -9,9 +9,9 @@ and every later job reads that one copy.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
@@ -28,6 +28,9 @@ _HOT_ORDER_SHARE = 0.01
 # Up to this many rows, one task may sort a whole group.
 SMALL_GROUP_ROWS = 1_000_000
 
+# Up to this many rows of a few numbers each, a side is broadcast.
+BROADCAST_ROWS = 10_000
+
 
 def _partition_offsets(totals: DataFrame, groups: Sequence[str], sums: Sequence[str]) -> DataFrame:
     """Sum of each total over all earlier partitions (exclusive prefix sum)."""
@@ -132,3 +135,59 @@ def running_sums(
             for out, c in sums.items()
         ),
     )
+
+
+def values_at_ranks(
+    staged: DataFrame,
+    value: str,
+    count: str,
+    group_by: Sequence[str],
+    ranks: Callable[[Column], list[Column]],
+) -> DataFrame:
+    """Values at given 0-based ranks per group, out of distinct values with counts.
+
+    ``staged`` comes from ``stage_in_order``; ``ranks`` gives the wanted ranks in
+    terms of the group's number of rows.  Per-partition totals tell which
+    partitions hold them, and only those few are put in order.  Returns the
+    groups, ``n_rows`` and a map ``at`` from rank to value.
+    """
+    groups = list(group_by)
+    totals = staged.groupBy(*groups, _PART).agg(F.sum(count).alias("total"))
+    whole = Window.partitionBy(*groups)
+    earlier = whole.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    spans = totals.select(
+        *groups,
+        _PART,
+        "total",
+        F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("start"),
+        F.sum("total").over(whole).alias("n_rows"),
+    )
+    wanted = F.filter(
+        F.array(*ranks(F.col("n_rows"))),
+        lambda r: (r >= F.col("start")) & (r < F.col("start") + F.col("total")),
+    )
+    holding = stage(
+        spans.withColumn("wanted", F.array_distinct(wanted)).where(F.size("wanted") > 0),
+        "rank-partitions",
+    ).drop("total")
+    if holding.count() <= BROADCAST_ROWS:
+        holding = F.broadcast(holding)
+    same = F.col(f"s.{_PART}") == F.col(f"h.{_PART}")
+    for g in groups:
+        same = same & F.col(f"s.{g}").eqNullSafe(F.col(f"h.{g}"))
+    near = staged.alias("s").join(holding.alias("h"), same).select("s.*", "start", "n_rows", "wanted")
+    upto = F.sum(count).over(
+        Window.partitionBy(_PART, *groups)
+        .orderBy(value)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    placed = near.withColumn("upto", F.col("start") + upto)
+    covered = F.filter(
+        "wanted", lambda r: (r < F.col("upto")) & (r >= F.col("upto") - F.col(count))
+    )
+    # As many rows per group as ranks were asked for.
+    return (
+        placed.select(*groups, "n_rows", F.explode(covered).alias("rank"), value)
+        .groupBy(*groups, "n_rows")
+        .agg(F.map_from_entries(F.collect_list(F.struct("rank", value))).alias("at"))
+    )

@@ -8,12 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabloom.operators.ordering import SMALL_GROUP_ROWS, running_sums, stage_in_order
+from tabloom.operators.ordering import (
+    BROADCAST_ROWS,
+    SMALL_GROUP_ROWS,
+    stage_in_order,
+    values_at_ranks,
+)
 from tabloom.session import stage
 
 QUARTILES = (0.25, 0.5, 0.75)
-# Groups (feature x label) up to which per-group statistics are broadcast.
-BROADCAST_GROUPS = 10_000
 
 
 def _floating(field: T.StructField) -> bool:
@@ -92,37 +95,30 @@ def _quartiles_small(counts: DataFrame) -> DataFrame:
 
 
 def _quartiles_by_rank(counts: DataFrame) -> DataFrame:
-    """The same order statistics from running counts, with no group held in one task."""
+    """The same order statistics by rank, with no group held in one task."""
+
+    def position(q: float, n_rows: Column) -> Column:
+        return F.lit(q) * (n_rows - 1)
+
+    def neighbours(n_rows: Column) -> list[Column]:
+        at = [position(q, n_rows) for q in QUARTILES]
+        return [side(p).cast("bigint") for p in at for side in (F.floor, F.ceil)]
+
     groups = ["feature", "label"]
-    ranked = running_sums(counts, ["value"], {"upto": "n"}, groups, small_rows=0)
-    sizes = counts.groupBy(*groups).agg(F.sum("n").alias("n_rows"))
-    per_value = _join_groups(ranked, sizes)
-
-    def order_statistic(rank: Column) -> Column:
-        covers = (F.col("upto") > rank) & (F.col("upto") - F.col("n") <= rank)
-        return F.max(F.when(covers, F.col("value")))
-
-    aggregates = []
-    for i, q in enumerate(QUARTILES):
-        at = F.lit(q) * (F.col("n_rows") - 1)
-        aggregates += [
-            order_statistic(F.floor(at)).alias(f"low{i}"),
-            order_statistic(F.ceil(at)).alias(f"high{i}"),
-        ]
-    picked = per_value.groupBy(*groups, "n_rows").agg(*aggregates)
+    ranked = values_at_ranks(counts, "value", "n", groups, neighbours)
     points = []
-    for i, q in enumerate(QUARTILES):
-        at = F.lit(q) * (F.col("n_rows") - 1)
-        low, high = F.col(f"low{i}"), F.col(f"high{i}")
+    for q in QUARTILES:
+        at = position(q, F.col("n_rows"))
+        low, high = (F.col("at")[side(at).cast("bigint")] for side in (F.floor, F.ceil))
         points.append(low + (high - low) * (at - F.floor(at)))
-    return picked.select(*groups, F.array(*points).alias("q"), "n_rows")
+    return ranked.select(*groups, F.array(*points).alias("q"), "n_rows")
 
 
 def _join_groups(rows: DataFrame, groups: DataFrame) -> DataFrame:
     """Attach per-(feature, label) values; broadcast them when there are few groups."""
     groups = groups.withColumnsRenamed({"feature": "g_feature", "label": "g_label"})
     groups = stage(groups, "feature-label-groups")
-    if groups.count() <= BROADCAST_GROUPS:
+    if groups.count() <= BROADCAST_ROWS:
         groups = F.broadcast(groups)
     same = (F.col("feature") == F.col("g_feature")) & F.col("label").eqNullSafe(F.col("g_label"))
     return rows.join(groups, same).drop("g_feature", "g_label")
@@ -136,8 +132,8 @@ def boxplot_stats(
     Quartiles interpolate between order statistics; whiskers are the extreme
     values within 1.5 interquartile ranges of the box; the rest are outliers.
     Distinct values are counted once and staged: up to ``small_rows`` of them
-    the built-in percentile is used, beyond that ranks from running counts,
-    which give the same result.
+    the built-in percentile is used, beyond that values are found by rank, which
+    gives the same result.
     """
     counts = stage_in_order(_long_counts(df, features, label), ["value"], ["feature", "label"])
     small = counts.count() <= small_rows
