@@ -20,6 +20,7 @@ from tabloom.queries.base import (
     HOURLY,
     LETTER_CODE,
     TEXT_FEATURES,
+    hash01_sql,
     hourly,
     letter_code,
     load,
@@ -395,24 +396,107 @@ def classify(spark, sf_dir):
     return scored.select("doc_id", "predicted_lang")
 
 
-@query("gbt_early_stop")
+_STEP, _TOLERANCE, _ROUNDS = 0.5, 0.1, 20
+
+_BOOSTED = f"""
+banded AS (
+  SELECT CAST(least(9, floor(value / 10)) AS INTEGER) AS band, value >= 55 AS high,
+         {hash01_sql(123, "event_id")} AS u
+  FROM events
+),
+parts AS (
+  SELECT band, high,
+         CASE WHEN u < 0.6 THEN 'train' WHEN u < 0.8 THEN 'validation' ELSE 'test' END AS split
+  FROM banded
+),
+bands AS (
+  SELECT band,
+         CAST(count(*) FILTER (split = 'train' AND high) AS DOUBLE) AS pos,
+         CAST(count(*) FILTER (split = 'train' AND NOT high) AS DOUBLE) AS neg,
+         count(*) FILTER (split = 'validation' AND high) AS val_pos,
+         count(*) FILTER (split = 'validation' AND NOT high) AS val_neg
+  FROM parts GROUP BY band
+),
+rounds AS (
+  SELECT 1 AS k, band, pos, neg, val_pos, val_neg, (pos - neg) / (pos + neg) AS f FROM bands
+  UNION ALL
+  SELECT k + 1, band, pos, neg, val_pos, val_neg,
+         f + {_STEP}::DOUBLE * 4 * (pos / (1 + exp(2 * f)) - neg / (1 + exp(-2 * f))) / (pos + neg)
+  FROM rounds WHERE k < {_ROUNDS}
+),
+losses AS (
+  SELECT k, 2 * sum(val_pos * ln(1 + exp(-2 * f)) + val_neg * ln(1 + exp(2 * f)))
+            / sum(val_pos + val_neg) AS loss
+  FROM rounds GROUP BY k
+),
+gains AS (SELECT k, loss, lag(loss) OVER (ORDER BY k) - loss AS gain FROM losses),
+stopped AS (
+  SELECT coalesce(min(k) FILTER (gain < {_TOLERANCE}::DOUBLE * greatest(loss, 0.01)) - 1,
+                  {_ROUNDS}) AS n_trees
+  FROM gains
+),
+rated AS (
+  SELECT split, CAST(high AS INTEGER) AS y, 1 / (1 + exp(-2 * f)) AS p, n_trees
+  FROM parts JOIN rounds USING (band) JOIN stopped ON k = n_trees
+)
+"""
+
+
+@query(
+    "gbt_early_stop",
+    f"""
+    WITH RECURSIVE {_BOOSTED}
+    SELECT split, round(-avg(y * ln(p) + (1 - y) * ln(1 - p)), 6) AS logloss,
+           count(*) AS n_rows, CAST(n_trees AS INTEGER) AS n_trees
+    FROM rated GROUP BY split, n_trees
+    """,
+)
 def gbt_early_stop(spark, sf_dir):
-    """Boosting that ends when held-out loss stops falling (no SQL twin)."""
+    """Boosting that ends when the held-out loss stops falling.
+
+    Each round's tree separates the ten bands, so it adds the bands' mean
+    gradients, and the rounds can be followed in SQL up to the stop.
+    """
+    rows = load(spark, sf_dir, "events").select(
+        "event_id",
+        F.least(F.lit(9), F.floor(F.col("value") / 10)).cast("int").alias("band"),
+        columns.binarize("value", 55).alias("high"),
+    )
     weights = {"train": 0.6, "validation": 0.2, "test": 0.2}
-    rows = hash_split(_labelled_texts(spark, sf_dir), ["doc_id"], weights, seed=123)
-    fitting = rows.where("split <> 'test'").withColumn("held_out", F.col("split") == "validation")
+    split = hash_split(rows, ["event_id"], weights, seed=123)
+    fitting = split.where("split <> 'test'").withColumn("held_out", F.col("split") == "validation")
     booster = models.boosted_classifier(
-        "quality", "held_out", maxIter=20, maxDepth=4, stepSize=0.3, validationTol=0.01
+        "high", "held_out", maxIter=_ROUNDS, maxDepth=10, stepSize=_STEP, validationTol=_TOLERANCE
     )
-    model = _fitted(fitting, TEXT_FEATURES, booster)
-    scored = scoring.predict_probability(rows, model)
+    model = _fitted(fitting, ["band"], booster)
+    scored = scoring.predict_probability(split, model)
     return scored.groupBy("split").agg(
-        F.round(metrics.logloss("quality", "prediction"), 6).alias("logloss"),
+        F.round(metrics.logloss("high", "prediction"), 6).alias("logloss"),
         F.count(F.lit(1)).alias("n_rows"),
         F.lit(model.stages[-1].getNumTrees).alias("n_trees"),
     )
 
 
+@query(
+    "rf_flag_proba",
+    """
+    SELECT event_id, round(avg(CAST(value >= 55 AS INTEGER)) OVER (PARTITION BY value >= 50), 9)
+                       AS prediction
+    FROM events
+    """,
+)
+def rf_flag_proba(spark, sf_dir):
+    """Forest probabilities on one flag whose two sides vote differently: plain rates."""
+    rows = load(spark, sf_dir, "events").select(
+        "event_id",
+        columns.binarize("value", 50).alias("flag"),
+        columns.binarize("value", 55).alias("high"),
+    )
+    forest = models.baseline_forest("high", **PLAIN_FOREST)
+    scored = scoring.predict_probability(rows, _fitted(rows, ["flag"], forest))
+    return scored.select("event_id", F.round("prediction", 9).alias("prediction"))
+
+
 # --- what a model or an indexer learned ----------------------------------------
 
 _FLAGS = {

@@ -23,7 +23,7 @@ def test_entry(spark):
 
 def test_every_sql_has_a_query():
     assert set(SQL) <= set(QUERIES)
-    assert sorted(set(QUERIES) - set(SQL)) == ["gbt_early_stop", "rf_binary_proba"]
+    assert set(QUERIES) - set(SQL) == {"rf_binary_proba"}
 
 
 def test_forest_probabilities(spark, sf_dir):
@@ -38,5 +38,5 @@ def test_forest_probabilities(spark, sf_dir):
 def test_early_stopping_stops(spark, sf_dir):
     rows = {r["split"]: r for r in QUERIES["gbt_early_stop"](spark, sf_dir).collect()}
     assert set(rows) == {"train", "validation", "test"}
-    assert all(r["n_trees"] < 20 for r in rows.values())
-    assert rows["train"]["logloss"] < 0.7
+    assert all(2 <= r["n_trees"] < 20 for r in rows.values())
+    assert rows["train"]["logloss"] < 0.3
