@@ -47,7 +47,7 @@ runs AS (
     "runs_table",
     f"""
     WITH {_RUNS}
-    SELECT run_id, run_name, parent_run_id, CAST(date_part('epoch', start_time) AS BIGINT)
+    SELECT run_id, run_name, parent_run_id, substr(CAST(start_time AS VARCHAR), 1, 19)
              AS start_second, k, "user" AS user, round(auc, 9) AS auc, model_path
     FROM runs
     """,
@@ -56,15 +56,11 @@ def runs_table(spark, sf_dir):
     """Runs appended to a stored table and read back."""
     store = ModelRegistry(spark, work_schema(spark))
     store.append_runs(_runs(spark, sf_dir))
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     return store.table("runs").select(
         "run_id",
         "run_name",
         "parent_run_id",
-        # Rounded to the whole second, as the cast of a fractional number is not.
-        F.round(F.timestamp_diff("MICROSECOND", epoch, "start_time") / 1e6).cast("bigint").alias(
-            "start_second"
-        ),
+        F.substring(F.col("start_time").cast("string"), 1, 19).alias("start_second"),
         F.col("params")["k"].alias("k"),
         F.col("params")["user"].alias("user"),
         F.round(F.col("metrics")["auc"], 9).alias("auc"),
