@@ -85,6 +85,18 @@ def pipeline(
     return Pipeline(stages=[*stages, estimator])
 
 
+def merge_repeats(
+    df: DataFrame, columns: Sequence[str], weight: str = "n_rows"
+) -> DataFrame:
+    """Rows equal in features and label as one row with its count, for ``weightCol``.
+
+    Trees fitted without row sampling come out the same, and with coarse features
+    and labels they read a small table instead of all rows.  The count combines
+    before the shuffle, so repeated rows cost next to nothing.
+    """
+    return df.groupBy(*columns).agg(F.count(F.lit(1)).alias(weight))
+
+
 def fit(df: DataFrame, stages: Pipeline) -> PipelineModel:
     """Fit with a checkpoint folder in place: boosting cuts its lineage there.
 

@@ -127,13 +127,12 @@ def score_batch_lookup(spark, sf_dir):
     )
     rows = training.load_df()
     used = ["p_size"]
-    stages = models.pipeline(
-        used, models.tree_regressor("l_quantity", maxDepth=30, maxBins=64), None
-    )
+    tree = models.tree_regressor("l_quantity", maxDepth=30, maxBins=64, weightCol="n_rows")
+    # 50 sizes and 50 quantities: distinct pairs with counts stand for all rows.
+    merged = models.merge_repeats(rows, [*used, "l_quantity"])
+    model = models.fit(merged, models.pipeline(used, tree, None))
     path = scratch_path(spark, "model")
-    save_model(
-        models.fit(rows, stages), path, scoring.infer_signature(rows, used), training.recipe
-    )
+    save_model(model, path, scoring.infer_signature(rows, used), training.recipe)
     batch = labelled.drop("l_quantity")
     scored = scoring.score_saved(batch, load_model(spark, path))
     return scored.withColumn("prediction", F.round("prediction", 6))

@@ -41,6 +41,12 @@ def _fitted(df, features_, estimator, max_categories=None):
     return models.fit(df, models.pipeline(features_, estimator, max_categories))
 
 
+def _fitted_on_counts(df, features_, label, estimator):
+    """For coarse features and labels: train on distinct rows and their counts."""
+    merged = models.merge_repeats(df, [*features_, label])
+    return _fitted(merged, features_, estimator.setWeightCol("n_rows"))
+
+
 def _hours(spark, sf_dir):
     # Small next to the events it sums up; staged, as every tree level reads it.
     return stage(hourly(spark, sf_dir), "hourly")
@@ -201,7 +207,7 @@ def rf_regression(spark, sf_dir):
         "l_quantity",
     ).load_df()
     forest = models.forest_regressor("l_quantity", maxBins=64, **PLAIN_FOREST)
-    scored = scoring.predict(rows, _fitted(rows, ["p_size"], forest))
+    scored = scoring.predict(rows, _fitted_on_counts(rows, ["p_size"], "l_quantity", forest))
     return scored.select(
         "l_orderkey",
         "l_linenumber",
@@ -297,7 +303,8 @@ def predict_probability(spark, sf_dir):
     """Probability of class 1.  One boosting round fits the mean of labels -1 and 1,
     which the logistic function then maps to a probability."""
     rows = _flagged_events(spark, sf_dir)
-    model = _fitted(rows, ["hr"], models.boosted_classifier("high", maxIter=1, **DEEP))
+    booster = models.boosted_classifier("high", maxIter=1, **DEEP)
+    model = _fitted_on_counts(rows, ["hr"], "high", booster)
     scored = scoring.predict_probability(rows, model)
     return scored.select("event_id", F.round("prediction", 9).alias("prediction"))
 
@@ -314,7 +321,8 @@ FROM flagged
 def rf_binary_class(spark, sf_dir):
     rows = _flagged_events(spark, sf_dir)
     forest = models.baseline_forest("high", **PLAIN_FOREST)
-    return scoring.predict(rows, _fitted(rows, ["hr"], forest)).select("event_id", "prediction")
+    model = _fitted_on_counts(rows, ["hr"], "high", forest)
+    return scoring.predict(rows, model).select("event_id", "prediction")
 
 
 @query("rf_binary_proba")
@@ -347,7 +355,7 @@ def _classified(spark, sf_dir, estimator):
     rows = stage(letter_code(load(spark, sf_dir, "documents")), "letter-code")
     indexer = stages.label_indexer("lang").fit(rows)
     indexed = indexer.transform(rows)
-    model = _fitted(indexed, ["letter_code"], estimator)
+    model = _fitted_on_counts(indexed, ["letter_code"], "label_index", estimator)
     return scoring.predict_class(indexed, model, indexer.labels, "predicted_lang")
 
 
@@ -493,7 +501,8 @@ def rf_flag_proba(spark, sf_dir):
         columns.binarize("value", 55).alias("high"),
     )
     forest = models.baseline_forest("high", **PLAIN_FOREST)
-    scored = scoring.predict_probability(rows, _fitted(rows, ["flag"], forest))
+    model = _fitted_on_counts(rows, ["flag"], "high", forest)
+    scored = scoring.predict_probability(rows, model)
     return scored.select("event_id", F.round("prediction", 9).alias("prediction"))
 
 
@@ -532,7 +541,8 @@ def feature_importance(spark, sf_dir):
     rows = load(spark, sf_dir, "lineitem").select(
         "l_quantity", *(F.expr(f"cast({test} AS int)").alias(n) for n, test in _FLAGS.items())
     )
-    model = _fitted(rows, list(_FLAGS), models.tree_regressor("l_quantity", maxDepth=1))
+    stump = models.tree_regressor("l_quantity", maxDepth=1)
+    model = _fitted_on_counts(rows, list(_FLAGS), "l_quantity", stump)
     return models.feature_importance(rows, model, list(_FLAGS))
 
 

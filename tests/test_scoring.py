@@ -98,3 +98,19 @@ def test_missing_feature_is_kept(spark, steps):
     model = models.fit(steps, models.pipeline(["x"], models.tree_classifier("y"), None))
     rows = spark.createDataFrame([(1, None)], "id bigint, x double")
     assert scoring.predict(rows, model).first()["prediction"] in (0.0, 1.0)
+
+
+def test_counted_rows_train_the_same_trees(spark, steps):
+    noisy = steps.withColumn("y", F.when(F.hash("id") % 5 == 0, 1 - F.col("y")).otherwise(F.col("y")))
+    merged = models.merge_repeats(noisy, ["x", "y"])
+    assert merged.count() < noisy.count()
+    for build in (
+        lambda **kw: models.tree_regressor("y", maxDepth=3, **kw),
+        lambda **kw: models.boosted_regressor("y", maxDepth=2, maxIter=3, **kw),
+        lambda **kw: models.forest_classifier("y", numTrees=3, bootstrap=False, **kw),
+    ):
+        plain = models.fit(noisy, models.pipeline(["x"], build(), None))
+        counted = models.fit(merged, models.pipeline(["x"], build(weightCol="n_rows"), None))
+        a = [r["prediction"] for r in scoring.predict(noisy, plain).orderBy("id").collect()]
+        b = [r["prediction"] for r in scoring.predict(noisy, counted).orderBy("id").collect()]
+        assert max(abs(p - q) for p, q in zip(a, b)) < 1e-9
