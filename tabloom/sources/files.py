@@ -12,13 +12,16 @@ def read_csv(
     sep: str = ",",
     schema: T.StructType | str | None = None,
     sampling_ratio: float | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
-    """Scan delimited text with a header line.
+    """Scan delimited text with a header line; quotes inside values are doubled.
 
     Types are inferred unless ``schema`` is given.  Inference reads the whole
     input once more; for large inputs pass the schema, or a sampling ratio.
+    ``multi_line`` allows line breaks inside values, at the price that a file is
+    no longer read in parallel pieces.
     """
-    reader = spark.read.option("header", True).option("sep", sep)
+    reader = spark.read.options(header=True, sep=sep, escape='"', multiLine=multi_line)
     if schema is not None:
         return reader.schema(schema).csv(path)
     if sampling_ratio is not None:
@@ -27,7 +30,7 @@ def read_csv(
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
-    df.write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
+    df.write.mode("overwrite").options(header=True, sep=sep, escape='"').csv(path)
 
 
 def read_path(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from tabloom import session
@@ -53,3 +54,22 @@ def test_large_inputs_are_left_in_place(spark, monkeypatch):
     monkeypatch.setattr(session, "_SMALL_PER_CORE", 1)
     with session.iterated(rows) as kept:
         assert kept is rows
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://elsewhere:7077"
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        conf = Conf()
+        sparkContext = Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_dir(Session())
