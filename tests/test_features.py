@@ -111,6 +111,23 @@ def test_bucketed_lookup_shuffles_one_side_only(spark, schema):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
+def test_bucketed_layers_are_read_without_a_shuffle(spark, schema):
+    name = f"{schema}.layered"
+    rows = spark.range(100).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+    features.create_feature_table(spark, name, "k", rows, buckets=4)
+    changes = rows.limit(5).withColumn("v", F.lit(2))
+    features.write_feature_table(spark, name, changes, compact_share=1e9)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        table = spark.read.table(name)
+        plan = table._jdf.queryExecution().executedPlan().toString()
+        assert "LeftAnti" in plan and "Exchange" not in plan
+        assert {r["v"]: r["count"] for r in table.groupBy("v").count().collect()} == {1: 95, 2: 5}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_lookup_keeps_unmatched_rows_and_selects(spark, items):
     labelled = spark.createDataFrame([(1, 0), (77, 1), (None, 1)], "item_id bigint, y int")
     full = features.create_training_set(labelled, [FeatureLookup(items, "item_id")], "y", "item_id")
