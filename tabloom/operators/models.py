@@ -60,10 +60,14 @@ def boosted_classifier(
     label: str, validation_flag: str | None = None, **params
 ) -> GBTClassifier:
     """Binary boosted trees.  With a boolean ``validation_flag`` column, rounds end
-    once the loss on the flagged rows no longer improves by ``validationTol``."""
+    once the loss on the flagged rows gains less than ``validationTol`` of itself.
+
+    The tolerance here is 0, so that only a loss that grows ends the rounds: at a
+    low learning rate no single round gains much.
+    """
     settings = {"seed": 123, **params}
     if validation_flag is not None:
-        settings = {"maxIter": BOOSTED_ROUNDS, **settings}
+        settings = {"maxIter": BOOSTED_ROUNDS, "validationTol": 0.0, **settings}
         settings["validationIndicatorCol"] = validation_flag
     return GBTClassifier(labelCol=label, **settings)
 
