@@ -5,9 +5,10 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from tabloom.queries import all_queries, all_sql
 from tests.compare import difference
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = all_queries(), all_sql()
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -23,6 +24,7 @@ def test_entry(spark):
 
 def test_every_sql_has_a_query():
     assert set(SQL) <= set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries())
     assert set(QUERIES) - set(SQL) == {"rf_binary_proba"}
 
 
