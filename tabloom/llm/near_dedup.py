@@ -7,9 +7,11 @@
 2. Texts with equal sets are one class; everything below works on classes.  Two
    sets of similarity 0.75 miss each other in all bands with probability
    (1 - 0.75^4)^32, about 5 in a million.
-3. Each class is compared with the first and the last class of its bands; the
-   best partner at either end, by sketch, is checked on the full sets.  Links
-   found join most groups of copies at once.
+3. The weight of a class is the number of classes in all its bands.  The original
+   of many copies shares bands with more of them than they do with each other, so
+   it weighs most.  Each class is compared with the weightiest and the first class
+   of each of its bands; the best of either kind, by sketch, is checked on the
+   full sets.  Links found join most groups of copies at once.
 4. Bands whose classes still belong to several components are compared in full,
    except within a component: classes outside the band's largest component meet
    all others, in blocks, so no task holds an unbounded band.  The sketches
@@ -108,12 +110,12 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
 
 def _ends(classes: DataFrame, members: DataFrame, bands: DataFrame) -> DataFrame:
-    """Each class with its best partner at either end of its bands."""
+    """Each class with its best partner among the weightiest and the first of its bands."""
     sketches = classes.select(F.col("cid").alias("c"), "sketch")
     found = None
-    for end in ("first", "last"):
+    for end in ("heaviest", "first"):
         met = (
-            members.join(bands, "band")
+            members.select("band", "cid").join(bands, "band")
             .select(F.col("cid").alias("a"), F.col(end).alias("b"))
             .where("a <> b")
             .distinct()
@@ -129,7 +131,7 @@ def _ends(classes: DataFrame, members: DataFrame, bands: DataFrame) -> DataFrame
 
 def _crossing(classes: DataFrame, members: DataFrame, roots: DataFrame) -> DataFrame:
     """Pairs of classes that share a band, lie in different components, and may be linked."""
-    placed = members.join(roots.withColumnRenamed("node", "cid"), "cid", "left").select(
+    placed = members.select("band", "cid").join(roots.withColumnRenamed("node", "cid"), "cid", "left").select(
         "band", "cid", F.coalesce("root", "cid").alias("root")
     )
     counted = placed.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"))
@@ -188,15 +190,15 @@ def near_duplicates(
         "classes",
     )
     placed = classes.select("cid", F.explode("bands").alias("band"))
-    shared = (
-        placed.groupBy("band")
-        .agg(F.min("cid").alias("first"), F.max("cid").alias("last"))
-        .where("first <> last")
+    shared = placed.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    members = stage(placed.join(shared, "band"), "members")
+    weights = members.groupBy("cid").agg(F.sum("size").alias("weight"))
+    ends = members.join(weights, "cid").groupBy("band").agg(
+        F.max_by("cid", F.struct("weight", -F.col("cid"))).alias("heaviest"),
+        F.min("cid").alias("first"),
     )
-    shared = stage(shared, "shared")
-    members = stage(placed.join(shared.select("band"), "band"), "members")
     texts = rows.select(F.col(rid).alias("rid"), F.col(text).alias("text"))
-    links = stage(confirmed(stage(_ends(classes, members, shared), "ends"), texts, percent), "links")
+    links = stage(confirmed(stage(_ends(classes, members, ends), "ends"), texts, percent), "links")
     roots = stage(connected_components(links), "roots")
     rest = stage(_crossing(classes, members, roots), "crossing")
     more = stage(confirmed(rest, texts, percent), "links")
