@@ -11,6 +11,8 @@ from tabloom.llm.base import QUERIES, SQL
 
 _MODULES = [
     "html_text",
+    "sharding",
+    "mixing",
     "near_dedup",
     "toxicity",
     "licences",
