@@ -13,6 +13,7 @@ _MODULES = [
     "html_text",
     "sharding",
     "mixing",
+    "decontamination",
     "near_dedup",
     "toxicity",
     "licences",
