@@ -16,6 +16,7 @@ _MODULES = [
     "decontamination",
     "near_dedup",
     "toxicity",
+    "vector_search",
     "licences",
 ]
 
