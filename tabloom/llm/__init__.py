@@ -12,7 +12,9 @@ from tabloom.llm.base import QUERIES, SQL
 _MODULES = [
     "html_text",
     "sharding",
+    "preferences",
     "mixing",
+    "line_dedup",
     "decontamination",
     "near_dedup",
     "toxicity",
