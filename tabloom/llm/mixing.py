@@ -62,7 +62,7 @@ def fitted_exponent(sources: DataFrame, evenness: float, most_epochs: float) ->
     while high - low > 1:
         step = max(1, (high - low) // CUTS)
         tried = list(range(low + step, high, step))
-        k = F.explode(F.array(*[F.lit(v) for v in tried]))
+        k = F.explode(F.sequence(F.lit(tried[0]), F.lit(tried[-1]), F.lit(step)))
         power = F.exp(F.col("k") / F.lit(float(STEPS)) * F.col("x"))
         sums = (
             sources.select(k.alias("k"), x.alias("x"))
@@ -81,7 +81,7 @@ def source_plan(rows: DataFrame, source: str, tokens: str, evenness: float, most
     """(source, tokens, epochs): passes of each source under the smallest covering budget."""
     sources = stage(
         rows.groupBy(F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source")).agg(
-            F.sum(tokens).alias("tokens")
+            F.sum(tokens).alias("tokens"), F.count(F.lit(1)).alias("rows")
         ),
         "sources",
     )
@@ -116,14 +116,14 @@ def mix_sources(
     plan = source_plan(narrow, "source", "n", evenness, most_epochs)
     whole = F.floor("epochs")
     quotas = plan.select(
-        "source", F.col("tokens").alias("total"), whole.alias("whole"),
+        "source", F.col("tokens").alias("total"), "rows", whole.alias("whole"),
         F.floor((F.col("epochs") - whole) * F.col("tokens")).alias("rest"),
     )
-    budget = quotas.agg(F.sum(F.col("whole") * F.col("total") + F.col("rest"))).first()[0] or 0
+    budget, count = quotas.agg(F.sum(F.col("whole") * F.col("total") + F.col("rest")), F.sum("rows")).first()
+    budget, count = budget or 0, count or 0
     blocks = max(1, -(-int(budget) // block_tokens))
-    count = rows.count()
     digits = max(1, math.ceil(math.log(max(count / BUCKET_ROWS, 1), 16)))
-    used = narrow.join(quotas, "source").withColumn(
+    used = narrow.join(quotas.drop("rows"), "source").withColumn(
         "epoch", F.explode(F.sequence(F.lit(0), F.col("whole") - F.when(F.col("rest") > 0, 0).otherwise(1)))
     )
     used = used.withColumn("digest", key_digest(seed, F.col("epoch"), F.col("key")))
