@@ -57,45 +57,52 @@ def canonical(tokens: Column) -> Column:
     """Tokens with numbers, names and units as typed placeholders."""
     units = F.array(*[F.lit(u) for u in UNITS])
 
+    def digit_first(x):
+        return F.substring(x, 1, 1).between("0", "9")
+
     def one(x, i):
-        word = F.lower(F.translate(x, MARK, ""))
-        before = F.translate(F.get(tokens, i - 1), MARK, "")
-        after_number = F.coalesce((i > 0) & before.rlike(_NUMBER), F.lit(False))
+        # Patterns are tried only where the first sign, or a change by lower-casing, allows.
+        word = F.lower(F.ltrim(x, F.lit(MARK)))
+        before = F.ltrim(F.get(tokens, i - 1), F.lit(MARK))
+        after_number = F.coalesce((i > 0) & digit_first(before) & before.rlike(_NUMBER), F.lit(False))
         return (
-            F.when(word.rlike(_NUMBER), F.lit("#n"))
-            .when(F.array_contains(units, word) & after_number, F.lit("#u"))
-            .when(x.rlike(_NAME), F.lit("#p"))
+            F.when(digit_first(word) & word.rlike(_NUMBER), F.lit("#n"))
+            .when(after_number & F.array_contains(units, word), F.lit("#u"))
+            .when((word != x) & x.rlike(_NAME), F.lit("#p"))
             .otherwise(word)
         )
 
     return F.transform(tokens, one)
 
 
-def _windows(df: DataFrame, keys: list[str], text: str, place: str) -> tuple[DataFrame, Column]:
-    """Every window as an array ``w`` of token hashes, and how many of them are plain words."""
-    tokens = df.select(*keys, raw_tokens(F.col(text)).alias("raw"))
-    codes = tokens.select(*keys, canonical(F.col("raw")).alias("c")).select(
-        *keys, "c", F.transform("c", lambda x: F.xxhash64(x)).alias("h")
-    ).where(F.size("c") >= WINDOW)
-    slots = F.array(*[F.xxhash64(F.lit(s)) for s in ("#n", "#p", "#u")])
-    spread = codes.select(
-        *keys,
-        F.posexplode(
-            F.transform(F.sequence(F.lit(1), F.size("h") - (WINDOW - 1)), lambda i: F.slice("h", i, WINDOW))
-        ).alias(place, "w"),
-    )
-    plain = F.aggregate("w", F.lit(0), lambda n, x: n + (~F.array_contains(slots, x)).cast("int"))
-    return spread, plain
+def _spread(df: DataFrame, key: str, text: str, place: str, window) -> DataFrame:
+    """(key, place, w) for every window; ``window`` makes w of the window's token hashes.
+
+    The outer generator keeps the optimizer from testing the array before it is
+    taken apart, which would compute everything below once more.
+    """
+    raw = df.select(key, raw_tokens(F.col(text)).alias("raw"))
+    hashes = raw.select(key, F.transform(canonical(F.col("raw")), lambda x: F.xxhash64(x)).alias("h"))
+    n = F.size("h")
+    starts = F.when(n >= WINDOW, F.sequence(F.lit(0), F.greatest(n - WINDOW, F.lit(0))))
+
+    # Elements are taken one by one: a slice would copy the whole array for each window.
+    def at(i):
+        return window([F.get(F.col("h"), i + j) for j in range(WINDOW)])
+
+    return hashes.select(key, F.posexplode_outer(F.transform(starts, at)).alias(place, "w"))
 
 
 def benchmark_windows(items: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
     """(item, q, hash, length) for the windows of the benchmark with enough plain words."""
     narrow = items.select(F.col(item).alias("item"), F.col(text).alias("text")).where("text is not null")
-    spread, plain = _windows(narrow, ["item"], "text", "q")
+    spread = _spread(narrow, "item", "text", "q", lambda h: F.array(*h))
+    slots = F.array(*[F.xxhash64(F.lit(s)) for s in ("#n", "#p", "#u")])
+    plain = F.size(F.filter("w", lambda x: ~F.array_contains(slots, x)))
     length = narrow.select("item", F.size(raw_tokens(F.col("text"))).alias("length")).groupBy("item").agg(
         F.max("length").alias("length")
     )
-    kept = spread.where(plain >= LITERALS).select("item", "q", F.xxhash64("w").alias("hash")).distinct()
+    kept = spread.where(plain >= LITERALS).select("item", "q", F.xxhash64(*[F.col("w")[j] for j in range(WINDOW)]).alias("hash")).distinct()
     return kept.join(length, "item")
 
 
@@ -108,9 +115,9 @@ def occurrences(
     """
     bench = stage(benchmark_windows(items, item, item_text), "benchmark")
     docs = rows.select(F.col(rid).alias("rid"), F.col(text).alias("text")).where("text is not null")
-    spread, _ = _windows(docs, ["rid"], "text", "p")
+    spread = _spread(docs, "rid", "text", "p", lambda h: F.xxhash64(*h))
     met = (
-        spread.select("rid", "p", F.xxhash64("w").alias("hash"))
+        spread.withColumnRenamed("w", "hash")
         .join(bench, "hash")
         .groupBy("rid", "item", (F.col("p") - F.col("q")).alias("diagonal"), "length")
         # At most one place for each token of the item.
