@@ -1,9 +1,12 @@
 """Near duplicates by MinHash bands, odd sketches and a check on full shingle sets.
 
-1. Each text becomes its set of five-word shingles, 128 MinHash samples, 32 bands
-   of four samples, and an odd sketch: the samples folded into 512 parity bits.
-   The XOR of two sketches has the fewer bits the more samples agree, which
-   estimates high similarities closely.
+1. Each text becomes its set of five-word shingles, 128 MinHash values, 32 bands
+   of four values, and an odd sketch: its MinHash sample (the shingles of smallest
+   hash, about 512, or all of a smaller set) folded into 1024 parity bits.  The
+   XOR of two sketches never has more bits than the samples differ in, and few
+   less where they are similar.  Sets of similarity 0.75 differ in at most a
+   seventh of the sum of their sizes; a pair with more bits than that (for sampled
+   sets: plus five standard deviations) cannot be linked.
 2. Texts with equal sets are one class; everything below works on classes.  Two
    sets of similarity 0.75 miss each other in all bands with probability
    (1 - 0.75^4)^32, about 5 in a million.
@@ -15,8 +18,7 @@
 4. Bands whose classes still belong to several components are compared in full,
    except within a component: classes outside the band's largest component meet
    all others, in blocks, so no task holds an unbounded band.  The sketches
-   filter within the join; pairs whose estimate is at least ``SKETCH_CUT``
-   (0.25 below the threshold, over three standard deviations) are checked.
+   filter within the join; the pairs they leave are checked.
 5. Components of the confirmed links give the classes their smallest key.
 
 The work of step 4 for one band is the product of what lies outside its largest
@@ -41,7 +43,6 @@ from tabloom.llm.base import free_name, load, query, with_row_id
 from tabloom.llm.components import connected_components
 from tabloom.session import stage
 
-SKETCH_CUT = 0.5
 BLOCK = 2048
 LONGS = S.SKETCH_BITS // 64
 
@@ -64,7 +65,7 @@ def fingerprints(rows: DataFrame, rid: str, key: str, text: str) -> DataFrame:
                     low = S.samples(found)
                     digests.append(blake2b(found.tobytes(), digest_size=16).digest())
                     bands.append(S.bands(low))
-                    sketches.append(S.odd_sketch(low))
+                    sketches.append(S.odd_sketches(found))
                 longs = pa.list_(pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(n, pa.int64()), pa.array(digests, pa.binary()),
@@ -78,10 +79,28 @@ def fingerprints(rows: DataFrame, rid: str, key: str, text: str) -> DataFrame:
     )
 
 
-def _differing(a: str, b: str) -> Column:
-    return sum(
-        (F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(LONGS)), F.lit(0)
+def _sketch(cid: str, name: str) -> list[Column]:
+    """What a comparison needs of one class, under names that end in ``name``."""
+    return [F.col("cid").alias(cid), F.col("sketch").alias(f"s{name}"), F.col("n").alias(f"n{name}"), F.col("level").alias(f"l{name}")]
+
+
+def _differing(percent: int) -> tuple[Column, Column]:
+    """Differing bits of two classes at their common level, and the most that a link allows.
+
+    Null where the sizes alone rule a link out.
+    """
+    level = F.greatest("l_a", "l_b")
+    at = {s: F.when(F.col(f"l_{s}") < level, F.lit(LONGS)).otherwise(F.lit(0)) for s in "ab"}
+    bits = sum(
+        (F.bit_count(F.get(F.col("s_a"), at["a"] + i).bitwiseXOR(F.get(F.col("s_b"), at["b"] + i))) for i in range(LONGS)),
+        F.lit(0),
     )
+    # |A xor B| <= (1 - t) / (1 + t) * (|A| + |B|) for similarity t.
+    mean = (F.col("n_a") + F.col("n_b")) * F.lit((100 - percent) / (100 + percent)) / F.pow(F.lit(2.0), level)
+    most = F.when(level == 0, mean).otherwise(mean + 5 * F.sqrt(mean))
+    alike = F.abs(F.col("l_a") - F.col("l_b")) <= 1
+    sized = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+    return F.when(alike & sized, bits), most
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -109,9 +128,9 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long")
 
 
-def _ends(classes: DataFrame, members: DataFrame, bands: DataFrame) -> DataFrame:
+def _ends(classes: DataFrame, members: DataFrame, bands: DataFrame, percent: int) -> DataFrame:
     """Each class with its best partner among the weightiest and the first of its bands."""
-    sketches = classes.select(F.col("cid").alias("c"), "sketch")
+    bits, most = _differing(percent)
     found = None
     for end in ("heaviest", "first"):
         met = (
@@ -119,17 +138,17 @@ def _ends(classes: DataFrame, members: DataFrame, bands: DataFrame) -> DataFrame
             .select(F.col("cid").alias("a"), F.col(end).alias("b"))
             .where("a <> b")
             .distinct()
-            .join(sketches.select(F.col("c").alias("a"), F.col("sketch").alias("sa")), "a")
-            .join(sketches.select(F.col("c").alias("b"), F.col("sketch").alias("sb")), "b")
-            .select("a", "b", _differing("sa", "sb").alias("d"))
-            .where(F.col("d") <= S.bits_for(SKETCH_CUT))
+            .join(classes.select(*_sketch("a", "_a")), "a")
+            .join(classes.select(*_sketch("b", "_b")), "b")
+            .where(bits <= most)
+            .select("a", "b", (bits / most).alias("d"))
         )
         best = met.groupBy("a").agg(F.min_by("b", F.struct("d", "b")).alias("b"))
         found = best if found is None else found.unionByName(best)
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _crossing(classes: DataFrame, members: DataFrame, roots: DataFrame) -> DataFrame:
+def _crossing(classes: DataFrame, members: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     """Pairs of classes that share a band, lie in different components, and may be linked."""
     placed = members.select("band", "cid").join(roots.withColumnRenamed("node", "cid"), "cid", "left").select(
         "band", "cid", F.coalesce("root", "cid").alias("root")
@@ -145,24 +164,23 @@ def _crossing(classes: DataFrame, members: DataFrame, roots: DataFrame) -> DataF
         .where("roots > 1")
         .select("band", "largest", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     )
-    rows = placed.join(open_, "band").join(
-        classes.select("cid", "sketch"), "cid"
-    )
+    rows = placed.join(open_, "band").join(classes.select("cid", "sketch", "n", "level"), "cid")
     rows = stage(rows, "bands")
     right = rows.select(
         "band",
         F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int").alias("block"),
-        F.col("cid").alias("b"), F.col("root").alias("rb"), F.col("sketch").alias("sb"),
+        *_sketch("b", "_b"), F.col("root").alias("rb"),
         (F.col("root") == F.col("largest")).alias("main"),
     )
     left = rows.where("root <> largest").select(
         "band", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
-        F.col("cid").alias("a"), F.col("root").alias("ra"), F.col("sketch").alias("sa"),
+        *_sketch("a", "_a"), F.col("root").alias("ra"),
     )
+    bits, most = _differing(percent)
     near = (
         (F.col("ra") != F.col("rb"))
         & (F.col("main") | (F.col("a") < F.col("b")))
-        & (_differing("sa", "sb") <= S.bits_for(SKETCH_CUT))
+        & (bits <= most)
     )
     met = left.join(right, ["band", "block"]).where(near)
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -185,8 +203,9 @@ def near_duplicates(
         .groupBy("digest")
         .agg(
             F.min("rid").alias("cid"), F.min(order).alias("least"), F.count(F.lit(1)).alias("rows"),
-            F.first("bands").alias("bands"), F.first("sketch").alias("sketch"),
-        ),
+            F.first("bands").alias("bands"), F.first("sketch").alias("sketch"), F.first("n").alias("n"),
+        )
+        .withColumn("level", F.length(F.bin(F.floor((F.col("n") - 1) / S.SKETCH_SAMPLE))) - (F.col("n") <= S.SKETCH_SAMPLE).cast("int")),
         "classes",
     )
     placed = classes.select("cid", F.explode("bands").alias("band"))
@@ -198,9 +217,9 @@ def near_duplicates(
         F.min("cid").alias("first"),
     )
     texts = rows.select(F.col(rid).alias("rid"), F.col(text).alias("text"))
-    links = stage(confirmed(stage(_ends(classes, members, ends), "ends"), texts, percent), "links")
+    links = stage(confirmed(stage(_ends(classes, members, ends, percent), "ends"), texts, percent), "links")
     roots = stage(connected_components(links), "roots")
-    rest = stage(_crossing(classes, members, roots), "crossing")
+    rest = stage(_crossing(classes, members, roots, percent), "crossing")
     more = stage(confirmed(rest, texts, percent), "links")
     if not more.isEmpty():
         roots = stage(connected_components(links.unionByName(more)), "roots")

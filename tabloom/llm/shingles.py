@@ -8,7 +8,8 @@ import xxhash
 WIDTH = 5
 SAMPLES = 128
 ROWS = 4
-SKETCH_BITS = 512
+SKETCH_BITS = 1024
+SKETCH_SAMPLE = 512
 
 _STEPS = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F],
@@ -17,7 +18,6 @@ _STEPS = np.array(
 _rng = np.random.default_rng(20240229)
 _FACTORS = (_rng.integers(0, 2**32, SAMPLES, dtype=np.uint32) | np.uint32(1))[None, :]
 _TERMS = _rng.integers(0, 2**32, SAMPLES, dtype=np.uint32)[None, :]
-_SALTS = _rng.integers(0, 2**63, SAMPLES, dtype=np.uint64)
 _MOST_KEPT_WORDS = 500_000
 _kept: dict[bytes, int] = {}
 
@@ -74,22 +74,28 @@ def bands(low: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-def odd_sketch(low: np.ndarray) -> np.ndarray:
-    """Parity bitmap of the samples: bit i tells whether an odd number falls on i."""
-    at = (mixed(low.astype(np.uint64) ^ _SALTS) % np.uint64(SKETCH_BITS)).astype(np.int64)
-    odd = np.bincount(at, minlength=SKETCH_BITS) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+def level_of(n: int) -> int:
+    """How often a set of n is halved by its hash until about ``SKETCH_SAMPLE`` are left."""
+    return max(0, (max(n, 1) - 1) // SKETCH_SAMPLE).bit_length()
 
 
-def similarity_of(differing_bits: float) -> float:
-    """Jaccard similarity that a number of differing bits stands for."""
-    rest = max(1.0 - 2.0 * differing_bits / SKETCH_BITS, 1e-9)
-    return 1.0 + SKETCH_BITS / (4.0 * SAMPLES) * np.log(rest)
+def odd_sketches(found: np.ndarray) -> np.ndarray:
+    """Parity bitmaps of the set's MinHash sample at its own level and at the next.
 
-
-def bits_for(similarity: float) -> int:
-    """The largest number of differing bits that stands for at least ``similarity``."""
-    return int(np.floor(SKETCH_BITS / 2.0 * (1.0 - np.exp((similarity - 1.0) * 4.0 * SAMPLES / SKETCH_BITS))))
+    The sample at level l holds the shingles whose hash lies below 2 ** (64 - l),
+    so samples of different sets at one level can be compared.  Bit i tells
+    whether an odd number of them falls on i.  The XOR of two sketches is the
+    sketch of the symmetric difference of the samples, and has at most as many
+    bits as that difference has members.
+    """
+    h, out = mixed(found ^ _STEPS[3]), []
+    level = level_of(len(found))
+    for own in (level, level + 1):
+        sample = h[h < np.uint64(2 ** (64 - own))] if own else h
+        at = (mixed(sample + _STEPS[4]) % np.uint64(SKETCH_BITS)).astype(np.int64)
+        odd = np.bincount(at, minlength=SKETCH_BITS) & 1
+        out.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
+    return np.concatenate(out)
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int = 75) -> bool:
