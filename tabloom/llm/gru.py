@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -239,13 +240,18 @@ class Net:
         return _sigmoid(best - self.shift)
 
 
-def _evidence(groups: list[set[str]], y: np.ndarray, least: int, most: int):
+def _evidence(groups: Iterable[set[str]], y: np.ndarray, least: int, most: int):
     """Smoothed log odds of the items that occur in at least ``least`` texts.
 
     The most telling ``most`` items get ids from 1; 0 stands for all others.
+    Groups are taken one at a time.
     """
-    seen = Counter(x for g in groups for x in g)
-    hit = Counter(x for g, label in zip(groups, y, strict=True) if label for x in g)
+    seen: Counter[str] = Counter()
+    hit: Counter[str] = Counter()
+    for g, label in zip(groups, y, strict=True):
+        seen.update(g)
+        if label:
+            hit.update(g)
     n1 = max(int(y.sum()), 1)
     n0 = max(len(y) - n1, 1)
     odds = {}
@@ -278,12 +284,7 @@ def train(texts: list[str], labels: list[int], settings: Settings | None = None)
     back = rng.random(len(texts)) < 0.2
     fit = np.flatnonzero(~back) if 0 < y[~back].sum() < (~back).sum() else np.arange(len(texts))
     word_ids, word_values = _evidence([set(words[i]) for i in fit], y[fit], s.min_texts, s.max_words)
-    split: dict[str, list[str]] = {}
-    for w in words:
-        for x in w:
-            if x not in split:
-                split[x] = grams_of(x)
-    gram_sets = [set().union(*(split[x] for x in set(words[i]))) if words[i] else set() for i in fit]
+    gram_sets = ({g for w in set(words[i]) for g in grams_of(w)} for i in fit)
     gram_ids, gram_values = _evidence(gram_sets, y[fit], s.min_texts, s.max_grams)
     d, h, a = 2 * s.embedding + 2, s.hidden, 8
 
@@ -300,7 +301,10 @@ def train(texts: list[str], labels: list[int], settings: Settings | None = None)
     }
     p["word"][0] = p["gram"][0] = 0
     net = Net(s, word_ids, gram_ids, word_values, gram_values, p)
-    vocab = {w: i + 1 for i, w in enumerate(split)}
+    vocab: dict[str, int] = {}
+    for own in words:
+        for w in own:
+            vocab.setdefault(w, len(vocab) + 1)
     ids, gram_flat, lengths, values = net.word_inputs(list(vocab))
     gram_begin = np.cumsum(lengths) - lengths
 
@@ -311,6 +315,7 @@ def train(texts: list[str], labels: list[int], settings: Settings | None = None)
         return ids[used], gram_flat[at], n, values[used]
 
     coded = [np.array([vocab[x] for x in w], np.int32) for w in words]
+    del words, vocab
     starts = [windows_of(len(c), s.window, s.stride) for c in coded]
 
     def window(i: int, b: int) -> np.ndarray:

@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from tabloom.llm import gru
 from tabloom.llm.base import free_name, load, query
 
-TOXIC_TEXTS = 900
-CLEAN_TEXTS = 3600
+TOXIC_TEXTS = 600
+CLEAN_TEXTS = 2400
 TRAINING_CHARS = 6000
 FOLDS = 5
 ROWS_AT_ONCE = 512
