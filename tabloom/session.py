@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -36,7 +37,8 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/tabloom/{label}-{uuid.uuid4().hex}"
 
 
-_staged: list[str] = []
+# What the current scope has staged; each thread and context has its own scope.
+_scope: ContextVar[list[str] | None] = ContextVar("tabloom_staged", default=None)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -48,21 +50,38 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    _staged.append(path)
+    if (paths := _scope.get()) is not None:
+        paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def noting(paths: list[str]) -> Iterator[None]:
+    """Add the path of everything staged inside to ``paths``, for a later ``discard``."""
+    token = _scope.set(paths)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+
+
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Delete staged data; frames that read it must have been written out."""
+    for path in paths:
+        location = spark._jvm.org.apache.hadoop.fs.Path(path)
+        location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
+    paths.clear()
+
+
 @contextmanager
 def staging(spark: SparkSession) -> Iterator[None]:
     """Delete on leaving what operators staged inside; write results out before."""
-    before = len(_staged)
+    paths: list[str] = []
     try:
-        yield
+        with noting(paths):
+            yield
     finally:
-        for path in _staged[before:]:
-            location = spark._jvm.org.apache.hadoop.fs.Path(path)
-            location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
-        del _staged[before:]
+        discard(spark, paths)
 
 
 @contextmanager
@@ -102,7 +121,7 @@ def scale_settings(input_bytes: int, task_bytes: int = 128 << 20) -> dict[str, s
     """
     partitions = max(8, -(-input_bytes // task_bytes))
     return {
-        "spark.sql.shuffle.partitions": str(min(partitions, 100_000)),
+        "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(task_bytes),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -127,7 +146,4 @@ def input_bytes(df: DataFrame) -> int:
 
 def broadcast_limit(spark: SparkSession) -> int:
     """Size in bytes up to which Spark itself chooses a broadcast join."""
-    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").strip().lower()
-    units = {"b": 0, "k": 10, "kb": 10, "m": 20, "mb": 20, "g": 30, "gb": 30}
-    digits = text.rstrip("bkmg")
-    return int(digits) << units[text[len(digits):] or "b"]
+    return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
