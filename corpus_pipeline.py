@@ -8,6 +8,9 @@ adds ``shard`` and ``slot`` to the columns of documents.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tabloom.llm.base import load
@@ -16,25 +19,47 @@ from tabloom.llm.mixing import mixed_documents
 from tabloom.llm.near_dedup import drop_near_duplicates
 from tabloom.llm.sharding import shard_documents
 from tabloom.llm.toxicity import drop_toxic
-from tabloom.session import stage
+from tabloom.session import discard, noting, scratch_path
+
+_intermediate: list[str] = []
+
+
+def _freeing(step: Callable) -> Callable:
+    """A stage that first deletes what the stage before it left in the shared folder.
+
+    By then the earlier result has been written out and is no longer read from there.
+    """
+
+    @wraps(step)
+    def run_step(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        discard(spark, _intermediate)
+        with noting(_intermediate):
+            return step(spark, docs, sf_dir)
+
+    return run_step
 
 
+@_freeing
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_toxic(docs, load(spark, sf_dir, "labels"))
 
 
+@_freeing
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_near_duplicates(docs)
 
 
+@_freeing
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_contaminated(docs, load(spark, sf_dir, "benchmark"))
 
 
+@_freeing
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixed_documents(docs)
 
 
+@_freeing
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return shard_documents(docs)
 
@@ -53,6 +78,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
+    written = None
     for name, step in STAGES:
-        docs = stage(step(spark, docs, sf_dir), name)
+        path = scratch_path(spark, name)
+        step(spark, docs, sf_dir).write.parquet(path)
+        if written:
+            discard(spark, [written])
+        docs, written = spark.read.parquet(path), path
+    discard(spark, _intermediate)
     return docs
