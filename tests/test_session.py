@@ -44,7 +44,7 @@ def test_sizes(spark):
 def test_settings_follow_the_input():
     small, large = session.scale_settings(1 << 20), session.scale_settings(100 << 40)
     assert small["spark.sql.shuffle.partitions"] == "8"
-    assert large["spark.sql.shuffle.partitions"] == "100000"
+    assert large["spark.sql.shuffle.partitions"] == "819200"
 
 
 def test_large_inputs_are_left_in_place(spark, monkeypatch):
