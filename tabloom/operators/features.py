@@ -9,7 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabloom.operators.joins import lookup_join
+from tabloom.operators.joins import (
+    ROWS_PER_TASK,
+    crowded_keys,
+    is_large,
+    lookup_join,
+    lookup_keys,
+)
 from tabloom.session import plan_bytes
 from tabloom.sources import tables
 
@@ -202,12 +208,21 @@ def _looked_up(
     return [n for n in (lookup.feature_names or columns) if n not in spec.primary_keys]
 
 
-def apply_lookups(df: DataFrame, lookups: Iterable[FeatureLookup]) -> DataFrame:
+def apply_lookups(
+    df: DataFrame,
+    lookups: Iterable[FeatureLookup],
+    small_bytes: int | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
     """Fetch the features of every lookup; unmatched keys give null features.
 
-    Only keys and requested features are read from each table.
+    Only keys and requested features are read from each table.  Keys of all
+    lookups into large tables are counted in one pass over ``df``, so that the
+    rows are read twice in all, however many lookups there are.
     """
     spark = df.sparkSession
+    steps = []
+    columns = list(df.columns)
     for lookup in lookups:
         spec = feature_table_spec(spark, lookup.table)
         table = spark.read.table(lookup.table)
@@ -217,14 +232,28 @@ def apply_lookups(df: DataFrame, lookups: Iterable[FeatureLookup]) -> DataFrame:
         if len(given) != len(keys):
             raise ValueError(f"{lookup.table} has keys {keys}, lookup gives {given}")
         names = _looked_up(lookup, spec, table.columns)
-        clash = [n for n in names if n in df.columns]
+        clash = [n for n in names if n in columns]
         if clash:
             raise ValueError(f"features {clash} of {lookup.table} are already in the frame")
         features = table.select(
             *(F.col(k).alias(g) for k, g in zip(keys, given, strict=True)), *names
         )
-        order = [*df.columns, *names]
-        df = lookup_join(df, features, given).select(*order)
+        steps.append((features, given))
+        columns += names
+    # A key that an earlier lookup fetches is counted by its own join.
+    counted = [
+        i
+        for i, (features, given) in enumerate(steps)
+        if set(given) <= set(df.columns) and is_large(features, small_bytes)
+    ]
+    crowded = None
+    if counted:
+        key_sets = [lookup_keys(df, *steps[i])[0] for i in counted]
+        crowded = crowded_keys(df, key_sets, rows_per_task)
+    for i, (features, given) in enumerate(steps):
+        mine = crowded.where(F.col("set") == counted.index(i)) if i in counted else None
+        # Keys of feature tables are checked when they are written.
+        df = lookup_join(df, features, given, small_bytes, rows_per_task, True, mine)
     return df
 
 

@@ -4,33 +4,87 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tabloom.session import broadcast_limit, plan_bytes
+from tabloom.session import broadcast_limit, plan_bytes, stage
 
-# A key is hot when it alone holds this share of the rows: there are at most
-# 1/HOT_SHARE such keys, which bounds what the hot side broadcasts.
-HOT_SHARE = 0.001
-_TRACKED_KEYS = 10_000
+# Rows of one key that one task may receive; a key with more is spread over several tasks.
+ROWS_PER_TASK = 4_000_000
 
+# Crowded keys are at most rows / ROWS_PER_TASK in number; up to this many are broadcast.
+_MOST_BROADCAST = 1_000_000
 
-def hot_key_hashes(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> list[int]:
-    """Hashes of keys holding at least ``share`` of the rows (at most 1/share of them).
+_INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_FLOATS = (T.FloatType, T.DoubleType)
 
-    One pass over the key columns with a bounded summary; a summary's errors
-    only change which way a row is handled, never the result.
+
+def common_key_type(left: T.DataType, right: T.DataType) -> T.DataType:
+    """The type in which keys of two types are compared; an error if there is none.
+
+    Integers take the wider type, an integer and a fraction double.  Text that
+    meets a number is read as one, and matches nothing where it is not one.
     """
-    most = round(1 / share)
-    found = (
-        df.select(F.xxhash64(*keys).alias("h"))
-        .agg(
-            F.expr(f"approx_top_k(h, {most}, {_TRACKED_KEYS})").alias("top"),
-            F.count(F.lit(1)).alias("n"),
-        )
-        .first()
+    if left == right:
+        return left
+    both = (left, right)
+    if all(isinstance(t, _INTEGERS) for t in both):
+        return max(both, key=lambda t: _INTEGERS.index(type(t)))
+    numbers = [t for t in both if isinstance(t, (*_INTEGERS, *_FLOATS))]
+    if len(numbers) == 2:
+        return T.DoubleType()
+    if len(numbers) == 1 and any(isinstance(t, T.StringType) for t in both):
+        return T.LongType() if isinstance(numbers[0], _INTEGERS) else T.DoubleType()
+    raise ValueError(f"keys of type {left.simpleString()} and {right.simpleString()} do not compare")
+
+
+def _as_type(key: str, have: T.DataType, want: T.DataType) -> Column:
+    value = F.col(key)
+    if have != want:
+        value = value.try_cast(want)
+    # One zero: -0.0 and 0.0 are equal keys and must have equal hashes.
+    return value + F.lit(0.0) if isinstance(want, T.DoubleType) else value
+
+
+def crowded_keys(
+    df: DataFrame, key_sets: Sequence[Sequence[Column | str]], rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
+    """Hashes of keys with more than ``rows_per_task`` rows, per key set, staged.
+
+    One pass over the key columns, exact, combined before the shuffle.  Columns:
+    ``set`` (position in ``key_sets``), ``h`` and ``n_rows``.
+    """
+    hashes = [
+        F.struct(F.lit(i).alias("set"), F.xxhash64(*keys).alias("h"))
+        for i, keys in enumerate(key_sets)
+    ]
+    counted = (
+        df.select(F.inline(F.array(*hashes)))
+        .groupBy("set", "h")
+        .agg(F.count(F.lit(1)).alias("n_rows"))
+        .where(F.col("n_rows") > rows_per_task)
     )
-    return [t["item"] for t in found["top"] or [] if t["count"] >= share * found["n"]]
+    return stage(counted, "crowded-keys")
+
+
+def lookup_keys(
+    df: DataFrame, features: DataFrame, keys: Sequence[str]
+) -> tuple[list[Column], list[Column]]:
+    """Both sides' key expressions, cast to the types in which they compare."""
+    left, right = [], []
+    for k in keys:
+        have, other = df.schema[k].dataType, features.schema[k].dataType
+        want = common_key_type(have, other)
+        left.append(_as_type(k, have, want))
+        right.append(_as_type(k, other, want))
+    return left, right
+
+
+def is_large(features: DataFrame, small_bytes: int | None = None) -> bool:
+    """Whether a side is too large for Spark to broadcast by its own size rule."""
+    limit = broadcast_limit(features.sparkSession) if small_bytes is None else small_bytes
+    return plan_bytes(features) > limit
 
 
 def lookup_join(
@@ -38,23 +92,67 @@ def lookup_join(
     features: DataFrame,
     keys: Sequence[str],
     small_bytes: int | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
+    unique: bool = False,
+    crowded: DataFrame | None = None,
 ) -> DataFrame:
-    """Left join to a frame whose ``keys`` are unique; every row of ``df`` is kept.
+    """Left join to a frame with unique ``keys``; every row of ``df`` comes out once.
+
+    Repeated feature keys are an error, found by a pass over the features; with
+    ``unique`` the caller vouches for them.  Null keys match nothing.  Keys of
+    different types compare as ``common_key_type`` says.
 
     A small feature side is left to Spark, whose own size rule (the default of
-    ``small_bytes``) broadcasts it.  A large one is shuffled, and rows with a hot
-    key are joined apart, to the few feature rows they can match, so that no
-    task receives all rows of one key.
+    ``small_bytes``) broadcasts it.  Beside a large one, keys with more than
+    ``rows_per_task`` rows are salted: their rows are dealt over several tasks by
+    a hash of the whole row, and their one feature row is repeated for each.
+    ``df`` is read once in the join, and once more to count its keys unless
+    ``crowded`` (columns ``h`` and ``n_rows``) brings those counts.
     """
     keys = list(keys)
-    limit = broadcast_limit(df.sparkSession) if small_bytes is None else small_bytes
-    if plan_bytes(features) <= limit:
-        return df.join(features, keys, "left")
-    hot = hot_key_hashes(df, keys)
-    if not hot:
-        return df.join(features, keys, "left")
-    is_hot = F.xxhash64(*keys).isin(hot)
-    # Unique keys: one feature row per hot key, at most 1/HOT_SHARE in all.
-    hot_features = F.broadcast(features.where(is_hot))
-    cold = df.where(~is_hot).join(features, keys, "left")
-    return cold.unionByName(df.where(is_hot).join(hot_features, keys, "left"))
+    on_left, on_right = lookup_keys(df, features, keys)
+    if not unique:
+        repeated = features.groupBy(*(k.alias(f"k{i}") for i, k in enumerate(on_right))).count()
+        known = [F.col(f"k{i}").isNotNull() for i in range(len(keys))]
+        for condition in known:
+            repeated = repeated.where(condition)
+        if not repeated.where(F.col("count") > 1).isEmpty():
+            raise ValueError(f"features have repeated keys in {keys}")
+    values = [c for c in features.columns if c not in keys]
+    looked_up = features.select(*(k.alias(f"__key{i}") for i, k in enumerate(on_right)), *values)
+    same = F.lit(True)
+    for i, k in enumerate(on_left):
+        same = same & (k == F.col(f"__key{i}"))
+    if not is_large(features, small_bytes):
+        return df.join(looked_up, same, "left").select(*df.columns, *values)
+    if crowded is None:
+        crowded = crowded_keys(df, [on_left], rows_per_task)
+    n_crowded = crowded.count()
+    if n_crowded:
+        parts = F.ceil(F.col("n_rows") / rows_per_task).cast("int").alias("__parts")
+        spread = crowded.select(F.col("h").alias("__hash"), parts)
+        if n_crowded <= _MOST_BROADCAST:
+            spread = F.broadcast(spread)
+        whole_row = F.xxhash64(*(f.name for f in df.schema.fields if _hashable(f.dataType)))
+        df_columns = df.columns
+        df = (
+            df.withColumn("__hash", F.xxhash64(*on_left))
+            .join(spread, "__hash", "left")
+            .withColumn("__salt", F.coalesce(F.pmod(whole_row, "__parts"), F.lit(0)).cast("int"))
+            .select(*df_columns, "__salt")
+        )
+        salts = F.sequence(F.lit(0), F.coalesce("__parts", F.lit(1)) - 1)
+        key_columns = [f"__key{i}" for i in range(len(keys))]
+        looked_up = (
+            looked_up.withColumn("__hash", F.xxhash64(*key_columns))
+            .join(spread, "__hash", "left")
+            .select(*key_columns, *values, F.explode(salts).alias("__dealt"))
+        )
+        joined = df.join(looked_up, same & (F.col("__salt") == F.col("__dealt")), "left")
+        return joined.select(*df_columns, *values)
+    return df.join(looked_up, same, "left").select(*df.columns, *values)
+
+
+def _hashable(kind: T.DataType) -> bool:
+    """Spark hashes neither maps nor variants, at any depth."""
+    return not any(word in kind.simpleString() for word in ("map<", "variant"))

@@ -15,16 +15,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
-from tabloom.operators.joins import hot_key_hashes
+from tabloom.operators.joins import ROWS_PER_TASK, crowded_keys
 from tabloom.session import stage
 
 # monotonically_increasing_id keeps the row's position in its task in the low 33 bits.
 _POSITION_BITS = 33
 _PART, _POS, _OFFSET = "__part", "__pos", "__offset"
 
-# A sort key holding this share of the rows would crowd a range partition.
-_HOT_ORDER_SHARE = 0.01
-
 # Up to this many rows, one task may sort a whole group.
 SMALL_GROUP_ROWS = 1_000_000
 
@@ -46,7 +43,9 @@ def _partition_offsets(totals: DataFrame, groups: Sequence[str], sums: Sequence[
     )
 
 
-def dense_row_id(df: DataFrame, id_col: str, order_by: Sequence[str]) -> DataFrame:
+def dense_row_id(
+    df: DataFrame, id_col: str, order_by: Sequence[str], rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
     """Ids 0..n-1 in the order of ``order_by``, the same for any partitioning.
 
     Rows with equal keys are ordered by a hash of their other columns, which
@@ -61,7 +60,8 @@ def dense_row_id(df: DataFrame, id_col: str, order_by: Sequence[str]) -> DataFra
     if rest:
         df = df.withColumn("__tie", F.xxhash64(*rest))
         order.append("__tie")
-    if hot_key_hashes(df, order_by, _HOT_ORDER_SHARE):
+    # The tie-breaker is part of the key: only rows equal in all columns can crowd a partition.
+    if not crowded_keys(df, [order], rows_per_task).isEmpty():
         df = stage(df.withColumn("__spread", F.monotonically_increasing_id()), "row-id-input")
         order.append("__spread")
     placed = (

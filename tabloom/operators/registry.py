@@ -126,7 +126,7 @@ def after_model_deletion(events: DataFrame, deletions: DataFrame) -> DataFrame:
         .groupBy("name")
         .agg(F.max("seq").alias("gone_at"))
     )
-    kept = lookup_join(events, gone, ["name"])
+    kept = lookup_join(events, gone, ["name"], unique=True)
     return kept.where(F.col("gone_at").isNull() | (F.col("seq") > F.col("gone_at"))).select(
         *events.columns
     )
@@ -139,12 +139,22 @@ def live_versions(versions: DataFrame, deletions: DataFrame) -> DataFrame:
         .groupBy("name", "version")
         .agg(F.max("seq").alias("gone_at"))
     )
-    kept = lookup_join(after_model_deletion(versions, deletions), gone, ["name", "version"])
+    kept = lookup_join(
+        after_model_deletion(versions, deletions), gone, ["name", "version"], unique=True
+    )
     return kept.where(F.col("gone_at").isNull() | (F.col("seq") > F.col("gone_at"))).select(
         *versions.columns
     )
 
 
+def live_tags(tag_events: DataFrame, deletions: DataFrame) -> DataFrame:
+    """Latest tags of models and versions that exist: set after their last deletion.
+
+    A tag of the model itself has no version and is untouched by deleted versions.
+    """
+    return current_tags(live_versions(tag_events, deletions))
+
+
 def parse_uris(df: DataFrame, uri: str = "uri") -> DataFrame:
     """Split model addresses into kind, name and selector columns.
 
@@ -203,7 +213,7 @@ def resolve_uris(
             )
         )
     )
-    pointed = lookup_join(pointers, stored, ["name", "version"]).where(
+    pointed = lookup_join(pointers, stored, ["name", "version"], unique=True).where(
         F.col("model_path").isNotNull()
     )
     by_version = stored.select(
@@ -213,22 +223,24 @@ def resolve_uris(
         "version",
         "model_path",
     )
-    targets = (
-        pointed.unionByName(by_version)
-        .groupBy("kind", "name", "selector")
-        .agg(F.max(F.struct("version", "model_path")).alias("t"))
-        .select("kind", "name", "selector", "t.version", "t.model_path")
-    )
+    named = pointed.unionByName(by_version)
     if runs is not None:
         artifacts = runs.select(
             F.lit("run").alias("kind"),
             F.col("run_id").alias("name"),
             F.explode("artifacts").alias("selector", "model_path"),
         ).withColumn("version", F.lit(None).cast("int"))
-        targets = targets.unionByName(artifacts)
-    return lookup_join(parse_uris(uris), targets, ["kind", "name", "selector"]).select(
-        *uris.columns, "kind", "name", "version", "model_path"
+        named = named.unionByName(artifacts)
+    # One target per address, also where a run id was logged twice.
+    targets = (
+        named.groupBy("kind", "name", "selector")
+        .agg(F.max(F.struct("version", "model_path")).alias("t"))
+        .select("kind", "name", "selector", "t.version", "t.model_path")
+    )
+    found = lookup_join(
+        parse_uris(uris), targets, ["kind", "name", "selector"], unique=True
     )
+    return found.select(*uris.columns, "kind", "name", "version", "model_path")
 
 
 # --- the stored registry --------------------------------------------------
@@ -321,7 +333,7 @@ class ModelRegistry:
         return after_model_deletion(self.table(table), self.table("deletions"))
 
     def tags(self) -> DataFrame:
-        return current_tags(self._current("tags"))
+        return live_tags(self.table("tags"), self.table("deletions"))
 
     def latest_version(self, name: str) -> int:
         return latest_version(self.versions(), name).first()["latest_version"]

@@ -181,13 +181,70 @@ def feature_table_upsert_layered(spark, sf_dir):
     """,
 )
 def training_set_lookup_skewed(spark, sf_dir):
-    """Keys that each hold a fifth of the rows, joined apart as if no side were small."""
+    """Keys that each hold a fifth of the rows, salted as if no side were small."""
     events = load(spark, sf_dir, "events")
     kinds = events.groupBy("event_type").agg(
         F.count(F.lit(1)).alias("n_events"), F.round(F.avg("value"), 6).alias("mean_value")
     )
     rows = events.select("event_id", "event_type", "user_id")
-    return lookup_join(rows, kinds, ["event_type"], small_bytes=0)
+    return lookup_join(rows, kinds, ["event_type"], small_bytes=0, rows_per_task=100)
+
+
+@query(
+    "training_set_lookup_mixed_types",
+    """
+    WITH lines AS (
+      SELECT l_linenumber AS line, count(*) AS n_lines, sum(l_orderkey) AS orderkey_sum
+      FROM lineitem GROUP BY l_linenumber
+    )
+    SELECT l_orderkey, l_linenumber, CAST(l_linenumber AS INTEGER) AS line, n_lines,
+           CAST(orderkey_sum AS BIGINT) AS orderkey_sum
+    FROM lineitem LEFT JOIN lines ON l_linenumber = line
+    """,
+)
+def training_set_lookup_mixed_types(spark, sf_dir):
+    """Few keys, 32-bit beside 64-bit features, salted: every row finds its features."""
+    lineitem = load(spark, sf_dir, "lineitem")
+    lines = lineitem.groupBy(F.col("l_linenumber").cast("bigint").alias("line")).agg(
+        F.count(F.lit(1)).alias("n_lines"), F.sum("l_orderkey").alias("orderkey_sum")
+    )
+    rows = lineitem.select(
+        "l_orderkey", "l_linenumber", F.col("l_linenumber").cast("int").alias("line")
+    )
+    return lookup_join(rows, lines, ["line"], small_bytes=0, rows_per_task=100)
+
+
+@query(
+    "training_set_three_lookups_skewed",
+    f"""
+    WITH {_LABELLED},
+    lines AS (
+      SELECT l_linenumber, count(*) AS n_lines FROM lineitem GROUP BY l_linenumber
+    )
+    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, real_time_measurement,
+           p_size, p_retailprice, s_nationkey, s_acctbal, n_lines
+    FROM labelled LEFT JOIN part ON l_partkey = p_partkey
+                  LEFT JOIN supplier ON l_suppkey = s_suppkey
+                  LEFT JOIN lines USING (l_linenumber)
+    """,
+)
+def training_set_three_lookups_skewed(spark, sf_dir):
+    """Three tables looked up as if none were small; the labelled rows are joined in one pass."""
+    schema = work_schema(spark)
+    lines = f"{schema}.line_features"
+    counts = load(spark, sf_dir, "lineitem").groupBy("l_linenumber")
+    features.create_feature_table(
+        spark, lines, "l_linenumber", counts.agg(F.count(F.lit(1)).alias("n_lines"))
+    )
+    lookups = [
+        FeatureLookup(
+            _part_features(spark, sf_dir, schema), "l_partkey", ("p_size", "p_retailprice")
+        ),
+        FeatureLookup(_supplier_features(spark, sf_dir, schema), "l_suppkey"),
+        FeatureLookup(lines),
+    ]
+    rows = _labelled(spark, sf_dir)
+    return features.apply_lookups(rows, lookups, small_bytes=0, rows_per_task=100)
 
 
 @query(

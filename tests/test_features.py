@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tabloom.operators import features, models, scoring
 from tabloom.operators.features import FeatureLookup
-from tabloom.operators.joins import hot_key_hashes, lookup_join
+from tabloom.operators.joins import crowded_keys, lookup_join
 from tabloom.session import scratch_path
 from tabloom.sources.models import load_model, save_model
 
@@ -148,23 +148,74 @@ def test_clashing_features_are_refused(spark, items):
         features.apply_lookups(labelled, [FeatureLookup(items, ("item_id", "size"))])
 
 
-def test_hot_keys_are_joined_apart(spark):
+def test_crowded_keys_are_salted(spark):
     # A third of the rows share one key, another third has no key at all.
     key = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, None).otherwise(F.col("id"))
     left = spark.range(9000).select(F.col("id").alias("row"), key.alias("k"))
     right = spark.range(0, 9000, 2).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
     right = right.unionByName(spark.createDataFrame([(7, 14)], "k bigint, v bigint"))
-    assert len(hot_key_hashes(left, ["k"])) == 2
-    want = _rows(left.join(right, ["k"], "left"))
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
-    try:
-        joined = lookup_join(left, right, ["k"])
-        plan = joined._jdf.queryExecution().executedPlan().toString()
-        assert "Union" in plan and "SortMergeJoin" in plan and "BroadcastHashJoin" in plan
+    found = crowded_keys(left, [["k"], ["row"]], 500).collect()
+    assert sorted((r["set"], r["n_rows"]) for r in found) == [(0, 3000), (0, 3000)]
+    want = _rows(left.join(right, ["k"], "left").select("row", "k", "v"))
+    joined = lookup_join(left, right, ["k"], small_bytes=0, rows_per_task=500)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "__salt" in plan and "Union" not in plan
+    assert _rows(joined) == want
+    # No key reaches the default bound here, and the plain join gives the same.
+    assert _rows(lookup_join(left, right, ["k"], small_bytes=0)) == want
+
+
+@pytest.mark.parametrize("have", ["int", "bigint", "string", "double"])
+@pytest.mark.parametrize("other", ["int", "bigint", "string", "double"])
+def test_keys_of_different_types_meet(spark, have, other):
+    left = spark.range(300).select(
+        F.col("id").alias("row"), (F.col("id") % 3).cast(have).alias("k")
+    )
+    right = spark.range(2).select(F.col("id").cast(other).alias("k"), (F.col("id") + 10).alias("v"))
+    want = _rows(left.join(right, left["k"] == right["k"], "left").select("row", left["k"], "v"))
+    for rows_per_task in (20, 1000):
+        joined = lookup_join(left, right, ["k"], small_bytes=0, rows_per_task=rows_per_task)
         assert _rows(joined) == want
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        assert joined.where("v IS NULL").count() == 100
+
+
+def test_keys_without_a_common_type_or_repeated_are_refused(spark):
+    left = spark.createDataFrame([("x",), ("1",), (None,)], "k string")
+    with pytest.raises(ValueError, match="do not compare"):
+        lookup_join(left, spark.sql("SELECT DATE'2024-01-01' AS k, 1 AS v"), ["k"])
+    twice = spark.createDataFrame([(1, 2), (1, 3), (None, 4), (None, 5)], "k int, v int")
+    with pytest.raises(ValueError, match="repeated"):
+        lookup_join(left, twice, ["k"])
+    # Text that is no number matches nothing; null keys do not count as repeated.
+    once = lookup_join(left, twice.where("v <> 3"), ["k"], small_bytes=0, rows_per_task=0)
+    assert _rows(once) == sorted(map(repr, [("x", None), ("1", 2), (None, None)]))
+
+
+def test_zeros_of_both_signs_are_one_key(spark):
+    left = spark.createDataFrame([(-0.0,), (0.0,)], "k double")
+    right = spark.createDataFrame([(0.0, 5)], "k double, v int")
+    joined = lookup_join(left, right, ["k"], small_bytes=0, rows_per_task=1)
+    assert [r["v"] for r in joined.collect()] == [5, 5]
+
+
+def test_labelled_rows_are_read_once_however_many_lookups(spark, schema, sf_dir):
+    labelled = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"
+    )
+    lookups = []
+    for key in ("l_partkey", "l_suppkey", "l_linenumber"):
+        name = f"{schema}.by_{key}"
+        rows = labelled.groupBy(key).agg(F.count("*").alias(f"n_{key}"))
+        features.create_feature_table(spark, name, key, rows)
+        lookups.append(FeatureLookup(name))
+    joined = features.apply_lookups(labelled, lookups, small_bytes=0, rows_per_task=100)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line and "l_orderkey" in line]
+    assert len(scans) == 1 and "__salt" in plan
+    plain = labelled
+    for lookup in lookups:
+        plain = plain.join(spark.read.table(lookup.table), lookup.table.split("by_")[1], "left")
+    assert _rows(joined) == _rows(plain.select(*joined.columns))
 
 
 def test_scoring_replays_the_recipe(spark, items):

@@ -34,9 +34,10 @@ def test_ids_when_one_key_holds_most_rows(spark):
     assert {r["k"]: r["rid"] for r in got} == {r["k"]: r["rid"] for r in again}
 
 
-def test_ids_of_identical_rows(spark):
+@pytest.mark.parametrize("rows_per_task", [10, 10_000])
+def test_ids_of_identical_rows(spark, rows_per_task):
     rows = spark.range(500).select((F.col("id") % 2).alias("a"), F.lit("x").alias("b"))
-    got = dense_row_id(rows, "rid", ["a"]).collect()
+    got = dense_row_id(rows, "rid", ["a"], rows_per_task).collect()
     assert sorted(r["rid"] for r in got) == list(range(500))
     assert all((r["rid"] < 250) == (r["a"] == 0) for r in got)
 
