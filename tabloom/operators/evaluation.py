@@ -25,11 +25,17 @@ def auc(
 ) -> DataFrame:
     """Area under the ROC curve; tied scores share half.  Null if a class is absent.
 
+    Rows without a score (null or NaN) and rows with a label other than 0 and 1
+    take no part.
+
     Rows are first reduced to distinct scores with their class counts, which
     combines on the map side, and only those are put in order.
     """
     positive = F.col(label).cast("double") == 1.0
-    known = df.where(F.col(label).isNotNull() & F.col(score).isNotNull())
+    value = F.col(score).cast("double")
+    known = df.where(
+        F.col(label).cast("double").isin(0.0, 1.0) & value.isNotNull() & ~F.isnan(value)
+    )
     tied = known.groupBy(*by, F.col(score).cast("double").alias("__score")).agg(
         F.count_if(positive).alias("__pos"), F.count_if(~positive).alias("__neg")
     )

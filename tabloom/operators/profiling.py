@@ -10,7 +10,6 @@ from pyspark.sql import types as T
 
 from tabloom.operators.ordering import (
     BROADCAST_ROWS,
-    SMALL_GROUP_ROWS,
     stage_in_order,
     values_at_ranks,
 )
@@ -48,24 +47,35 @@ def value_histogram(df: DataFrame, column: str) -> DataFrame:
 
 
 def numeric_histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
-    """Equal-width bins between the least and greatest value; the last bin is closed.
+    """Equal-width bins between the least and greatest finite value; the last bin is closed.
 
-    Empty bins are left out; nulls and NaN are not counted.
+    Infinite values are counted apart, below as bin -1 and above as bin ``bins``,
+    with infinite edges.  Empty bins are left out; nulls and NaN are not counted.
     """
     value = F.col(column).cast("double")
     known = df.select(value.alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
-    low, high = known.agg(F.min("v"), F.max("v")).first()
+    above, below = F.lit(float("inf")), F.lit(float("-inf"))
+    finite = F.when((F.col("v") < above) & (F.col("v") > below), F.col("v"))
+    low, high = known.agg(F.min(finite), F.max(finite)).first()
     if low is None:
         low = high = 0.0
     width = (high - low) / bins or 1.0
-    bin_no = F.least(F.lit(bins - 1), F.floor((F.col("v") - F.lit(low)) / F.lit(width)))
+    inside = F.least(F.lit(bins - 1), F.floor((finite - F.lit(low)) / F.lit(width)))
+    bin_no = (
+        F.when(F.col("v") == below, -1).when(F.col("v") == above, bins).otherwise(inside)
+    )
+
+    def edge(at: Column) -> Column:
+        outside = F.when(F.col("bin") < 0, below).when(F.col("bin") >= bins, above)
+        return outside.otherwise(F.lit(low) + at * F.lit(width))
+
     return (
         known.groupBy(bin_no.cast("int").alias("bin"))
         .agg(F.count(F.lit(1)).alias("n_rows"))
         .select(
             "bin",
-            (F.lit(low) + F.col("bin") * F.lit(width)).alias("lower_edge"),
-            (F.lit(low) + (F.col("bin") + 1) * F.lit(width)).alias("upper_edge"),
+            edge(F.col("bin")).alias("lower_edge"),
+            edge(F.col("bin") + 1).alias("upper_edge"),
             "n_rows",
         )
     )
@@ -87,15 +97,8 @@ def _long_counts(df: DataFrame, features: Sequence[str], label: str) -> DataFram
     )
 
 
-def _quartiles_small(counts: DataFrame) -> DataFrame:
-    return counts.groupBy("feature", "label").agg(
-        F.percentile("value", F.array(*(F.lit(q) for q in QUARTILES)), F.col("n")).alias("q"),
-        F.sum("n").alias("n_rows"),
-    )
-
-
 def _quartiles_by_rank(counts: DataFrame) -> DataFrame:
-    """The same order statistics by rank, with no group held in one task."""
+    """Quartiles between order statistics found by rank, with no group held in one task."""
 
     def position(q: float, n_rows: Column) -> Column:
         return F.lit(q) * (n_rows - 1)
@@ -110,7 +113,9 @@ def _quartiles_by_rank(counts: DataFrame) -> DataFrame:
     for q in QUARTILES:
         at = position(q, F.col("n_rows"))
         low, high = (F.col("at")[side(at).cast("bigint")] for side in (F.floor, F.ceil))
-        points.append(low + (high - low) * (at - F.floor(at)))
+        # Equal neighbours may be infinite, and their difference no number.
+        between = low + (high - low) * (at - F.floor(at))
+        points.append(F.when(low == high, low).otherwise(between))
     return ranked.select(*groups, F.array(*points).alias("q"), "n_rows")
 
 
@@ -124,21 +129,16 @@ def _join_groups(rows: DataFrame, groups: DataFrame) -> DataFrame:
     return rows.join(groups, same).drop("g_feature", "g_label")
 
 
-def boxplot_stats(
-    df: DataFrame, features: Sequence[str], label: str, small_rows: int = SMALL_GROUP_ROWS
-) -> DataFrame:
+def boxplot_stats(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
     """Box-plot numbers of every feature for every label value.
 
     Quartiles interpolate between order statistics; whiskers are the extreme
     values within 1.5 interquartile ranges of the box; the rest are outliers.
-    Distinct values are counted once and staged: up to ``small_rows`` of them
-    the built-in percentile is used, beyond that values are found by rank, which
-    gives the same result.
+    Distinct values are counted once and staged, and quartiles are found by rank
+    among them, by one formula at every size.
     """
     counts = stage_in_order(_long_counts(df, features, label), ["value"], ["feature", "label"])
-    small = counts.count() <= small_rows
-    quartiles = _quartiles_small(counts) if small else _quartiles_by_rank(counts)
-    boxed = _join_groups(counts, quartiles)
+    boxed = _join_groups(counts, _quartiles_by_rank(counts))
     q1, median, q3 = (F.col("q")[i] for i in range(3))
     reach = F.lit(1.5) * (q3 - q1)
     inside = F.col("value").between(q1 - reach, q3 + reach)
@@ -201,40 +201,31 @@ def median_separation(stats: DataFrame) -> DataFrame:
 def categorical_features(
     df: DataFrame, features: Sequence[str], max_categories: int
 ) -> DataFrame:
-    """Features with at most ``max_categories`` distinct values, and how many.
+    """Per feature the number of distinct values, and whether it makes categories:
+    at most ``max_categories`` of them.  Nulls are no value; 0.0 and -0.0 are one.
 
-    A first pass of distinct-count sketches rules out columns that are clearly
-    continuous; only the others are counted exactly, so the shuffle carries a
-    handful of values per task.  At these small counts the sketch never reads
-    more than about one too high, hence the margin.
+    One pass over the rows; values repeated within a task are combined before the
+    shuffle, which so carries distinct values only.
     """
-    estimate = df.agg(*(F.approx_count_distinct(c).alias(c) for c in features)).first()
-    candidates = [c for c in features if estimate[c] <= 2 * max_categories + 2]
-    continuous = [c for c in features if c not in candidates]
-    spark = df.sparkSession
-    parts = []
-    if candidates:
-        exact = (
-            df.select(*(F.col(c).cast("string").alias(c) for c in candidates))
-            .unpivot([], candidates, "feature", "value")
-            .groupBy("feature", "value")
-            .agg(F.lit(1).alias("seen"))
-            .groupBy("feature")
-            .agg(F.count("value").alias("k"))
-        )
-        few = F.col("k") <= max_categories
-        parts.append(
-            exact.select(
-                "feature",
-                few.alias("is_categorical"),
-                F.when(few, F.col("k")).alias("n_categories"),
-            )
-        )
-    if continuous:
-        parts.append(
-            spark.createDataFrame(
-                [(c, False, None) for c in continuous],
-                "feature string, is_categorical boolean, n_categories bigint",
-            )
-        )
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+    def as_text(c: str) -> Column:
+        value = F.col(c)
+        if _floating(df.schema[c]):
+            value = value + F.lit(0.0)
+        return value.cast("string").alias(c)
+
+    counts = (
+        df.select(*(as_text(c) for c in features))
+        .unpivot([], list(features), "feature", "value")
+        .groupBy("feature", "value")
+        .agg(F.lit(1).alias("seen"))
+        .groupBy("feature")
+        .agg(F.count("value").alias("n_distinct"))
+    )
+    few = F.col("n_distinct") <= max_categories
+    return counts.select(
+        "feature",
+        few.alias("is_categorical"),
+        F.when(few, F.col("n_distinct")).alias("n_categories"),
+        "n_distinct",
+    )

@@ -314,10 +314,11 @@ class ModelRegistry:
         model: MLWritable,
         signature: T.StructType,
         recipe: list[dict] | None = None,
+        output: T.StructType | None = None,
     ) -> str:
         """Save a fitted model in the shared folder; the path goes into a run's artifacts."""
         path = scratch_path(self.spark, "model")
-        save_model(model, path, signature, recipe, self.spark)
+        save_model(model, path, signature, recipe, self.spark, output)
         return path
 
     def latest_run(self, run_name: str) -> str:

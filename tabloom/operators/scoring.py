@@ -14,12 +14,11 @@ from pyspark.sql import types as T
 from tabloom.operators.features import apply_lookups, lookups_from_recipe
 from tabloom.sources.models import SavedModel
 
-# Implicit widenings a numeric input may go through.
+# Widenings of numeric inputs that keep every value exactly.
 WIDENINGS = {
     "tinyint": ["smallint", "int", "bigint", "float", "double"],
     "smallint": ["int", "bigint", "float", "double"],
     "int": ["bigint", "double"],
-    "bigint": ["double"],
     "float": ["double"],
 }
 
@@ -29,6 +28,25 @@ def infer_signature(df: DataFrame, features: Iterable[str]) -> T.StructType:
     return T.StructType([T.StructField(c, df.schema[c].dataType) for c in features])
 
 
+def infer_output_signature(df: DataFrame, scored: DataFrame) -> T.StructType:
+    """Names and types of what scoring adds to ``df``: the model's output."""
+    return T.StructType([f for f in scored.schema.fields if f.name not in df.columns])
+
+
+def check_output(scored: DataFrame, output: T.StructType) -> DataFrame:
+    """``scored``, if it has the output columns a model was saved with."""
+    for expected in output.fields:
+        if expected.name not in scored.columns:
+            raise ValueError(f"output lacks column {expected.name}")
+        have = scored.schema[expected.name].dataType
+        if have != expected.dataType:
+            raise ValueError(
+                f"output {expected.name} is {have.simpleString()}, "
+                f"the model was saved with {expected.dataType.simpleString()}"
+            )
+    return scored
+
+
 def check_signature(df: DataFrame, signature: T.StructType) -> DataFrame:
     """Check ``df`` against a model's input schema.
 
@@ -105,7 +123,10 @@ def score_saved(df: DataFrame, saved: SavedModel, output: str = "prediction") ->
 
     The lookups the model was trained with are replayed, the result is checked
     against the model's signature, and the output has the input columns, the
-    fetched features and the prediction.  Every input row gives one output row.
+    fetched features and the prediction, whose type is checked if the model was
+    saved with one.  Every input row gives one output row.
     """
     enriched = apply_lookups(df, lookups_from_recipe(saved.recipe))
-    return predict(check_signature(enriched, saved.signature), saved.pipeline, output)
+    scored = predict(check_signature(enriched, saved.signature), saved.pipeline)
+    scored = check_output(scored, saved.output)
+    return scored if output == "prediction" else scored.withColumnRenamed("prediction", output)

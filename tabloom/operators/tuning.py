@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from itertools import product
-from math import sqrt
+from math import inf, isnan, sqrt
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model
@@ -79,6 +79,22 @@ def boosting_params(trial: dict, max_depth: int = 30) -> dict:
     }
 
 
+def fitted_params(trial: dict, max_depth: int = 30) -> dict:
+    """What to log of a trial: the values that were fitted, under the drawn names.
+
+    A draw that Spark ML cannot take as it is stays beside it as ``drawn_...``.
+    """
+    used = boosting_params(trial, max_depth)
+    fitted = {
+        "max_depth": used["maxDepth"],
+        "learning_rate": used["stepSize"],
+        "min_child_weight": used["minInstancesPerNode"],
+        "seed": used["seed"],
+    }
+    drawn = {f"drawn_{k}": trial[k] for k, v in fitted.items() if trial[k] != v}
+    return {**trial, **fitted, **drawn}
+
+
 def default_parallelism(trials: int) -> int:
     """Square root of the number of trials, the usual balance for a sweep."""
     return max(1, round(sqrt(trials)))
@@ -162,8 +178,12 @@ class Trial:
     metrics: dict[str, float]
 
     def loss(self, metric: str) -> float:
-        """What a minimiser would see for a metric that should be large."""
-        return -1.0 * self.metrics[metric]
+        """What a minimiser would see for a metric that should be large.
+
+        A metric that could not be measured (null or NaN) is the worst there is.
+        """
+        value = self.metrics[metric]
+        return inf if value is None or isnan(value) else -1.0 * value
 
 
 def sweep(
@@ -191,7 +211,11 @@ def sweep(
 
 
 def best_trial(trials: Sequence[Trial], metric: str) -> Trial:
-    return min(trials, key=lambda t: (t.loss(metric), t.number))
+    """The trial with the greatest metric; an error only if no trial has one."""
+    best = min(trials, key=lambda t: (t.loss(metric), t.number))
+    if best.loss(metric) == inf:
+        raise ValueError(f"no trial has a value of {metric}")
+    return best
 
 
 def param_metric_rows(runs: DataFrame, metric: str) -> DataFrame:

@@ -53,7 +53,7 @@ def train_baseline(
     features: Sequence[str],
     label: str,
     model_name: str,
-    max_depth: int = 10,
+    max_depth: int = models.MAX_DEPTH,
 ) -> tuple[int, float]:
     """Untuned forest judged by AUC on the test part; registered as the champion."""
     train, test = split.where("split = 'train'"), split.where("split = 'test'")
@@ -125,7 +125,7 @@ def tune(
         runs.append(
             {
                 "run_name": "boosted_model",
-                "params": trial.params,
+                "params": tuning.fitted_params(trial.params, max_depth),
                 "metrics": trial.metrics,
                 "artifacts": {"model": registry.store_model(model, signature)},
                 "parent_run_id": parent,

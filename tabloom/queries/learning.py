@@ -329,7 +329,7 @@ def rf_binary_class(spark, sf_dir):
 def rf_binary_proba(spark, sf_dir):
     """Baseline forest on text shape, scored by probability (bootstrapped: no SQL twin)."""
     rows = _labelled_texts(spark, sf_dir)
-    model = _fitted(rows, TEXT_FEATURES, models.baseline_forest("quality", maxDepth=10))
+    model = _fitted(rows, TEXT_FEATURES, models.baseline_forest("quality"))
     scored = scoring.predict_probability(rows, model)
     return scored.select("doc_id", "quality", F.round("prediction", 6).alias("prediction"))
 

@@ -115,7 +115,7 @@ def boxplot_stats_ranked(spark, sf_dir):
     """The same numbers the way tables too large for one task per group get them."""
     lineitem = load(spark, sf_dir, "lineitem")
     return _rounded(
-        profiling.boxplot_stats(lineitem, _BOX_FEATURES, "l_returnflag", small_rows=0)
+        profiling.boxplot_stats(lineitem, _BOX_FEATURES, "l_returnflag")
     )
 
 
@@ -181,7 +181,8 @@ _CANDIDATES = [
     "categorical_detection",
     " UNION ALL ".join(
         f"SELECT '{c}' AS feature, count(DISTINCT {c}) <= 4 AS is_categorical, "
-        f"CASE WHEN count(DISTINCT {c}) <= 4 THEN count(DISTINCT {c}) END AS n_categories "
+        f"CASE WHEN count(DISTINCT {c}) <= 4 THEN count(DISTINCT {c}) END AS n_categories, "
+        f"count(DISTINCT {c}) AS n_distinct "
         "FROM lineitem"
         for c in _CANDIDATES
     ),

@@ -10,6 +10,7 @@ from contextvars import ContextVar
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -94,22 +95,39 @@ def cached(df: DataFrame) -> Iterator[DataFrame]:
         kept.unpersist()
 
 
-# Input per core up to which moving all of it around is cheap beside repeated passes.
-_SMALL_PER_CORE = 128 << 20
+# Training rows are dealt into parts of about this much input, and into this many at least.
+_PART_BYTES = 128 << 20
+_LEAST_PARTS = 16
+
+# So many rows equal in all columns stay together at most.
+_EQUAL_ROWS = 100_000
 
 
 @contextmanager
 def iterated(df: DataFrame) -> Iterator[DataFrame]:
     """A frame that an iterative fit is about to read many times.
 
-    A small input, often one file and so one task, is spread over the cores and
-    kept; a large one has tasks enough and is left where it is.
+    Row sampling in a fit goes by a row's partition and place in it.  Both follow
+    from the row itself here (a hash of all columns), and the number of partitions
+    from the size of the input, so that neither the cores nor the way the rows
+    were laid out changes the model.  Equal rows are counted, combined before the
+    shuffle, dealt in chunks of their count and repeated where they end up, so that
+    many of them neither travel nor crowd a part.  Parts are kept, on disk beyond memory.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if input_bytes(df) > cores * _SMALL_PER_CORE:
-        yield df
-        return
-    with cached(df.repartition(cores)) as kept:
+    parts = max(_LEAST_PARTS, -(-input_bytes(df) // _PART_BYTES))
+    columns = df.columns
+    last_chunk = F.floor((F.col("__n") - 1) / _EQUAL_ROWS)
+    dealt = (
+        df.groupBy(*columns)
+        .agg(F.count(F.lit(1)).alias("__n"))
+        .select(*columns, "__n", F.explode(F.sequence(F.lit(0), last_chunk)).alias("__chunk"))
+        .withColumn("__place", F.xxhash64(*columns, "__chunk"))
+        .repartition(parts, "__place")
+        .sortWithinPartitions("__place")
+    )
+    size = F.least(F.lit(_EQUAL_ROWS), F.col("__n") - F.col("__chunk") * _EQUAL_ROWS).cast("int")
+    rows = dealt.select(*columns, F.explode(F.sequence(F.lit(1), size)).alias("__i"))
+    with cached(rows.select(*columns)) as kept:
         yield kept
 
 

@@ -18,6 +18,7 @@ class SavedModel:
     pipeline: PipelineModel
     signature: T.StructType
     recipe: list[dict] = field(default_factory=list)
+    output: T.StructType = field(default_factory=T.StructType)
 
 
 def save_model(
@@ -26,13 +27,21 @@ def save_model(
     signature: T.StructType,
     recipe: list[dict] | None = None,
     spark: SparkSession | None = None,
+    output: T.StructType | None = None,
 ) -> None:
-    """Write a fitted pipeline (or a single fitted stage) below ``path``."""
+    """Write a fitted pipeline (or a single fitted stage) below ``path``.
+
+    ``signature`` and ``output`` are the schemas of its inputs and its predictions.
+    """
     spark = spark or SparkSession.getActiveSession()
     if not isinstance(model, PipelineModel):
         model = PipelineModel([model])
     model.write().overwrite().save(f"{path}/model")
-    meta = {"signature": signature.jsonValue(), "recipe": recipe or []}
+    meta = {
+        "signature": signature.jsonValue(),
+        "recipe": recipe or [],
+        "output": (output or T.StructType()).jsonValue(),
+    }
     spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1).write.mode(
         "overwrite"
     ).text(f"{path}/meta")
@@ -44,4 +53,5 @@ def load_model(spark: SparkSession, path: str) -> SavedModel:
         pipeline=PipelineModel.load(f"{path}/model"),
         signature=T.StructType.fromJson(meta["signature"]),
         recipe=meta["recipe"],
+        output=T.StructType.fromJson(meta["output"]),
     )

@@ -52,6 +52,7 @@ def test_auc_edges(spark, small_rows):
     assert area([(0.0, 0.1), (1.0, 0.9)]) == 1.0
     assert area([(0.0, 0.9), (1.0, 0.1)]) == 0.0
     assert area([(0.0, 0.1), (1.0, 0.9), (None, 0.5), (1.0, None)]) == 1.0
+    assert area([(0.0, 0.2), (1.0, 0.1), (1.0, float("nan")), (2.0, 0.05)]) == 0.0
 
 
 def test_auc_of_nothing(spark):

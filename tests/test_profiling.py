@@ -34,21 +34,30 @@ def test_histogram_of_constant_missing_and_empty(spark):
     assert profiling.numeric_histogram(rows.limit(0), "x", 4).count() == 0
 
 
+def test_histogram_counts_infinities_apart(spark):
+    inf = float("inf")
+    rows = spark.createDataFrame([(0.0,), (4.0,), (inf,), (inf,), (-inf,)], "x double")
+    got = {r["bin"]: (r["lower_edge"], r["upper_edge"], r["n_rows"])
+           for r in profiling.numeric_histogram(rows, "x", 4).collect()}
+    assert got == {-1: (-inf, -inf, 1), 0: (0.0, 1.0, 1), 3: (3.0, 4.0, 1), 4: (inf, inf, 2)}
+    only = profiling.numeric_histogram(rows.where("x > 9"), "x", 4).collect()
+    assert [(r["bin"], r["n_rows"]) for r in only] == [(4, 2)]
+
+
 def _reference_box(values):
     q1, median, q3 = np.quantile(values, [0.25, 0.5, 0.75])
     inside = values[(values >= q1 - 1.5 * (q3 - q1)) & (values <= q3 + 1.5 * (q3 - q1))]
     return [len(values), q1, median, q3, inside.min(), inside.max(), len(values) - len(inside)]
 
 
-@pytest.mark.parametrize("small_rows", [0, 1_000_000])
-def test_boxes_match_numpy(spark, small_rows):
+def test_boxes_match_numpy(spark):
     rng = np.random.default_rng(2)
     # One value makes up a third of the rows, as a hot value would.
     a = np.where(rng.random(900) < 0.33, 5.0, rng.standard_t(2, 900).round(2))
     y = rng.integers(0, 2, 900)
     data = [(float(v), int(c)) for v, c in zip(a, y)] + [(None, 0), (NAN, 1)]
     rows = spark.createDataFrame(data, "a double, y int").withColumn("b", F.col("a") * 2)
-    stats = profiling.boxplot_stats(rows, ["a", "b"], "y", small_rows)
+    stats = profiling.boxplot_stats(rows, ["a", "b"], "y")
     names = ["n_rows", "q1", "median", "q3", "whisker_low", "whisker_high", "n_outliers"]
     got = {(r["feature"], r["label"]): [r[n] for n in names] for r in stats.collect()}
     assert len(got) == 4
@@ -87,3 +96,7 @@ def test_categorical_at_the_limit(spark):
         "k1": (True, 1), "k4": (True, 4), "k5": (False, None), "k200": (False, None),
         "half_null": (True, 1),
     }
+    zeros = spark.createDataFrame([(0.0,), (-0.0,), (1.0,), (None,)], "z double")
+    assert tuple(profiling.categorical_features(zeros, ["z"], 2).first()) == ("z", True, 2, 2)
+    counts = profiling.categorical_features(rows, ["k200"], 4).first()
+    assert (counts["is_categorical"], counts["n_distinct"]) == (False, 200)

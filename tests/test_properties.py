@@ -42,7 +42,7 @@ def test_auc_counts_pairs(spark, rows):
 @given(st.lists(st.tuples(st.integers(0, 1), st.integers(-5, 5)), min_size=1, max_size=40))
 def test_quartiles_by_rank(spark, rows):
     df = spark.createDataFrame(rows, "y int, v int")
-    stats = {r["label"]: r for r in profiling.boxplot_stats(df, ["v"], "y", small_rows=0).collect()}
+    stats = {r["label"]: r for r in profiling.boxplot_stats(df, ["v"], "y").collect()}
     for y in {r[0] for r in rows}:
         values = [v for h, v in rows if h == y]
         want = np.quantile(values, [0.25, 0.5, 0.75])

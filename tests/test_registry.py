@@ -38,6 +38,15 @@ def test_alias_moves_and_goes(spark):
     assert _rows(registry.current_aliases(events)) == {("m", "champion", 2)}
 
 
+def test_tags_of_deleted_versions_are_gone(spark):
+    tags = spark.createDataFrame(
+        [(1, "m", 1, "a", "x"), (2, "m", None, "a", "y"), (6, "m", 1, "b", "z"), (1, "n", 1, "a", "w")],
+        registry.SCHEMAS["tags"],
+    )
+    gone = spark.createDataFrame([(5, "m", 1), (3, "n", None)], registry.SCHEMAS["deletions"])
+    assert _rows(registry.live_tags(tags, gone)) == {("m", None, "a", "y"), ("m", 1, "b", "z")}
+
+
 def test_tags_of_model_and_version(spark):
     events = spark.createDataFrame(
         [(1, "m", None, "task", "a"), (2, "m", 1, "task", "b"), (3, "m", None, "task", "c")],

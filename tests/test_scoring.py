@@ -22,6 +22,9 @@ def test_signature(spark):
         scoring.check_signature(rows, _signature("c int"))
     with pytest.raises(ValueError, match="expects"):
         scoring.check_signature(rows, _signature("b int"))
+    # Not every 64-bit integer is a double.
+    with pytest.raises(ValueError, match="expects"):
+        scoring.check_signature(spark.range(1).toDF("a"), _signature("a double"))
     with pytest.raises(ValueError, match="expects"):
         scoring.check_signature(rows, _signature("extra double"))
 
@@ -62,6 +65,32 @@ def test_reload_predicts_the_same(spark, steps):
     assert scoring.predict(steps, saved.pipeline).orderBy("id").collect() == before
 
 
+def test_output_schema_is_saved_and_checked(spark, steps):
+    model = models.fit(steps, models.pipeline(["x"], models.tree_regressor("y"), None))
+    output = scoring.infer_output_signature(steps, scoring.predict(steps, model))
+    assert [(f.name, f.dataType) for f in output.fields] == [("prediction", T.DoubleType())]
+    path = scratch_path(spark, "model")
+    save_model(model, path, scoring.infer_signature(steps, ["x"]), output=output)
+    saved = load_model(spark, path)
+    assert [(f.name, f.dataType) for f in saved.output.fields] == [("prediction", T.DoubleType())]
+    assert scoring.score_saved(steps, saved, "score").columns == [*steps.columns, "score"]
+    for wrong, said in (("prediction int", "saved with"), ("other double", "lacks")):
+        save_model(model, path, scoring.infer_signature(steps, ["x"]), output=_signature(wrong))
+        with pytest.raises(ValueError, match=said):
+            scoring.score_saved(steps, load_model(spark, path))
+
+
+def test_forest_does_not_depend_on_the_layout(spark, steps):
+    noisy = steps.withColumns({"noise": F.hash("id") % 50, "y": (F.hash("x", "id") % 3 == 0).cast("int")})
+    forest = models.pipeline(["x", "noise"], models.baseline_forest("y", maxDepth=8), None)
+    scored = [
+        scoring.predict_probability(steps.select("id", "x").join(noisy.select("id", "noise"), "id"),
+                                    models.fit(noisy.repartition(n), forest)).orderBy("id").collect()
+        for n in (2, 7)
+    ]
+    assert scored[0] == scored[1]
+
+
 def test_single_stage_can_be_saved(spark, steps):
     prepared = models.fit(steps, models.pipeline(["x"], models.tree_regressor("y"), None))
     path = scratch_path(spark, "stage")

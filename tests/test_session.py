@@ -47,13 +47,23 @@ def test_settings_follow_the_input():
     assert large["spark.sql.shuffle.partitions"] == "819200"
 
 
-def test_large_inputs_are_left_in_place(spark, monkeypatch):
-    rows = spark.range(1000)
-    with session.iterated(rows) as kept:
-        assert kept.is_cached
-    monkeypatch.setattr(session, "_SMALL_PER_CORE", 1)
-    with session.iterated(rows) as kept:
-        assert kept is rows
+def test_training_rows_have_one_layout(spark, monkeypatch):
+    rows = spark.range(1000).selectExpr("id % 300 AS a", "IF(id % 3 = 0, 1.0, id) AS b")
+    same = spark.range(400).selectExpr("7L AS a", "0.5D AS b")
+    rows = rows.unionByName(same)
+    monkeypatch.setattr(session, "_EQUAL_ROWS", 90)
+
+    def layout(df):
+        with session.iterated(df) as kept:
+            assert kept.is_cached
+            return kept.select("*", F.spark_partition_id().alias("part")).collect()
+
+    one, other = layout(rows.repartition(2)), layout(rows.repartition(7))
+    assert one == other
+    assert sorted((r["a"], r["b"]) for r in one) == sorted(tuple(r) for r in rows.collect())
+    # 400 equal rows in five chunks do not all meet.
+    assert len({r["part"] for r in one if (r["a"], r["b"]) == (7, 0.5)}) > 1
+    assert layout(rows.limit(0)) == []
 
 
 def test_a_cluster_must_name_its_shared_folder():

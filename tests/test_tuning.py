@@ -33,9 +33,21 @@ def test_settings_of_a_trial():
     assert tuning.boosting_params(trial) == {
         "maxDepth": 30, "stepSize": 0.2, "minInstancesPerNode": 1, "seed": 123
     }
+    logged = tuning.fitted_params({**trial, "reg_alpha": 0.5})
+    assert logged == {
+        "max_depth": 30, "drawn_max_depth": 77.0, "learning_rate": 0.2, "seed": 123,
+        "min_child_weight": 1, "drawn_min_child_weight": 0.4, "reg_alpha": 0.5,
+    }
     assert tuning.default_parallelism(30) == 5 and tuning.default_parallelism(96) == 10
 
 
+def test_trials_without_a_metric_are_the_worst():
+    trials = [tuning.Trial(i, {}, None, {"auc": v}) for i, v in enumerate([None, 0.4, float("nan"), 0.6])]
+    assert tuning.best_trial(trials, "auc").number == 3
+    with pytest.raises(ValueError, match="no trial"):
+        tuning.best_trial([trials[0], trials[2]], "auc")
+
+
 def test_cross_validation_takes_the_least_error(spark):
     rows = spark.range(600).select(
         (F.col("id") % 10).cast("double").alias("x"), (F.col("id") % 10 * 3.0).alias("y"),
