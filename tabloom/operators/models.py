@@ -29,6 +29,7 @@ FOREST_CLASSIFIER = {"maxDepth": 4, "numTrees": 100, "seed": 42}
 FOREST_CLASSIFIER_EXERCISE = {"maxDepth": 10, "numTrees": 50, "seed": 42}
 BASELINE_FOREST = {"maxDepth": MAX_DEPTH, "numTrees": 10, "seed": 123}
 BOOSTED_ROUNDS = 1000
+PATIENCE = 50
 
 
 def boosted_regressor(label: str, **params) -> GBTRegressor:
@@ -112,6 +113,66 @@ def fit(df: DataFrame, stages: Pipeline) -> PipelineModel:
         return stages.fit(rows)
 
 
+def patient_best(losses: Sequence[float], patience: int, least_gain: float) -> tuple[int, bool]:
+    """The best round (from 1), and whether ``patience`` rounds went by without a gain.
+
+    A gain is a loss lower than the best so far by more than ``least_gain``.
+    Rounds after the patience ran out do not count.
+    """
+    best, lowest = 1, losses[0]
+    for k, loss in enumerate(losses, start=1):
+        if loss < lowest - least_gain:
+            best, lowest = k, loss
+        elif k - best >= patience:
+            return best, True
+    return best, False
+
+
+def fit_with_patience(
+    df: DataFrame,
+    stages: Pipeline,
+    held_out: str,
+    patience: int = PATIENCE,
+    max_rounds: int = BOOSTED_ROUNDS,
+    least_gain: float = 1e-9,
+) -> PipelineModel:
+    """Boost until the loss on held-out rows has not gained for ``patience`` rounds.
+
+    The last stage is a boosted classifier or regressor; the model returned has
+    the rounds up to the best one, ``max_rounds`` at most.  Rows whose boolean
+    ``held_out`` is null are trained on.  Rounds are fitted in attempts of
+    doubling length, each judged in one pass over the held-out rows, so that all
+    attempts together cost less than five times the rounds needed.  The seed
+    being fixed, a shorter fit has the first trees of a longer one.  Without
+    held-out rows there is nothing to wait for: an error.
+    """
+    shared_dir(df.sparkSession)
+    *before, booster = stages.getStages()
+    used = _input_columns(stages) | {held_out}
+    with iterated(df.select(*(c for c in df.columns if c in used))) as rows:
+        prepared = Pipeline(stages=before).fit(rows)
+        flag = F.coalesce(F.col(held_out), F.lit(False))
+        train, validation = (prepared.transform(rows.where(f)) for f in (~flag, flag))
+        if validation.isEmpty():
+            raise ValueError(f"no row is marked in {held_out}")
+
+        def boosted(rounds: int):
+            return booster.copy({booster.maxIter: rounds}).fit(train)
+
+        rounds = min(max_rounds, patience + patience // 4 + 1)
+        while True:
+            model = boosted(rounds)
+            loss = [booster.getLossType()] if isinstance(booster, GBTRegressor) else []
+            losses = model.evaluateEachIteration(validation, *loss)
+            best, ended = patient_best(losses, patience, least_gain)
+            if ended or rounds == max_rounds:
+                break
+            rounds = min(max_rounds, 2 * rounds)
+        if best < rounds:
+            model = boosted(best)
+    return PipelineModel([*prepared.stages, model])
+
+
 def _input_columns(stages: Pipeline) -> set[str]:
     used: set[str] = set()
     for s in stages.getStages():

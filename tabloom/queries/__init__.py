@@ -18,6 +18,7 @@ _MODULES = [
     "features",
     "learning",
     "tuning",
+    "boosting",
     "registry",
 ]
 

@@ -102,8 +102,9 @@ def cv_grid_search(spark, sf_dir):
 _SPACE = {k: v for k, v in tuning.BOOSTING_SPACE.items() if not isinstance(v, tuning.Constant)}
 
 
-def _draw_sql(name: str, dist: QUniform | LogUniform) -> str:
-    u = hash01_sql(123, "p_partkey", f"'{name}'")
+def draw_sql(name: str, dist: QUniform | LogUniform, key: str = "p_partkey") -> str:
+    """The SQL twin of one column of ``draw_trials`` with seed 123."""
+    u = hash01_sql(123, key, f"'{name}'")
     value = f"({float(dist.low)}::DOUBLE + {float(dist.high - dist.low)}::DOUBLE * {u})"
     if isinstance(dist, QUniform):
         return f"round_even({value}, 0) AS {name}"
@@ -113,7 +114,7 @@ def _draw_sql(name: str, dist: QUniform | LogUniform) -> str:
 @query(
     "sample_search_space",
     "SELECT p_partkey, "
-    + ", ".join(_draw_sql(name, dist) for name, dist in _SPACE.items())
+    + ", ".join(draw_sql(name, dist) for name, dist in _SPACE.items())
     + ", 'binary:logistic' AS objective, 123 AS seed FROM part",
 )
 def sample_search_space(spark, sf_dir):

@@ -42,3 +42,11 @@ def test_early_stopping_stops(spark, sf_dir):
     assert set(rows) == {"train", "validation", "test"}
     assert all(2 <= r["n_trees"] < 20 for r in rows.values())
     assert rows["train"]["logloss"] < 0.3
+
+
+def test_points_of_a_search_differ(spark, sf_dir):
+    grid = QUERIES["cv_grid_search_rounds"](spark, sf_dir).collect()
+    assert len({r["avg_logloss"] for r in grid}) == 4 and sum(r["chosen"] for r in grid) == 1
+    trials = QUERIES["hyperparameter_sweep_rounds"](spark, sf_dir).collect()
+    assert len({r["logloss"] for r in trials}) == 6 and sum(r["chosen"] for r in trials) == 1
+    assert len({r["max_depth"] for r in trials}) > 1

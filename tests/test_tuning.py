@@ -97,3 +97,30 @@ def test_parameters_that_are_not_numbers(spark):
     got = {r["param"]: (r["n_runs"], r["correlation"]) for r in tuning.param_metric_corr(runs, "auc").collect()}
     assert got["n"][0] == 20 and got["n"][1] == pytest.approx(1.0)
     assert got["kind"] == (0, None)
+
+
+def test_patience_counts_rounds_without_gain():
+    losses = [5.0, 4.0, 4.5, 3.0, 3.1, 3.0, 3.2, 1.0]
+    assert models.patient_best(losses, 3, 1e-9) == (4, True)
+    assert models.patient_best(losses, 4, 1e-9) == (8, False)
+    # A gain too small to count does not start the waiting anew.
+    assert models.patient_best([1.0, 1.0 - 1e-12, 1.0 - 2e-12], 2, 1e-9) == (1, True)
+
+
+def test_patience_keeps_the_best_round(spark):
+    # Held-out rows say the contrary of the others: every round after the first is worse.
+    rows = spark.range(400).select(
+        (F.col("id") % 4).cast("double").alias("x"),
+        (F.pmod(F.xxhash64("id"), F.lit(10)) < F.col("id") % 4 * 2 + 2).cast("int").alias("y"),
+        (F.col("id") % 5 == 0).alias("held_out"),
+    )
+    rows = rows.withColumn("y", F.when(F.col("held_out"), 1 - F.col("y")).otherwise(F.col("y")))
+    stages_ = models.pipeline(["x"], models.boosted_classifier("y", maxDepth=2), None)
+    model = models.fit_with_patience(rows, stages_, "held_out", patience=3, max_rounds=20)
+    assert model.stages[-1].getNumTrees == 1
+    same = rows.withColumn("y", F.when(F.col("held_out"), 1 - F.col("y")).otherwise(F.col("y")))
+    regressor = models.pipeline(["x"], models.boosted_regressor("y", maxDepth=2, stepSize=0.1), None)
+    model = models.fit_with_patience(same, regressor, "held_out", patience=2, max_rounds=4)
+    assert 1 <= model.stages[-1].getNumTrees <= 4
+    with pytest.raises(ValueError, match="no row"):
+        models.fit_with_patience(rows.where("not held_out"), stages_, "held_out")
