@@ -104,6 +104,18 @@ def _store(spark: SparkSession, spec: FeatureTableSpec, df: DataFrame, check: bo
     return stored
 
 
+def _require_unmoved(spark: SparkSession, read: FeatureTableSpec, stored: str) -> None:
+    """Refuse to publish over what another writer has published since ``read``.
+
+    The catalog has no compare-and-swap, so a write in the very moment between
+    this check and the new view goes unseen.
+    """
+    now = feature_table_spec(spark, read.name)
+    if (now.base, now.changes) != (read.base, read.changes):
+        spark.sql(f"DROP TABLE {stored}")
+        raise RuntimeError(f"{read.name} was written by another job meanwhile: upsert again")
+
+
 def create_feature_table(
     spark: SparkSession,
     name: str,
@@ -182,6 +194,7 @@ def write_feature_table(
             changes.select(*spec.primary_keys), list(spec.primary_keys), "left_anti"
         )
         stored = _store(spark, spec, kept.select(*base.columns).unionByName(changes), check=False)
+    _require_unmoved(spark, spec, stored)
     merged = _publish(spark, replace(spec, changes=stored))
     if plan_bytes(spark.read.table(stored)) > compact_share * plan_bytes(base):
         merged = compact_feature_table(spark, name)
@@ -192,6 +205,7 @@ def compact_feature_table(spark: SparkSession, name: str) -> FeatureTableSpec:
     """Write base and changed rows as one new base."""
     spec = feature_table_spec(spark, name)
     stored = _store(spark, spec, spark.read.table(name), check=False)
+    _require_unmoved(spark, spec, stored)
     return _publish(spark, replace(spec, base=stored, changes=""))
 
 

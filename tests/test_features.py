@@ -234,3 +234,23 @@ def test_scoring_replays_the_recipe(spark, items):
     assert scored.columns == ["item_id", "live", "size", "prediction"]
     got = {r["item_id"]: r["prediction"] for r in scored.collect()}
     assert len(got) == 11 and got[4] == 40.0 and got[123] is not None
+
+
+def test_upsert_over_a_moved_table_is_refused(spark, items, monkeypatch):
+    changed = spark.read.table(items).where("item_id = 1").withColumn("size", F.lit(7.0))
+    other = spark.read.table(items).where("item_id = 2").withColumn("size", F.lit(8.0))
+    store, names = features._store, []
+
+    def store_slowly(spark, spec, df, check=True):
+        stored = store(spark, spec, df, check)
+        names.append(stored)
+        if len(names) == 1:
+            features.write_feature_table(spark, items, other, compact_share=1e9)
+        return stored
+
+    monkeypatch.setattr(features, "_store", store_slowly)
+    with pytest.raises(RuntimeError, match="another job"):
+        features.write_feature_table(spark, items, changed, compact_share=1e9)
+    assert not spark.catalog.tableExists(names[0])
+    got = {r["item_id"]: r["size"] for r in spark.read.table(items).collect()}
+    assert got[1] == 1.5 and got[2] == 8.0
