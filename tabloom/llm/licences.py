@@ -4,10 +4,10 @@ A template is the word sequence of a public licence notice with the key phrases
 that must not be missing.  The index keeps, for each licence word, its postings
 (template, position).  For each file
 
-1. the licence words that it holds are ranked by inverse document frequency,
-   counted over all files; the rarest are looked up,
+1. the words of each template whose key words it holds are ranked by inverse
+   document frequency, counted over all files; the rarest of each are looked up,
 2. every occurrence votes for (template, place where the template would begin);
-   a place named by at least two of the looked-up words is a candidate,
+   a place named by at least two of the template's looked-up words is a candidate,
 3. a candidate stands if every key phrase of the template occurs as consecutive
    words within the template's span (widened by ``SLACK`` words, for notices
    that were reflowed or slightly edited); its score is the share of template
@@ -161,21 +161,25 @@ class LicenceIndex:
         self.doors = frozenset(min(n, key=lambda w: (-idf.get(w, 0.0), w)) for n in self.needed)
 
     def candidates(self, words: list[bytes], have: set[bytes]) -> list[tuple[int, int]]:
-        """(template, begin) named by the file's rarest licence words."""
-        open_ = {t for t, needed in enumerate(self.needed) if needed <= have}
-        if not open_:
-            return []
-        known = [w for w in have if any(t in open_ for t, _ in self.postings.get(w, ()))]
-        known.sort(key=lambda w: (-self.idf.get(w, 0.0), w))
-        rare = set(known[:RARE_WORDS])
+        """(template, begin) named by the rarest words of each template that the file holds."""
+        sought: dict[bytes, set[int]] = defaultdict(set)
+        enough = {}
+        for t, needed in enumerate(self.needed):
+            if needed <= have:
+                known = sorted(have.intersection(self.words[t]), key=lambda w: (-self.idf.get(w, 0.0), w))
+                # A template with only one word to look up needs that one.
+                enough[t] = min(2, len(known))
+                for w in known[:RARE_WORDS]:
+                    sought[w].add(t)
         votes: dict[tuple[int, int], set[bytes]] = defaultdict(set)
+        if not sought:
+            return []
         for p, word in enumerate(words):
-            if word in rare:
+            if word in sought:
+                open_ = sought[word]
                 for t, q in self.postings[word]:
                     if t in open_:
                         votes[t, p - q].add(word)
-        # A template of which only one rare word was looked up needs that one.
-        enough = {t: min(2, len(rare.intersection(self.words[t]))) for t in open_}
         return sorted(place for place, by in votes.items() if len(by) >= enough[place[0]])
 
     def scan(self, text: str | None) -> dict:

@@ -256,3 +256,13 @@ def test_licences(spark):
     assert found[1]["labels"] == "mit" and found[1]["score"] == 1.0
     assert found[2]["labels"] == found[3]["labels"] == "" and found[2]["first_word"] is None
     assert found[4]["n_base"] == 1 and "gpl-3.0" in found[4]["labels"]
+
+
+@pytest.mark.parametrize("first", ["bsd", "isc"])
+def test_licences_look_up_every_notice_of_a_file(first):
+    index = licences.LicenceIndex(licences.TEMPLATES, licences.BASE_PHRASES, {})
+    notice = next(n for label, n, _ in licences.TEMPLATES if label == first)
+    for label in ("gpl-3.0", "cc-by-nc-4.0", "apache-2.0"):
+        other = next(n for name, n, _ in licences.TEMPLATES if name == label)
+        found = index.scan(f"{notice} some words of our own. {other}.")["labels"].split(",")
+        assert first in found and label in found
