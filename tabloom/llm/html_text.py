@@ -4,7 +4,10 @@ A page is cut into tags and text once, and its DOM is built with the usual
 implied end tags.  Parts that are never main text (menus, page headers, footers,
 sidebars, adverts, notices, forms, scripts, styles, comments of readers) are
 marked, by element or by a word of ``class``, ``id`` or ``role``: they count
-towards the density of the page, but are not chosen.  For every node,
+towards the density of the page, but are not chosen.  Wrappers are called by such words
+too, so a word does not mark a part that holds an ``article`` or ``main`` or most of the
+text outside links, unless an ``article`` or ``main`` stands outside all parts so called; where
+nothing is found at all, words mark nothing.  For every node,
 
     density = C / T * log_b((C / LC) * (T / LT)),
     b = ln((C / (C - LC)) * LC + (LCb / Cb) * C + e)
@@ -81,35 +84,38 @@ NOISE = frozenset(
     "responses replies".split()
 )
 HEADS = frozenset({"header"})
+NAMED, SURE = 1, 2
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "cut", "link", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "parts", "cut", "noise", "link", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
-    def __init__(self, tag: str, parent: Node | None, cut: bool = False):
-        self.tag, self.parent, self.cut = tag, parent, cut
+    def __init__(self, tag: str, parent: Node | None, noise: int = 0):
+        self.tag, self.parent, self.noise, self.cut = tag, parent, noise, False
         self.parts: list[Node | str] = []
         self.link = tag == "a"
 
 
-def _is_noise(tag: str, attributes: str, inside_article: bool) -> bool:
+def _noise(tag: str, attributes: str, inside_article: bool) -> int:
+    """``SURE`` if an element is never main text, ``NAMED`` if a word says so, else 0."""
     if tag in CUT or (tag in HEADS and not inside_article):
-        return True
+        return SURE
     if not attributes or tag in ("body", "html", "article", "main"):
-        return False
+        return 0
+    named = 0
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), (m[2] or "").strip("\"'")
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
+            return SURE
         if name == "style":
             if re.search(r"display\s*:\s*none", value, re.I):
-                return True
+                return SURE
             continue
         words = {w.lower() for w in _WORDS.findall(value)}
         if words & NOISE or (words & HEADS and not inside_article):
-            return True
-    return False
+            named = NAMED
+    return named
 
 
 def parse(page: str) -> Node:
@@ -157,7 +163,7 @@ def parse(page: str) -> Node:
                         continue
                     break
                 node = node.parent
-        node = Node(tag, open_, open_.cut or _is_noise(tag, m[3], articles > 0))
+        node = Node(tag, open_, _noise(tag, m[3], articles > 0))
         node.link = node.link or open_.link
         open_.parts.append(node)
         if tag in VOID or m[3].endswith("/") and tag not in BLOCK:
@@ -184,6 +190,16 @@ def _order(root: Node) -> list[Node]:
     return found
 
 
+def _all_nodes(root: Node) -> list[Node]:
+    """All nodes, parents first."""
+    found, todo = [], [root]
+    while todo:
+        node = todo.pop()
+        found.append(node)
+        todo += [p for p in node.parts if isinstance(p, Node)]
+    return found
+
+
 def _children(node: Node) -> list[Node]:
     """Child nodes that may be main text."""
     return [p for p in node.parts if isinstance(p, Node) and not p.cut]
@@ -226,10 +242,34 @@ def _weigh(order: list[Node], body: Node) -> None:
             node.parent.total += node.density
 
 
+def _mark(body: Node, order: list[Node], by_words: bool) -> None:
+    """Mark the parts that are never main text; ``order`` has parents first."""
+    holds: dict[int, bool] = {}
+    own: dict[int, int] = {}
+    sure, named = {id(body): False}, {id(body): False}
+    for node in order[1:]:
+        sure[id(node)] = sure[id(node.parent)] or node.noise == SURE
+        named[id(node)] = named[id(node.parent)] or node.noise == NAMED
+    for node in reversed(order):
+        here = not sure[id(node)]
+        holds[id(node)] = here and (holds.get(id(node), False) or node.tag in ("article", "main"))
+        own[id(node)] = own.get(id(node), 0) + (
+            sum(len("".join(p.split())) for p in node.parts if isinstance(p, str)) if here and not node.link else 0
+        )
+        if node is not body:
+            holds[id(node.parent)] = holds.get(id(node.parent), False) or holds[id(node)]
+            own[id(node.parent)] = own.get(id(node.parent), 0) + own[id(node)]
+    outside = any(n.tag in ("article", "main") and not sure[id(n)] and not named[id(n)] for n in order)
+    body.cut = False
+    for node in order[1:]:
+        cut = node.noise == SURE
+        if by_words and node.noise == NAMED:
+            cut = outside or not (holds[id(node)] or 2 * own[id(node)] > own[id(body)])
+        node.cut = node.parent.cut or cut
+
+
 def _body(root: Node) -> Node:
-    found = next((p for p in root.parts if isinstance(p, Node) and p.tag == "body"), root)
-    found.cut = False
-    return found
+    return next((p for p in root.parts if isinstance(p, Node) and p.tag == "body"), root)
 
 
 def _centres(body: Node) -> set[int]:
@@ -273,8 +313,18 @@ def _container(node: Node, body: Node) -> Node:
 def main_text(page: str | None) -> str:
     if not page:
         return ""
-    root = parse(page)
-    body = _body(root)
+    body = _body(parse(page))
+    order = _all_nodes(body)
+    _mark(body, order, True)
+    text = _text(body)
+    if not text and any(n.noise == NAMED for n in order):
+        _mark(body, order, False)
+        text = _text(body)
+    return text
+
+
+def _text(body: Node) -> str:
+    """The blocks of the chosen parts."""
     chosen = _centres(body)
     if not chosen:
         return ""

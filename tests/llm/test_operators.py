@@ -24,6 +24,17 @@ def test_main_text():
     assert html_text.main_text("<p>a" + " b" * 200_000).startswith("a b")
 
 
+def test_main_text_keeps_wrappers_called_like_noise():
+    article = "<p>" + "Plain words of the article itself. " * 8 + "</p>"
+    want = " ".join(("Plain words of the article itself. " * 8).split())
+    for name in ("content-sidebar-wrap", "has-sidebar", "no-comments", "comments-open"):
+        for inner in (f"<article>{article}</article>", f"<main>{article}</main>", article):
+            page = (f'<body><div class="{name}">{inner}<div class="sidebar"><p>Side words</p></div></div>'
+                    '<div><p>Imprint</p></div></body>')
+            assert html_text.main_text(page) == want
+    assert html_text.main_text('<body><div class="notice"><p>All there is</p></div></body>') == "All there is"
+
+
 def test_best_fit_decreasing_takes_the_tightest_bin():
     rng = np.random.default_rng(1)
     sizes = [int(x) for x in rng.integers(1, 60, 300)]
