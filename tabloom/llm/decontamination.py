@@ -12,6 +12,8 @@ An occurrence counts if it covers ``LONG_RUN`` tokens, or half of the item, and
 its slots are consistent: every value of the item that stands in a slot (the
 number 12, say) is replaced by one and the same value of the document wherever it
 recurs.  Windows that match by chance fill slots with whatever stands there.
+A run of ``LONG_RUN`` item tokens (or the whole item) that stands there literally, in any
+case of letters, counts whatever the slots hold elsewhere.
 
 All steps are column expressions; the item side of the join is broadcast by the
 engine if its size allows and shuffled otherwise.
@@ -106,6 +108,20 @@ def benchmark_windows(items: DataFrame, item: str = "item_id", text: str = "text
     return kept.join(length, "item")
 
 
+def _literal_run() -> Column:
+    """The longest run of ``item_words`` that stands literally in ``tokens`` on the ``diagonal``."""
+    none = F.struct(F.lit(0).alias("run"), F.lit(0).alias("best"))
+
+    def step(state, q):
+        place = (q + F.col("diagonal")).cast("int")
+        ours = F.when(place >= 0, F.lower(F.translate(F.get("tokens", place), MARK, "")))
+        run = F.when(ours == F.get("item_words", q), state["run"] + 1).otherwise(0)
+        return F.struct(run.alias("run"), F.greatest(state["best"], run).alias("best"))
+
+    places = F.sequence(F.lit(0), F.size("item_words") - 1)
+    return F.aggregate(places, none, step, lambda state: state["best"])
+
+
 def occurrences(
     rows: DataFrame, items: DataFrame, rid: str, text: str = "text", item: str = "item_id", item_text: str = "text"
 ) -> DataFrame:
@@ -140,18 +156,21 @@ def occurrences(
     slotted = stage(slotted.where(F.size("slots") > 0).select(
         "rid", "item", "diagonal", "slots",
         F.transform("slots", lambda q: F.lower(F.translate(F.get("raw", q), MARK, ""))).alias("theirs"),
+        F.transform("raw", lambda x: F.lower(F.translate(x, MARK, ""))).alias("item_words"),
     ), "slots")
     if slotted.isEmpty():
         return found.select("rid", "item", "diagonal", F.size("at").alias("covered"), "length", F.lit(True).alias("consistent"))
     texts = docs.join(slotted.select("rid").distinct(), "rid", "left_semi")
     own = texts.select("rid", raw_tokens(F.col("text")).alias("tokens"))
     checked = slotted.join(own, "rid").select(
-        "rid", "item", "diagonal", "theirs",
+        "rid", "item", "diagonal", "theirs", "item_words", _literal_run().alias("literal"),
         F.transform("slots", lambda q: F.lower(F.translate(F.get("tokens", (q + F.col("diagonal")).cast("int")), MARK, ""))).alias("ours"),
     )
     pairs = F.array_distinct(F.arrays_zip("theirs", "ours"))
     checked = checked.select(
-        "rid", "item", "diagonal", (F.size(pairs) == F.size(F.array_distinct("theirs"))).alias("consistent")
+        "rid", "item", "diagonal",
+        ((F.size(pairs) == F.size(F.array_distinct("theirs")))
+         | (F.col("literal") >= F.least(F.lit(LONG_RUN), F.size("item_words")))).alias("consistent"),
     )
     return found.join(checked, ["rid", "item", "diagonal"], "left").select(
         "rid", "item", "diagonal", F.size("at").alias("covered"), "length",

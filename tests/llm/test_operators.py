@@ -191,6 +191,14 @@ def test_decontamination_checks_slots(spark):
     assert decontamination.drop_contaminated(docs, items.limit(0)).count() == 5
 
 
+def test_decontamination_flags_long_literal_runs_despite_a_changed_slot(spark):
+    item = " ".join(f"{w} Anna" if i in (10, 50) else w for i, w in enumerate(WORDS[:58]))
+    copy = item.replace("Anna", "Bert", 1)
+    docs = spark.createDataFrame([(1, f"before that {copy} and then", "a", "x"), (2, "clean", "a", "x")], DOCS)
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert [r["doc_id"] for r in decontamination.drop_contaminated(docs, items).collect()] == [2]
+
+
 def test_mixing_uses_every_row_and_keeps_the_limit(spark):
     rows = [(i, "a b c d", "big" if i % 10 else "small", "x") for i in range(200)] + ODD
     docs = spark.createDataFrame(rows, DOCS)
