@@ -20,6 +20,7 @@ _MODULES = [
     "toxicity",
     "vector_search",
     "licences",
+    "bpe",
 ]
 
 
