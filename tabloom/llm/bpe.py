@@ -208,6 +208,7 @@ def _with_column(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
 def encode_texts(df: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", into: str = "ids") -> DataFrame:
     """``df`` with the token ids of each text."""
     into, at = free_name(df.columns, into), df.columns.index(text)
+    names = [*df.columns, into]
     known = df.sparkSession.sparkContext.broadcast(ranks)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,7 +226,7 @@ def encode_texts(df: DataFrame, ranks: dict[bytes, int], pattern: str, text: str
                 sizes = np.cumsum([0, *map(len, found)])
                 ids = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(np.concatenate(found)))
                 part = batch.slice(begin, end - begin)
-                yield pa.RecordBatch.from_arrays([*part.columns, ids], names=[*df.columns, into])
+                yield pa.RecordBatch.from_arrays([*part.columns, ids], names=names)
 
     return df.mapInArrow(encode, _with_column(df, into, T.ArrayType(T.IntegerType())))
 
@@ -233,6 +234,7 @@ def encode_texts(df: DataFrame, ranks: dict[bytes, int], pattern: str, text: str
 def decode_ids(df: DataFrame, ranks: dict[bytes, int], ids: str = "ids", into: str = "decoded") -> DataFrame:
     """``df`` with the bytes that its token ids stand for."""
     into, at = free_name(df.columns, into), df.columns.index(ids)
+    names = [*df.columns, into]
     known = df.sparkSession.sparkContext.broadcast(ranks)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,7 +243,7 @@ def decode_ids(df: DataFrame, ranks: dict[bytes, int], ids: str = "ids", into: s
             for begin in range(0, batch.num_rows, 256):
                 part = batch.slice(begin, 256)
                 texts = [b"".join(map(tokens.__getitem__, x)) if x else b"" for x in part.column(at).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary())], names=[*df.columns, into])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary())], names=names)
 
     return df.mapInArrow(decode, _with_column(df, into, T.BinaryType()))
 
