@@ -21,6 +21,7 @@ _MODULES = [
     "vector_search",
     "licences",
     "bpe",
+    "product_codes",
 ]
 
 
