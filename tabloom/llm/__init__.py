@@ -22,6 +22,7 @@ _MODULES = [
     "licences",
     "bpe",
     "product_codes",
+    "collocations",
 ]
 
 
