@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from tabloom.llm import decontamination, html_text, licences, line_dedup, mixing, near_dedup
+from tabloom.llm import decontamination, html_text, licences, mixing, near_dedup
 from tabloom.llm import preferences, sharding, shingles, toxicity, vector_search
 from tabloom.llm.base import with_row_id
 
@@ -107,76 +107,6 @@ def test_odd_sketch_never_rules_out_a_link():
         assert bits <= (mean if level == 0 else mean + 5 * mean**0.5)
 
 
-def test_line_dedup_keeps_the_first_of_each_group(spark):
-    line = " ".join(WORDS[:60])
-    rows = [
-        (1, f"{line}\nown line of one\n\n", "a", "x"), (2, f"{line.upper()}!\nanother line", "a", "x"),
-        (3, line.replace("w59", "w58") + "\n\nlast", "a", "x"), (4, None, "a", "x"), (5, "", "a", "x"),
-    ]
-    df = with_row_id(spark.createDataFrame(rows, DOCS), "rid", "t")
-    found = {r["key"]: r for r in line_dedup.drop_copied_lines(df, "rid").collect()}
-    assert found[1]["text"] == rows[0][1] and found[2]["text"] == "another line"
-    assert found[3]["text"] in (rows[2][1], "\nlast") and found[4]["text"] is None and found[5]["text"] == ""
-
-
-def test_simhash_blocks_find_every_pair_within_the_distance(spark):
-    rng = np.random.default_rng(5)
-    codes = [int(x) for x in rng.integers(-(2**63), 2**63, 20)]
-    near = [c ^ (1 << int(i)) ^ (1 << int(j)) for c in codes for i, j in [rng.integers(0, 62, 2)]]
-    for blocks in (4, 5, 6):
-        df = spark.createDataFrame(list(zip(codes, near, strict=True)), "a long, b long")
-        met = df.where(line_dedup.F.arrays_overlap(
-            line_dedup.block_keys(line_dedup.F.col("a"), blocks), line_dedup.block_keys(line_dedup.F.col("b"), blocks)
-        ))
-        assert met.count() == len(codes)
-
-
-def test_line_bands_find_pairs_of_the_edit_similarity():
-    rng = np.random.default_rng(12)
-    letters = np.frombuffer(b"abcdefghijklmnopqrstuvwxyz ", np.uint8)
-    for size in (40, 80, 160, 400):
-        for changed, least in ((1, 1.0), (max(1, size * 3 // 100), 0.97), (size // 20, 0.85)):
-            lines, copies = [], []
-            for _ in range(100):
-                line = rng.choice(letters, size)
-                copy = line.copy()
-                copy[rng.choice(size, changed, replace=False)] = 122 + rng.integers(1, 4)
-                lines.append(line.tobytes()), copies.append(copy.tobytes())
-            same = line_dedup.signatures(lines) == line_dedup.signatures(copies)
-            assert same.any(axis=1).mean() >= least - 0.02, (size, changed)
-
-
-def test_line_dedup_equals_brute_force_edit_similarity(spark):
-    rng = np.random.default_rng(13)
-    letters = list("abcdefghijklmnopqrstuvwxyz ")
-    lines = []
-    for g in range(30):
-        line = list(rng.choice(letters, 40 + 8 * g))
-        for c in range(4):
-            # Edits add up from copy to copy, so the last is far from the first.
-            line[(7 + 11 * c) % len(line)] = "q"
-            line[(20 + 5 * c) % len(line)] = "x"
-            lines.append("".join(line))
-    normal = [line_dedup.normal_line(x.encode()).decode() for x in lines]
-
-    def edits(a, b):
-        row = np.arange(len(b) + 1)
-        for i, c in enumerate(a):
-            new = np.minimum(row[1:] + 1, row[:-1] + np.array([c != d for d in b]))
-            new = np.concatenate([[i + 1], new])
-            row = np.minimum.accumulate(new - np.arange(len(new))) + np.arange(len(new))
-        return int(row[-1])
-
-    root = list(range(len(lines)))
-    for a in range(len(lines)):
-        for b in range(a // 4 * 4, a):
-            if edits(normal[a], normal[b]) <= 0.1 * max(len(normal[a]), len(normal[b])) + 1e-9:
-                root = [min(root[a], root[b]) if r in (root[a], root[b]) else r for r in root]
-    rows = with_row_id(spark.createDataFrame([(i, t, "a", "x") for i, t in enumerate(lines)], DOCS), "rid", "t")
-    found = {r["key"]: r["n_removed"] for r in line_dedup.drop_copied_lines(rows, "rid").collect()}
-    assert {i for i, n in found.items() if n == 0} == set(root)
-
-
 def test_decontamination_checks_slots(spark):
     item = "the farmer sold 12 apples and kept 12 pears while Anna bought 7 plums at the market today"
     same = item.replace("12", "30").replace("Anna", "Bert").replace("7", "9")
