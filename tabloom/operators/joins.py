@@ -20,31 +20,46 @@ _INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FLOATS = (T.FloatType, T.DoubleType)
 
 
+# Up to this size every whole double stands for one integer only.
+_EXACT_DOUBLE = 1 << 53
+
+
 def common_key_type(left: T.DataType, right: T.DataType) -> T.DataType:
     """The type in which keys of two types are compared; an error if there is none.
 
-    Integers take the wider type, an integer and a fraction double.  Text that
-    meets a number is read as one, and matches nothing where it is not one.
+    Keys that differ in their own type differ in the common one, so unique keys stay
+    unique.  Integers take the wider type, fractions double.  An integer and a
+    fraction compare as 64-bit integers: only whole fractions below 2 ** 53 in size
+    match.  Text and a number compare as text, whole numbers below that size without a
+    point: ``'7'`` is 7 and 7.0, but ``'07'`` is neither.
     """
     if left == right:
         return left
     both = (left, right)
     if all(isinstance(t, _INTEGERS) for t in both):
         return max(both, key=lambda t: _INTEGERS.index(type(t)))
+    if all(isinstance(t, _FLOATS) for t in both):
+        return T.DoubleType()
     numbers = [t for t in both if isinstance(t, (*_INTEGERS, *_FLOATS))]
     if len(numbers) == 2:
-        return T.DoubleType()
+        return T.LongType()
     if len(numbers) == 1 and any(isinstance(t, T.StringType) for t in both):
-        return T.LongType() if isinstance(numbers[0], _INTEGERS) else T.DoubleType()
+        return T.StringType()
     raise ValueError(f"keys of type {left.simpleString()} and {right.simpleString()} do not compare")
 
 
 def _as_type(key: str, have: T.DataType, want: T.DataType) -> Column:
     value = F.col(key)
-    if have != want:
-        value = value.try_cast(want)
+    if not isinstance(have, _FLOATS):
+        return value if have == want else value.cast(want)
     # One zero: -0.0 and 0.0 are equal keys and must have equal hashes.
-    return value + F.lit(0.0) if isinstance(want, T.DoubleType) else value
+    double = value.cast("double") + F.lit(0.0)
+    whole = F.when((F.floor(double) == double) & (F.abs(double) < _EXACT_DOUBLE), double.cast("long"))
+    if isinstance(want, T.LongType):
+        return whole
+    if isinstance(want, T.StringType):
+        return F.coalesce(whole.cast("string"), value.cast("string"))
+    return double
 
 
 def crowded_keys(

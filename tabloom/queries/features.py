@@ -214,6 +214,74 @@ def training_set_lookup_mixed_types(spark, sf_dir):
     return lookup_join(rows, lines, ["line"], small_bytes=0, rows_per_task=100)
 
 
+@query(
+    "training_set_lookup_text_keys",
+    """
+    WITH asked AS (
+      SELECT l_orderkey, l_linenumber, CAST(l_partkey AS BIGINT) AS part FROM lineitem
+    ),
+    named AS (
+      SELECT CAST(p_partkey AS VARCHAR) AS part, p_size FROM part
+      UNION ALL
+      SELECT '0' || p_partkey, p_size + 100 FROM part WHERE p_partkey > 0
+    )
+    SELECT l_orderkey, l_linenumber, asked.part, p_size
+    FROM asked LEFT JOIN named ON CAST(asked.part AS VARCHAR) = named.part
+    """,
+)
+def training_set_lookup_text_keys(spark, sf_dir):
+    """Feature keys ``7`` and ``07`` are two keys; a number finds the one it is written as."""
+    name = f"{work_schema(spark)}.named_parts"
+    part = load(spark, sf_dir, "part")
+    plain = part.select(F.col("p_partkey").cast("string").alias("part"), "p_size")
+    padded = part.where("p_partkey > 0").select(
+        F.concat(F.lit("0"), F.col("p_partkey").cast("string")).alias("part"),
+        (F.col("p_size") + 100).alias("p_size"),
+    )
+    features.create_feature_table(spark, name, "part", plain.unionByName(padded))
+    rows = load(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_partkey").cast("long").alias("part")
+    )
+    return features.apply_lookups(rows, [FeatureLookup(name)], small_bytes=0)
+
+
+@query(
+    "training_set_lookup_large_keys",
+    """
+    WITH base AS (SELECT 9007199254740992::BIGINT AS b),
+    asked AS (
+      SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN CAST(b + o_orderkey AS DOUBLE)
+                              WHEN o_orderkey % 3 = 1 THEN CAST(o_orderkey AS DOUBLE)
+                              ELSE o_orderkey + 0.5 END AS k
+      FROM orders, base
+    ),
+    known AS (
+      SELECT o_orderkey AS k, o_custkey FROM orders
+      UNION ALL SELECT b + o_orderkey, -o_custkey FROM orders, base
+    )
+    SELECT asked.o_orderkey, asked.k, o_custkey
+    FROM asked LEFT JOIN known
+      ON abs(asked.k) < 9007199254740992 AND asked.k = floor(asked.k)
+     AND CAST(floor(CASE WHEN abs(asked.k) < 9007199254740992 THEN asked.k END) AS BIGINT) = known.k
+    """,
+)
+def training_set_lookup_large_keys(spark, sf_dir):
+    """Double keys beside 64-bit ones, on both sides of 2**53: no row comes out twice."""
+    base = F.lit(1 << 53)
+    name = f"{work_schema(spark)}.large_keys"
+    orders = load(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("long").alias("o_orderkey"), "o_custkey"
+    )
+    known = orders.select(F.col("o_orderkey").alias("k"), "o_custkey").unionByName(
+        orders.select((base + F.col("o_orderkey")).alias("k"), (-F.col("o_custkey")).alias("o_custkey"))
+    )
+    features.create_feature_table(spark, name, "k", known)
+    key, third = F.col("o_orderkey"), F.col("o_orderkey") % 3
+    asked = F.when(third == 0, (base + key).cast("double")).when(third == 1, key.cast("double"))
+    rows = orders.select("o_orderkey", asked.otherwise(key + F.lit(0.5)).cast("double").alias("k"))
+    return features.apply_lookups(rows, [FeatureLookup(name)], small_bytes=0)
+
+
 @query(
     "training_set_three_lookups_skewed",
     f"""

@@ -191,6 +191,28 @@ def test_keys_without_a_common_type_or_repeated_are_refused(spark):
     assert _rows(once) == sorted(map(repr, [("x", None), ("1", 2), (None, None)]))
 
 
+@pytest.mark.parametrize(
+    "asked,known",
+    [
+        (("k bigint", [7, 8]), ("k string", ["7", "07", "7.0", " 7", "x"])),
+        (("k double", [7.0, 7.5]), ("k string", ["7", "07", "7.5", "7.50"])),
+        (("k double", [9007199254740992.0, 3.0]), ("k bigint", [9007199254740992, 9007199254740993, 3])),
+        (("k bigint", [9007199254740993, 3]), ("k double", [9007199254740992.0, 3.0, 3.5])),
+        (("k float", [16777216.0, 0.5]), ("k int", [16777216, 16777217, 0])),
+        (("k string", ["7", "1E10"]), ("k double", [7.0, 1e10])),
+    ],
+)
+def test_keys_that_differ_in_their_own_type_never_multiply_rows(spark, schema, asked, known):
+    left = spark.createDataFrame([(v,) for v in asked[1]], asked[0])
+    right = spark.createDataFrame([(v, i) for i, v in enumerate(known[1])], f"{known[0]}, v int")
+    name = f"{schema}.mixed_keys"
+    features.create_feature_table(spark, name, "k", right)
+    for small_bytes in (0, None):
+        found = features.apply_lookups(left, [features.FeatureLookup(name)], small_bytes=small_bytes)
+        assert found.count() == left.count()
+        assert _rows(found) == _rows(lookup_join(left, right, ["k"], small_bytes=small_bytes))
+
+
 def test_zeros_of_both_signs_are_one_key(spark):
     left = spark.createDataFrame([(-0.0,), (0.0,)], "k double")
     right = spark.createDataFrame([(0.0, 5)], "k double, v int")
