@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from dataclasses import dataclass
 from itertools import product
 from math import inf, isnan, sqrt
@@ -16,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.functions.hashing import hash01
+from tabloom.operators.boosting import BoostParams
 from tabloom.session import cached, shared_dir
 
 # The grid and the search space this toolkit has to reproduce.
@@ -69,7 +71,7 @@ BOOSTING_SPACE = {
 def boosting_params(trial: dict, max_depth: int = 30) -> dict:
     """Nearest Spark ML settings of a sampled trial.
 
-    The two regularisation strengths have no counterpart; they stay in the log.
+    The two regularisation strengths have no counterpart there; ``regularized_params`` has.
     """
     return {
         "maxDepth": int(min(max_depth, trial["max_depth"])),
@@ -95,6 +97,18 @@ def fitted_params(trial: dict, max_depth: int = 30) -> dict:
     return {**trial, **fitted, **drawn}
 
 
+def regularized_params(trial: dict, rounds: int, max_depth: int = 100) -> BoostParams:
+    """A sampled trial as settings of the second-order booster, which takes every draw as it is."""
+    return BoostParams(
+        rounds=rounds,
+        max_depth=int(min(max_depth, trial["max_depth"])),
+        learning_rate=float(trial["learning_rate"]),
+        reg_alpha=float(trial.get("reg_alpha", 0.0)),
+        reg_lambda=float(trial.get("reg_lambda", 1.0)),
+        min_child_weight=float(trial["min_child_weight"]),
+    )
+
+
 def default_parallelism(trials: int) -> int:
     """Square root of the number of trials, the usual balance for a sweep."""
     return max(1, round(sqrt(trials)))
@@ -174,8 +188,9 @@ class Trial:
 
     number: int
     params: dict
-    model: Model
+    model: Model | None
     metrics: dict[str, float]
+    path: str | None = None
 
     def loss(self, metric: str) -> float:
         """What a minimiser would see for a metric that should be large.
@@ -192,10 +207,13 @@ def sweep(
     build: Callable[[dict], Estimator],
     measure: Callable[[Model], dict[str, float]],
     parallelism: int | None = None,
+    store: Callable[[Model], str] | None = None,
 ) -> list[Trial]:
     """Fit every trial over one cached frame, a bounded number at a time.
 
-    The threads only submit jobs; each fit is a distributed Spark ML fit.
+    The threads only submit jobs; each fit is a distributed Spark ML fit.  With ``store``
+    a model is saved as soon as it is measured, and only what ``store`` returns (its path)
+    is kept of it.  What trials stage belongs to the caller's scope.
     """
     shared_dir(train.sparkSession)
     with cached(train) as rows:
@@ -203,11 +221,16 @@ def sweep(
         def run(numbered: tuple[int, dict]) -> Trial:
             number, params = numbered
             model = build(params).fit(rows)
-            return Trial(number, params, model, measure(model))
+            metrics = measure(model)
+            if store is None:
+                return Trial(number, params, model, metrics)
+            return Trial(number, params, None, metrics, store(model))
 
         with ThreadPoolExecutor(parallelism or default_parallelism(len(trials))) as pool:
             task = inheritable_thread_target(train.sparkSession)(run)
-            return list(pool.map(task, enumerate(trials)))
+            # A context can be entered once at a time, so each trial has its own copy.
+            scopes = [copy_context() for _ in trials]
+            return list(pool.map(lambda scope, t: scope.run(task, t), scopes, enumerate(trials)))
 
 
 def best_trial(trials: Sequence[Trial], metric: str) -> Trial:

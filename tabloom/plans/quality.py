@@ -9,7 +9,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.operators import columns, evaluation, models, profiling, scoring, splits, stages, tuning
+from tabloom.operators import boosting, columns, evaluation, models, profiling, scoring, splits, stages, tuning
 from tabloom.operators.registry import ModelRegistry, best_run, search_runs
 from tabloom.session import cached
 
@@ -81,56 +81,56 @@ def tune(
     features: Sequence[str],
     label: str,
     max_evals: int = 30,
-    parallelism: int | None = None,
     rounds: int = models.BOOSTED_ROUNDS,
-    max_depth: int = 30,
+    max_depth: int = 100,
     space: dict | None = None,
     seed: int = 123,
+    patience: int = models.PATIENCE,
 ) -> str:
-    """Sweep boosted trees over sampled trials; returns the id of the parent run.
+    """Sweep regularised boosted trees over sampled trials; returns the id of the parent run.
 
-    Each trial stops early on the validation part and is judged by AUC there.
+    All trials grow side by side and share every scan of the rows.  Each ends once
+    ``patience`` rounds brought no gain on the validation part, keeps its trees up to the
+    best round, and is judged by AUC there.
     """
     space = space or tuning.BOOSTING_SPACE
     spark = split.sparkSession
     prepare_features = models.fit(split, _features_only(features))
     prepared = prepare_features.transform(split.where("split <> 'test'")).select(
-        label, "features", (F.col("split") == "validation").alias("held_out")
+        label, "features", (F.col("split") == "validation").cast("int").alias("held_out")
     )
     drawn = tuning.draw_trials(spark.range(max_evals), "id", space, seed).orderBy("id").collect()
-    trials = [r.asDict() for r in drawn]
-
-    def build(trial: dict):
-        params = tuning.boosting_params(trial, max_depth)
-        return models.boosted_classifier(label, "held_out", maxIter=rounds, **params)
-
-    with cached(prepared.where("held_out")) as validation:
-
-        def measure(model) -> dict[str, float]:
-            scored = model.transform(validation).select(
-                label, scoring.positive_probability().alias("score")
-            )
-            return {
-                "auc": evaluation.auc(scored, label, "score").first()["auc"],
-                "n_trees": float(model.getNumTrees),
-            }
-
-        done = tuning.sweep(prepared, trials, build, measure, parallelism)
+    trials = [{k: v for k, v in r.asDict().items() if k != "id"} for r in drawn]
+    settings = [tuning.regularized_params(t, rounds, max_depth) for t in trials]
+    fitted = boosting.fit_boosted(
+        prepared, "features", label, settings, "held_out", [1] * len(settings), patience
+    )
 
     parent = registry.log_run("boosted_models", {"max_evals": max_evals})
     signature = scoring.infer_signature(split, features)
     runs = []
-    for trial in done:
-        model = PipelineModel([*prepare_features.stages, trial.model])
-        runs.append(
-            {
-                "run_name": "boosted_model",
-                "params": tuning.fitted_params(trial.params, max_depth),
-                "metrics": trial.metrics,
-                "artifacts": {"model": registry.store_model(model, signature)},
-                "parent_run_id": parent,
-            }
-        )
+    with cached(prepared.where("held_out = 1")) as validation:
+        for trial, used, found in zip(trials, settings, fitted, strict=True):
+            model = boosting.RegularizedBoosterModel(found)
+            scored = model.transform(validation).select(
+                label, scoring.positive_probability().alias("score")
+            )
+            params = {**trial, "max_depth": used.max_depth}
+            if used.max_depth != trial["max_depth"]:
+                params["drawn_max_depth"] = trial["max_depth"]
+            whole = PipelineModel([*prepare_features.stages, model])
+            runs.append(
+                {
+                    "run_name": "boosted_model",
+                    "params": params,
+                    "metrics": {
+                        "auc": evaluation.auc(scored, label, "score").first()["auc"],
+                        "n_trees": float(model.getNumTrees),
+                    },
+                    "artifacts": {"model": registry.store_model(whole, signature)},
+                    "parent_run_id": parent,
+                }
+            )
     registry.log_runs(runs)
     return parent
 

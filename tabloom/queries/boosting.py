@@ -8,11 +8,16 @@ exact twin.  Bootstrapped forests are random: their queries state what must hold
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.functions import metrics
-from tabloom.operators import evaluation, models, scoring, splits, stages, tuning
+from tabloom.operators import boosting, evaluation, models, scoring, splits, stages, tuning
+from tabloom.operators.boosting import BoostParams, RegularizedBoosterModel
 from tabloom.operators.tuning import Constant, QUniform
 from tabloom.queries.base import (
     HOURLY,
@@ -382,3 +387,132 @@ def rf_binary_proba_held_out(spark, sf_dir):
         F.count_if(~inside).alias("n_outside"),
         F.lit(area is not None and area >= _AUC_FLOOR).alias("above_floor"),
     )
+
+
+# --- second-order boosting with both regularisation strengths --------------------
+
+_STUMPS = [
+    {"reg_alpha": 0.0, "reg_lambda": 1.0}, {"reg_alpha": 40.0, "reg_lambda": 1.0},
+    {"reg_alpha": 0.0, "reg_lambda": 300.0}, {"reg_alpha": 15.0, "reg_lambda": 80.0},
+]
+_STUMP_RATE, _STUMP_LEAST = 0.5, 2.0
+
+
+def _soft_sql(g: str) -> str:
+    return f"(sign({g}) * greatest(abs({g}) - l1, 0))"
+
+
+def _stump_rounds_sql(rounds: int) -> str:
+    """``r0`` .. ``r{rounds}``: margins of stumps over ``part``, for each ``fit``.
+
+    ``r0`` has (fit, part, l1, l2, pos, neg, f) and other columns, which are kept.
+    """
+    ctes = []
+    for k in range(1, rounds + 1):
+        ctes.append(f"""
+s{k} AS MATERIALIZED (
+  SELECT *, {_soft_sql("gl")} AS sl, {_soft_sql("ga - gl")} AS sr, {_soft_sql("ga")} AS sa
+  FROM (SELECT *, sum(g) OVER upto AS gl, sum(h) OVER upto AS hl,
+               sum(g) OVER (PARTITION BY fit) AS ga, sum(h) OVER (PARTITION BY fit) AS ha
+        FROM (SELECT *, (pos + neg) / (1 + exp(-f)) - pos AS g,
+                     (pos + neg) * exp(-f) / (1 + exp(-f)) / (1 + exp(-f)) AS h FROM r{k - 1}) d
+        WINDOW upto AS (PARTITION BY fit ORDER BY part)) c
+),
+b{k} AS MATERIALIZED (
+  SELECT fit, part AS cut, sl / (hl + l2) AS wl, sr / (ha - hl + l2) AS wr,
+         sl * sl / (hl + l2) + sr * sr / (ha - hl + l2) - sa * sa / (ha + l2) AS gain
+  FROM s{k} WHERE part < 7 AND hl >= {_STUMP_LEAST} AND ha - hl >= {_STUMP_LEAST}
+  QUALIFY row_number() OVER (PARTITION BY fit ORDER BY gain DESC, part) = 1
+),
+r{k} AS MATERIALIZED (
+  SELECT s{k}.* EXCLUDE (f, g, h, gl, hl, ga, ha, sl, sr, sa),
+         f - {_STUMP_RATE} * CASE WHEN gain > 0 AND part <= cut THEN wl WHEN gain > 0 THEN wr
+                                  ELSE sa / (ha + l2) END AS f
+  FROM s{k} LEFT JOIN b{k} USING (fit)
+)""")
+    return ",".join(ctes)
+
+
+_STUMP_POINTS = ", ".join(
+    f"({i}, {p['reg_alpha']}::DOUBLE, {p['reg_lambda']}::DOUBLE)" for i, p in enumerate(_STUMPS)
+)
+_STUMP_ROUNDS, _SEARCH_ROUNDS, _WAIT = 5, 4, 2
+
+
+def _stump_params(rounds: int) -> list[BoostParams]:
+    return [
+        BoostParams(rounds, 1, _STUMP_RATE, min_child_weight=_STUMP_LEAST, **point) for point in _STUMPS
+    ]
+
+
+@query(
+    "boosted_regularized_rounds",
+    f"""
+    WITH {_BAR},
+    points AS (SELECT * FROM (VALUES {_STUMP_POINTS}) AS g(fit, l1, l2)),
+    r0 AS (
+      SELECT fit, part, l1, l2, CAST(sum(high) AS DOUBLE) AS pos,
+             CAST(count(*) - sum(high) AS DOUBLE) AS neg, 0.0::DOUBLE AS f
+      FROM barred CROSS JOIN points WHERE split = 'train' GROUP BY fit, part, l1, l2
+    ), {_stump_rounds_sql(_STUMP_ROUNDS)}
+    SELECT CAST(fit AS INTEGER) AS trial, part, round(1 / (1 + exp(-f)), 6) AS prediction
+    FROM r{_STUMP_ROUNDS}
+    """,
+)
+def boosted_regularized_rounds(spark, sf_dir):
+    """Five rounds of stumps under four pairs of strengths, each of which moves the predictions."""
+    rows = _barred(spark, sf_dir).where("split = 'train'")
+    fitted = boosting.fit_boosted(
+        rows.select(F.array(F.col("part").cast("double")).alias("features"), "high"),
+        "features", "high", _stump_params(_STUMP_ROUNDS),
+    )
+    groups = rows.select("part").distinct().select("part", array_to_vector(F.array(F.col("part").cast("double"))).alias("features"))
+    trials = [
+        RegularizedBoosterModel(model).transform(groups).select(
+            F.lit(i).alias("trial"), "part", F.round(scoring.positive_probability(), 6).alias("prediction")
+        )
+        for i, model in enumerate(fitted)
+    ]
+    return reduce(DataFrame.unionByName, trials)
+
+
+@query(
+    "boosted_search_one_scan",
+    f"""
+    WITH {_BAR},
+    points AS (SELECT * FROM (VALUES {_STUMP_POINTS}) AS g(trial, l1, l2)),
+    per_fold AS (SELECT fold, part, CAST(sum(high) AS DOUBLE) AS y, count(*) AS n
+                 FROM barred GROUP BY fold, part),
+    r0 AS (
+      SELECT trial * 3 + fold AS fit, trial, part, l1, l2,
+             sum(y) OVER (PARTITION BY trial, part) - y AS pos,
+             sum(n - y) OVER (PARTITION BY trial, part) - (n - y) AS neg,
+             y AS val_pos, n - y AS val_neg, 0.0::DOUBLE AS f
+      FROM per_fold CROSS JOIN points
+    ), {_stump_rounds_sql(_SEARCH_ROUNDS)},
+    losses AS (
+      {" UNION ALL ".join(
+          f"SELECT trial, fit, {k} AS k, sum(val_pos * ln(1 + exp(-f)) + val_neg * ln(1 + exp(f)))"
+          f" / sum(val_pos + val_neg) AS loss FROM r{k} GROUP BY trial, fit"
+          for k in range(1, _SEARCH_ROUNDS + 1))}
+    ),
+    lowest AS (SELECT trial, fit, min(loss) AS loss, arg_min(k, loss) AS k FROM losses GROUP BY trial, fit)
+    SELECT CAST(trial AS INTEGER) AS trial, round(avg(loss), 6) AS logloss, CAST(sum(k) AS INTEGER) AS n_trees
+    FROM lowest GROUP BY trial
+    """,
+)
+def boosted_search_one_scan(spark, sf_dir):
+    """Four settings in three folds: twelve fits that share every scan of the rows."""
+    rows = splits.kfold(_barred(spark, sf_dir), ["event_id"], 3, seed=0)
+    settings = _stump_params(_SEARCH_ROUNDS)
+    fitted = boosting.fit_boosted(
+        rows.select(F.array(F.col("part").cast("double")).alias("features"), "high", "fold"),
+        "features", "high", [p for p in settings for _ in range(3)], "fold", [0, 1, 2] * len(settings),
+    )
+    judged = [
+        (i // 3, min(model.losses[1:]), len(model.trees)) for i, model in enumerate(fitted)
+    ]
+    frame = spark.createDataFrame(judged, "trial int, loss double, n_trees int")
+    return frame.groupBy("trial").agg(
+        F.round(F.avg("loss"), 6).alias("logloss"), F.sum("n_trees").cast("int").alias("n_trees")
+    )

@@ -153,12 +153,21 @@ def plan_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+# What Spark assumes of a frame whose size it does not know, such as one made from Python rows.
+_UNKNOWN_BYTES = 1 << 62
+
+
 def input_bytes(df: DataFrame) -> int:
-    """Size of everything ``df`` reads; unlike ``plan_bytes`` not inflated by joins."""
+    """Size of everything ``df`` reads; unlike ``plan_bytes`` not inflated by joins.
+
+    An input of unknown size counts as one split for each shuffle partition of the session.
+    """
+    unknown = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) * _PART_BYTES
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves().iterator()
     total = 0
     while leaves.hasNext():
-        total += int(str(leaves.next().stats().sizeInBytes()))
+        size = int(str(leaves.next().stats().sizeInBytes()))
+        total += size if size < _UNKNOWN_BYTES else unknown
     return total
 
 

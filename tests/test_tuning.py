@@ -124,3 +124,22 @@ def test_patience_keeps_the_best_round(spark):
     assert 1 <= model.stages[-1].getNumTrees <= 4
     with pytest.raises(ValueError, match="no row"):
         models.fit_with_patience(rows.where("not held_out"), stages_, "held_out")
+
+
+def test_trials_stage_in_the_callers_scope_and_are_stored_at_once(spark, tmp_path):
+    from tabloom.session import noting, stage
+
+    rows = spark.range(40).select((F.col("id") % 4).cast("double").alias("x"), (F.col("id") % 2).cast("double").alias("y"))
+    rows = stages.assembler(["x"], "features").transform(rows)
+    paths: list[str] = []
+
+    def measure(model):
+        return {"n": float(stage(model.transform(rows), "scored").count())}
+
+    with noting(paths):
+        done = tuning.sweep(
+            rows, [{"d": 1}, {"d": 2}, {"d": 3}], lambda t: models.tree_regressor("y", maxDepth=t["d"]), measure, 3,
+            lambda model: f"{tmp_path}/{model.depth}",
+        )
+    assert len(paths) == 3
+    assert [t.model for t in done] == [None] * 3 and all(t.path for t in done)
