@@ -20,9 +20,9 @@ an empty one give no bytes; null and unknown ids in a list are an error.
 from __future__ import annotations
 
 import base64
+import sys
 from collections.abc import Iterator
 from functools import cached_property
-from heapq import heapify, heappop, heappush
 from itertools import chain
 
 import numpy as np
@@ -36,9 +36,10 @@ from tabloom.llm.base import free_name, load, query
 
 # Texts are taken in slices of so many characters (a longer text is a slice by itself).
 SLICE_CHARS = 1 << 22
-# So many words and pairs are remembered by a task from slice to slice.
-KEPT_WORDS = 200_000
-KEPT_PAIRS = 1_000_000
+# So many words are remembered by a task from slice to slice.
+KEPT_WORDS = 300_000
+# The lowest ranks stand in very many places; they are merged by numpy, the others one by one.
+FREQUENT = 3000
 
 # Letters and numbers that Unicode has added since version 16.  The tables of the
 # tiktoken library end there, so they are signs like any other in its pattern.
@@ -79,7 +80,9 @@ class Words:
         self._exact = regex.compile(exact, regex.V1)
 
     def __call__(self, text: str) -> list[str]:
-        return (self._exact if self._late.search(text) else self._plain).findall(text)
+        highest = 0 if text.isascii() else int(np.frombuffer(text.encode("utf-32-le"), np.uint32).max())
+        late = highest >= LATE[0][0] and self._late.search(text)
+        return (self._exact if late else self._plain).findall(text)
 
 
 class MergeReplay:
@@ -87,7 +90,7 @@ class MergeReplay:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
-        self._pairs: dict[tuple[int, int], int] = {}
+        self.size = max(ranks.values()) + 1
 
     @cached_property
     def tokens(self) -> dict[int, bytes]:
@@ -102,22 +105,24 @@ class MergeReplay:
         """The rank of each pair of bytes, -1 for none."""
         return np.array([self.ranks.get(bytes([a, b]), -1) for a in range(256) for b in range(256)], np.int64)
 
-    def _rank(self, a: int, b: int) -> int:
-        """The rank of two neighbouring tokens, -1 for none."""
-        found = self._pairs.get((a, b))
-        if found is None:
-            if len(self._pairs) >= KEPT_PAIRS:
-                self._pairs.clear()
-            found = self._pairs[a, b] = self.ranks.get(self.tokens[a] + self.tokens[b], -1)
-        return found
-
-    def encode(self, words: list[bytes]) -> list[list[int]]:
-        """The tokens of each of some non-empty words."""
+    @cached_property
+    def _pairs(self) -> dict[int, int]:
+        """The rank of each pair (a, b) of tokens that make a token, by a * size + b."""
+        ranks = self.ranks
+        return {
+            ranks[token[:k]] * self.size + ranks[token[k:]]: rank
+            for token, rank in ranks.items()
+            for k in range(1, len(token))
+            if token[:k] in ranks and token[k:] in ranks
+        }
+
+    def encode(self, words: list[bytes]) -> list[bytes]:
+        """The tokens of each of some non-empty words, as 32-bit integers."""
         whole = [self.ranks.get(w) for w in words]
         rest = iter(self._replay([w for w, t in zip(words, whole, strict=True) if t is None]))
-        return [next(rest) if t is None else [t] for t in whole]
+        return [next(rest) if t is None else t.to_bytes(4, sys.byteorder) for t in whole]
 
-    def _replay(self, words: list[bytes]) -> list[list[int]]:
+    def _replay(self, words: list[bytes]) -> list[bytes]:
         if not words:
             return []
         flat = np.frombuffer(b"".join(words), np.uint8)
@@ -131,62 +136,116 @@ class MergeReplay:
         pair[:-1] = self._byte_pairs[flat[:-1].astype(np.int64) * 256 + flat[1:]]
         pair[ends - 1] = -1
         # The index: where the pairs of each rank stand.
-        order = np.argsort(pair, kind="stable")
-        found, first = np.unique(pair[order], return_index=True)
-        index = {
-            rank: places.tolist()
-            for rank, places in zip(found.tolist(), np.split(order, first[1:]), strict=True)
-            if rank >= 0
-        }
-        symbol, after, before, pair = self._bytes[flat].tolist(), after.tolist(), before.tolist(), pair.tolist()
-        self._merge(index, symbol, after, before, pair)
-        out = []
-        for at in begins.tolist():
-            tokens = []
-            while at >= 0:
-                tokens.append(symbol[at])
-                at = after[at]
-            out.append(tokens)
-        return out
-
-    def _merge(self, index: dict[int, list[int]], symbol: list, after: list, before: list, pair: list) -> None:
+        index: list[list] = [[] for _ in range(self.size)]
+        self._enter(index, pair, np.arange(len(flat)))
+        symbol, gone = self._bytes[flat], np.zeros(len(flat), np.uint8)
+        self._merge_frequent(index, symbol, after, before, pair, gone)
+        lists = [np.concatenate(places).tolist() if places else places for places in index]
+        symbol, gone = symbol.tolist(), bytearray(gone.tobytes())
+        self._merge(lists, symbol, after.tolist(), before.tolist(), pair.tolist(), gone)
+        stays = np.frombuffer(gone, np.uint8) == 0
+        tokens = np.array(symbol, np.int32)[stays].tobytes()
+        edges = [0, *(4 * np.cumsum(np.add.reduceat(stays, begins, dtype=np.int64))).tolist()]
+        return [tokens[i:j] for i, j in zip(edges, edges[1:], strict=False)]
+
+    @cached_property
+    def _sorted_pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        keys = np.array(sorted(self._pairs), np.int64)
+        return keys, np.array([self._pairs[k] for k in keys.tolist()], np.int64)
+
+    def _ranks_of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The rank of each pair of tokens, -1 for none."""
+        keys, ranks = self._sorted_pairs
+        key = a * self.size + b
+        at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+        return np.where(keys[at] == key, ranks[at], -1)
+
+    @staticmethod
+    def _enter(index: list[list], ranks: np.ndarray, places: np.ndarray) -> None:
+        ranks, places = ranks[ranks >= 0], places[ranks >= 0]
+        order = np.argsort(ranks, kind="stable")
+        found, first = np.unique(ranks[order], return_index=True)
+        ends = [*first[1:].tolist(), len(order)]
+        for rank, i, j in zip(found.tolist(), first.tolist(), ends, strict=False):
+            index[rank].append(places[order[i:j]])
+
+    def _merge_frequent(self, index: list[list], symbol, after, before, pair, gone) -> None:
+        """Apply the first ``FREQUENT`` merges, which have most places, to all places at once.
+
+        Stops early at a rank whose merges would make a pair of lower rank.
+        """
+        for rank in range(min(FREQUENT, self.size)):
+            if not index[rank]:
+                continue
+            at = np.sort(np.concatenate(index[rank]))
+            at = at[pair[at] == rank]
+            # Of pairs that overlap in a row every second one is merged.
+            overlaps = np.concatenate(([False], after[at[:-1]] == at[1:])) if len(at) else np.zeros(0, bool)
+            if overlaps.any():
+                place = np.arange(len(at))
+                at = at[(place - np.maximum.accumulate(np.where(overlaps, 0, place))) % 2 == 0]
+            other = after[at]
+            right, left = after[other], before[at]
+            r, l = right >= 0, left >= 0
+            token = np.full(len(at), rank)
+            # Pairs that stand for a moment while a word is merged from left to right count too.
+            passing = np.concatenate([
+                self._ranks_of(token[r], symbol[right[r]]), self._ranks_of(symbol[left[l]], token[l])
+            ])
+            if ((passing >= 0) & (passing < rank)).any():
+                index[rank] = [at]
+                return
+            symbol[at], after[at], gone[other], pair[other], pair[at] = rank, right, 1, -1, -1
+            before[right[r]] = at[r]
+            # A neighbour may have been merged as well, so pairs are looked up only now.
+            places = np.concatenate([at[r], before[at[before[at] >= 0]]])
+            places = np.unique(places)
+            new = self._ranks_of(symbol[places], symbol[after[places]])
+            pair[places] = new
+            index[rank] = []
+            if ((new >= 0) & (new < rank)).any():
+                self._enter(index, new, places)
+                return
+            self._enter(index, new, places)
+
+    def _merge(self, index: list[list[int]], symbol: list, after: list, before: list, pair: list, gone: bytearray) -> None:
         """Apply every merge in the order of ranks, on chains linked by ``after`` and ``before``."""
-        waiting = list(index)
-        heapify(waiting)
-        while waiting:
-            rank = heappop(waiting)
-            places = index.pop(rank, [])
+        size, known = self.size, self._pairs.get
+        rank = 0
+        while rank < size:
+            places = index[rank]
+            if not places:
+                rank += 1
+                continue
+            index[rank] = []
             places.sort()  # from left to right, as pairs may overlap
+            least, own = rank, rank * size
             for k, at in enumerate(places):
                 if pair[at] != rank:  # taken by another merge meanwhile
                     continue
-                gone = after[at]
-                right, left = after[gone], before[at]
-                symbol[at], after[at], pair[gone], pair[at] = rank, right, -1, -1
-                least = rank
+                other = after[at]
+                right, left = after[other], before[at]
+                symbol[at], after[at], gone[other], pair[other] = rank, right, 1, -1
+                new = -1
                 if right >= 0:
                     before[right] = at
-                    new = pair[at] = self._rank(rank, symbol[right])
+                    new = known(own + symbol[right], -1)
                     if new >= 0:
-                        least = min(least, new)
-                        self._enter(index, waiting, new, at)
+                        index[new].append(at)
+                        if new < least:
+                            least = new
+                pair[at] = new
                 if left >= 0:
-                    new = pair[left] = self._rank(symbol[left], rank)
+                    new = pair[left] = known(symbol[left] * size + rank, -1)
                     if new >= 0:
-                        least = min(least, new)
-                        self._enter(index, waiting, new, left)
+                        index[new].append(left)
+                        if new < least:
+                            least = new
                 if least < rank:
-                    for other in places[k + 1 :]:
-                        self._enter(index, waiting, rank, other)
+                    # A word now holds a pair of lower rank, which comes before the rest.
+                    index[rank] = places[k + 1 :]
                     break
-
-    @staticmethod
-    def _enter(index: dict[int, list[int]], waiting: list[int], rank: int, at: int) -> None:
-        if rank in index:
-            index[rank].append(at)
-        else:
-            index[rank] = [at]
-            heappush(waiting, rank)
+            rank = least if least < rank else rank + 1
 
 
 def slices(lengths: list[int], most: int) -> Iterator[tuple[int, int]]:
@@ -222,9 +281,9 @@ def encode_texts(df: DataFrame, ranks: dict[bytes, int], pattern: str, text: str
                     kept.clear()
                     new = list(set(chain.from_iterable(words)))
                 kept.update(zip(new, replay.encode([w.encode() for w in new]), strict=True))
-                found = [np.fromiter(chain.from_iterable(map(kept.__getitem__, w)), np.int32) for w in words]
-                sizes = np.cumsum([0, *map(len, found)])
-                ids = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(np.concatenate(found)))
+                found = [b"".join(map(kept.__getitem__, w)) for w in words]
+                ends = pa.array(np.cumsum([0, *map(len, found)]) // 4, pa.int32())
+                ids = pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(found), np.int32)))
                 part = batch.slice(begin, end - begin)
                 yield pa.RecordBatch.from_arrays([*part.columns, ids], names=names)
 
@@ -242,7 +301,10 @@ def decode_ids(df: DataFrame, ranks: dict[bytes, int], ids: str = "ids", into: s
         for batch in batches:
             for begin in range(0, batch.num_rows, 256):
                 part = batch.slice(begin, 256)
-                texts = [b"".join(map(tokens.__getitem__, x)) if x else b"" for x in part.column(at).to_pylist()]
+                own = part.column(at)
+                flat = own.flatten().to_numpy(zero_copy_only=False).tolist()
+                ends = np.cumsum([0, *own.value_lengths().fill_null(0).to_pylist()]).tolist()
+                texts = [b"".join(map(tokens.__getitem__, flat[i:j])) for i, j in zip(ends, ends[1:], strict=False)]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary())], names=names)
 
     return df.mapInArrow(decode, _with_column(df, into, T.BinaryType()))
