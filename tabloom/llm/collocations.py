@@ -52,10 +52,12 @@ TOP = 2000
 TRIE_PHRASES = 400_000
 VOCABULARY = 1_000_000
 # Texts are worked off in slices of so many bytes, numbers in slices of so many places.
-SLICE_BYTES = 1 << 22
-SLICE_PLACES = 1 << 21
+SLICE_BYTES = 1 << 21
+SLICE_PLACES = 1 << 20
+# Rows of a batch that goes back to Spark.
+BATCH_ROWS = 1 << 17
 # So many different words are counted by a task before it passes them on.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 200_000
 
 BREAK = -1
 _PLAIN = bytes(
@@ -72,7 +74,8 @@ def _slices(batch: pa.RecordBatch) -> Iterator[tuple[str, list[bytes]]]:
     """(lang, words and breaks) of (lang, text) rows, texts of a language together."""
     waiting: dict[str, list[bytes]] = {}
     sizes: Counter = Counter()
-    for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+    for lang, text in zip(batch.column(0), batch.column(1), strict=True):
+        lang, text = lang.as_py(), text.as_py()
         if not text:
             continue
         words = waiting.setdefault(lang, [])
@@ -85,6 +88,11 @@ def _slices(batch: pa.RecordBatch) -> Iterator[tuple[str, list[bytes]]]:
     yield from waiting.items()
 
 
+def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for begin in range(0, batch.num_rows, BATCH_ROWS):
+        yield batch.slice(begin, BATCH_ROWS)
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """(lang, word, n) of (lang, text) rows; a null word has the number of all words."""
 
@@ -103,10 +111,10 @@ def word_counts(docs: DataFrame) -> DataFrame:
             own.pop(b"\n", None)
             words = [None, *own]
             n = [sum(own.values()), *own.values()]
-            yield pa.RecordBatch.from_arrays(
+            yield from _pieces(pa.RecordBatch.from_arrays(
                 [pa.array([lang] * len(words), pa.string()), pa.array(words, pa.string()), pa.array(n, pa.int64())],
                 names=["lang", "word", "n"],
-            )
+            ))
 
     partial = docs.mapInArrow(count, "lang string, word string, n long")
     return partial.groupBy("lang", "word").agg(F.sum("n").alias("n"))
@@ -220,10 +228,11 @@ def _states(numbered: DataFrame, trie, length: int, vocabulary: int, whole: bool
                 accepted &= stem[1 : n + 1] >= 0
             at = np.flatnonzero(accepted)
             key = stem[at].astype(np.int64) * vocabulary + numbers[at + length]
-            state, which = np.unique(key, return_inverse=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(state), pa.array(np.bincount(which, minlength=len(state)).astype(np.int64))], names=["state", "n"]
-            )
+            key.sort()
+            first = np.ones(len(key), bool)
+            first[1:] = key[1:] != key[:-1]
+            n = np.bincount(np.cumsum(first) - 1) if len(key) else np.zeros(0, np.int64)
+            yield from _pieces(pa.RecordBatch.from_arrays([pa.array(key[first]), pa.array(n)], names=["state", "n"]))
 
     return numbered.select("numbers").mapInArrow(count, "state long, n long")
 
