@@ -3,11 +3,17 @@
 A page is cut into tags and text once, and its DOM is built with the usual
 implied end tags.  Parts that are never main text (menus, page headers, footers,
 sidebars, adverts, notices, forms, scripts, styles, comments of readers) are
-marked, by element or by a word of ``class``, ``id`` or ``role``: they count
-towards the density of the page, but are not chosen.  Wrappers are called by such words
-too, so a word does not mark a part that holds an ``article`` or ``main`` or most of the
-text outside links, unless an ``article`` or ``main`` stands outside all parts so called; where
-nothing is found at all, words mark nothing.  For every node,
+marked, by element or by a word of ``class``, ``id`` or ``role``, and not chosen, however
+long they are.  Those marked by element count towards the density of the page.
+
+Wrappers are called by such words too.  Names that only say whether something is there
+(``has-sidebar``, ``comments-open``) mark nothing, and a name with a word for a wrapper
+(``content-sidebar-wrap``) marks nothing if the thing itself lies inside.  If no ``article`` or
+``main`` is left outside the marked parts but one lies inside them, they are looked into where that
+gives the longer text; and if nothing at all is found, first the outermost parts marked by words
+and then all of them are looked into.  What is marked further inside stays out.
+
+For every node,
 
     density = C / T * log_b((C / LC) * (T / LT)),
     b = ln((C / (C - LC)) * LC + (LCb / Cb) * C + e)
@@ -15,7 +21,7 @@ nothing is found at all, words mark nothing.  For every node,
 with C characters, T tags, LC and LT those within links, and b as index for the
 body; zero divisors count as one, and b is at least 2 (pages without links). Text
 that comes out at zero without being all links keeps a trace of density.  The node whose children's densities add up to
-the most is the centre of the article.  The smallest density on the path from
+the most is the centre of the article (a node that adds less than a twentieth to its best part gives way to it).  The smallest density on the path from
 there to the body is the threshold: going down from the body, every branch of at
 least that density gives its own subtree of the largest sum.  A chosen subtree
 inside an ``article`` or ``main`` element stands for that element, and one with a
@@ -24,7 +30,9 @@ in page order, are the text.
 
 White space inside a block becomes one space; blocks are joined by an empty
 line.  ``br`` is white space.  A page without text (or a null one) gives the
-empty text.  Pages without a body count as one.  Each row gives a row.
+empty text.  Pages without a body count as one.  Each row gives a row, repeated ones
+too, and an empty table an empty one.  The work grows with a page's length, whatever its
+markup: a tag that never ends stops at the next ``<``.
 """
 
 from __future__ import annotations
@@ -40,12 +48,18 @@ from pyspark.sql import functions as F
 
 from tabloom.llm.base import load, query
 
+_COMMENT = r"<!--.*?(?:-->|\Z)"
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|<[!?][^>]*>",
+    _COMMENT
+    + r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>"
+    r"|<[!?][^>]*+(?:>|\Z)"
+    r"|(?P<endless></?[a-zA-Z])",
     re.DOTALL,
 )
+# After a tag that does not end: quotes mean nothing, and tags end where others begin.
+_PLAIN_TOKEN = re.compile(
+    _COMMENT + r"|<(/?)([a-zA-Z][^\s/<>]*+)([^<>]*+)>?|<[!?][^<>]*+>?", re.DOTALL
+)
 _ATTRIBUTE = re.compile(
     r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I
 )
@@ -84,109 +98,140 @@ NOISE = frozenset(
     "responses replies".split()
 )
 HEADS = frozenset({"header"})
-NAMED, SURE = 1, 2
+# Words that make a name one of a state, and words that make it one of a wrapper.
+STATES = frozenset("has no with without is not hide show open opened closed enabled disabled active allowed".split())
+WRAPPERS = frozenset("wrap wrapper container content main layout page outer inner grid row body site area".split())
+WRAPS, NAMED, SURE = 1, 2, 3
+MARGIN = 1.05
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "cut", "noise", "link", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "parts", "cut", "noise", "words", "link", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
-    def __init__(self, tag: str, parent: Node | None, noise: int = 0):
-        self.tag, self.parent, self.noise, self.cut = tag, parent, noise, False
+    def __init__(self, tag: str, parent: Node | None, noise: int = 0, words: frozenset[str] = frozenset()):
+        self.tag, self.parent, self.noise, self.words, self.cut = tag, parent, noise, words, 0
         self.parts: list[Node | str] = []
         self.link = tag == "a"
 
 
-def _noise(tag: str, attributes: str, inside_article: bool) -> int:
-    """``SURE`` if an element is never main text, ``NAMED`` if a word says so, else 0."""
+def _noise(tag: str, attributes: str, inside_article: bool) -> tuple[int, frozenset[str]]:
+    """``SURE`` if an element is never main text, ``NAMED`` if a word says so, ``WRAPS`` if a wrapper's name does, else 0.
+
+    Also the words that say so, without a plural s.
+    """
     if tag in CUT or (tag in HEADS and not inside_article):
-        return SURE
-    if not attributes or tag in ("body", "html", "article", "main"):
-        return 0
-    named = 0
+        return SURE, frozenset()
+    if not attributes or tag in ("body", "html", "main"):
+        return 0, frozenset()
+    named, said = 0, set()
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), (m[2] or "").strip("\"'")
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return SURE
+            return SURE, frozenset()
         if name == "style":
             if re.search(r"display\s*:\s*none", value, re.I):
-                return SURE
+                return SURE, frozenset()
             continue
-        words = {w.lower() for w in _WORDS.findall(value)}
-        if words & NOISE or (words & HEADS and not inside_article):
-            named = NAMED
-    return named
+        for one in value.split():
+            words = {w.lower() for w in _WORDS.findall(one)}
+            found = words & NOISE or (words & HEADS if not inside_article else set())
+            if not found or words & STATES:
+                continue
+            said |= {w.rstrip("s") for w in found}
+            named = NAMED if named == NAMED or not words & WRAPPERS else WRAPS
+    return named, frozenset(said)
+
+
+class _Open:
+    """The elements that are open, with the places of each tag among them."""
+
+    def __init__(self, root: Node):
+        self.nodes, self.at = [root], {root.tag: [0]}
+        self.blocks = [0]
+
+    def push(self, node: Node) -> None:
+        self.at.setdefault(node.tag, []).append(len(self.nodes))
+        if node.tag in BLOCK:
+            self.blocks.append(len(self.nodes))
+        self.nodes.append(node)
+
+    def last(self, tags) -> int:
+        """The place of the innermost element with one of some tags; 0 for none (the root has place 0)."""
+        return max((self.at[t][-1] for t in tags if self.at.get(t)), default=0)
+
+    def close(self, place: int) -> None:
+        """Close the element at a place, and all inside."""
+        while len(self.nodes) > place > 0:
+            node = self.nodes.pop()
+            self.at[node.tag].pop()
+            if node.tag in BLOCK:
+                self.blocks.pop()
+
+
+def _tokens(page: str) -> Iterator[re.Match]:
+    for m in _TOKEN.finditer(page):
+        if m["endless"]:
+            yield from _PLAIN_TOKEN.finditer(page, m.start())
+            return
+        yield m
 
 
 def parse(page: str) -> Node:
     """The DOM of a page: nodes, with text as strings between them."""
     root = Node("html", None)
-    open_, at, articles = root, 0, 0
+    open_, at = _Open(root), 0
     size = len(page)
-    for m in _TOKEN.finditer(page):
+    for m in _tokens(page):
         start = m.start()
         if start < at:
             continue
         if start > at:
-            open_.parts.append(page[at:start])
+            open_.nodes[-1].parts.append(page[at:start])
         at = m.end()
         tag = m[2]
         if tag is None:
             continue
         tag = tag.lower()
         if m[1]:
-            node = open_
-            while node is not None and node.tag != tag:
-                node = node.parent
-            if node is not None and node is not root:
-                open_ = node.parent
-            if tag in ("article", "main") and articles:
-                articles -= 1
+            open_.close(open_.last([tag]))
             continue
         if tag == "html":
             continue
-        if tag in BLOCK:
+        if tag in BLOCK and open_.at.get("p") and open_.at["p"][-1] == open_.blocks[-1]:
             # An open paragraph ends where a block begins.
-            node = open_
-            while node is not root and node.tag not in BLOCK:
-                node = node.parent
-            if node.tag == "p":
-                open_ = node.parent
+            open_.close(open_.blocks[-1])
         if tag in CLOSES:
             closed, scope = CLOSES[tag]
-            node = open_
-            while node is not root and node.tag not in scope:
-                if node.tag in closed:
-                    open_ = node.parent
-                    if node.tag in ("td", "th", "tr") and tag == "tr" and node.tag != "tr":
-                        node = node.parent
-                        continue
-                    break
-                node = node.parent
-        node = Node(tag, open_, _noise(tag, m[3], articles > 0))
-        node.link = node.link or open_.link
-        open_.parts.append(node)
+            inside = open_.last(scope)
+            if tag == "tr":  # with the row's cells
+                places = [p for t in closed for p in open_.at.get(t, ()) if p > inside]
+                open_.close(min(places, default=0))
+            elif (place := open_.last(closed)) > inside:
+                open_.close(place)
+        up = open_.nodes[-1]
+        node = Node(tag, up, *_noise(tag, m[3], open_.last(("article", "main")) > 0))
+        node.link = node.link or up.link
+        up.parts.append(node)
         if tag in VOID or m[3].endswith("/") and tag not in BLOCK:
             continue
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
             at = end.end() if end else size
             continue
-        if tag in ("article", "main"):
-            articles += 1
-        open_ = node
+        open_.push(node)
     if at < size:
-        open_.parts.append(page[at:])
+        open_.nodes[-1].parts.append(page[at:])
     return root
 
 
 def _order(root: Node) -> list[Node]:
-    """All nodes but scripts and the like, parents first."""
+    """All nodes but scripts and the like and parts marked by words, parents first."""
     found, todo = [], [root]
     while todo:
         node = todo.pop()
         found.append(node)
-        todo += [p for p in node.parts if isinstance(p, Node) and p.tag not in RAW]
+        todo += [p for p in node.parts if isinstance(p, Node) and p.tag not in RAW and p.cut != NAMED]
     return found
 
 
@@ -242,30 +287,33 @@ def _weigh(order: list[Node], body: Node) -> None:
             node.parent.total += node.density
 
 
-def _mark(body: Node, order: list[Node], by_words: bool) -> None:
-    """Mark the parts that are never main text; ``order`` has parents first."""
-    holds: dict[int, bool] = {}
-    own: dict[int, int] = {}
-    sure, named = {id(body): False}, {id(body): False}
-    for node in order[1:]:
-        sure[id(node)] = sure[id(node.parent)] or node.noise == SURE
-        named[id(node)] = named[id(node.parent)] or node.noise == NAMED
+def _settle_wrappers(order: list[Node]) -> None:
+    """A wrapper's name marks it unless the thing it names lies inside; ``order`` has parents first."""
+    inside: dict[int, set[str]] = {}
     for node in reversed(order):
-        here = not sure[id(node)]
-        holds[id(node)] = here and (holds.get(id(node), False) or node.tag in ("article", "main"))
-        own[id(node)] = own.get(id(node), 0) + (
-            sum(len("".join(p.split())) for p in node.parts if isinstance(p, str)) if here and not node.link else 0
-        )
-        if node is not body:
-            holds[id(node.parent)] = holds.get(id(node.parent), False) or holds[id(node)]
-            own[id(node.parent)] = own.get(id(node.parent), 0) + own[id(node)]
-    outside = any(n.tag in ("article", "main") and not sure[id(n)] and not named[id(n)] for n in order)
-    body.cut = False
+        own = inside.pop(id(node), set())
+        if node.noise == WRAPS and not node.words <= own:
+            node.noise = NAMED
+        if node.noise == NAMED:
+            own = own | node.words
+        if node.parent is not None and own:
+            inside.setdefault(id(node.parent), set()).update(own)
+
+
+def _mark(order: list[Node], spared: set[int]) -> None:
+    """Mark the parts that are never main text, but for those ``spared``; ``order`` has parents first."""
+    order[0].cut = 0
     for node in order[1:]:
-        cut = node.noise == SURE
-        if by_words and node.noise == NAMED:
-            cut = outside or not (holds[id(node)] or 2 * own[id(node)] > own[id(body)])
-        node.cut = node.parent.cut or cut
+        named = node.noise == NAMED and id(node) not in spared
+        node.cut = node.parent.cut or (SURE if node.noise == SURE else NAMED if named else 0)
+
+
+def _plain_articles(order: list[Node]) -> list[Node]:
+    """``article`` and ``main`` elements that are not marked themselves or by an element around them."""
+    sure: dict[int, bool] = {id(order[0]): False}
+    for node in order[1:]:
+        sure[id(node)] = sure[id(node.parent)] or node.noise == SURE
+    return [n for n in order[1:] if n.tag in ("article", "main") and n.noise == 0 and not sure[id(n)]]
 
 
 def _body(root: Node) -> Node:
@@ -279,47 +327,64 @@ def _centres(body: Node) -> set[int]:
     _weigh(order, body)
     best: dict[int, Node] = {}
     for node in reversed(order):
-        own = max(
-            [node, *(best[id(p)] for p in _children(node))], key=lambda n: n.total
-        )
-        best[id(node)] = own
+        part = max((best[id(p)] for p in _children(node)), key=lambda n: n.total, default=node)
+        # What adds next to nothing to its densest part does not take its place.
+        best[id(node)] = part if node.total < MARGIN * part.total else node
     top = best[id(body)]
     threshold, node = top.density, top
     while node is not body:
         node = node.parent
         threshold = min(threshold, node.density)
-    chosen, todo = set(), [body]
+    article: dict[int, Node | None] = {id(body): None}  # the nearest one around
+    for node in order[1:]:
+        article[id(node)] = node if node.tag in ("article", "main") else article[id(node.parent)]
+    chosen, taken, todo = set(), set(), [body]
     while todo:
         node = todo.pop()
         if node.density >= threshold and node.density > 0:
             found = best[id(node)]
-            chosen.add(id(_container(found, body)))
+            todo += _children(node)
+            if id(found) in taken:
+                continue
+            taken.add(id(found))
+            chosen.add(id(article[id(found)] or found))
             if found.parent is not None and found is not body:
                 around = _children(found.parent)
                 before = around[: next(i for i, n in enumerate(around) if n is found)]
                 chosen.update(id(n) for n in before if n.tag in HEADINGS)
-            todo += _children(node)
     return chosen
 
 
-def _container(node: Node, body: Node) -> Node:
-    """The nearest ``article`` or ``main`` around a node, or else the node."""
-    up = node
-    while up is not body and up.tag not in ("article", "main"):
-        up = up.parent
-    return up if up.tag in ("article", "main") else node
-
-
 def main_text(page: str | None) -> str:
     if not page:
         return ""
     body = _body(parse(page))
     order = _all_nodes(body)
-    _mark(body, order, True)
+    _settle_wrappers(order)
+    named = [n for n in order[1:] if n.noise == NAMED]
+    _mark(order, set())
     text = _text(body)
-    if not text and any(n.noise == NAMED for n in order):
-        _mark(body, order, False)
-        text = _text(body)
+    if not named:
+        return text
+    articles = _plain_articles(order)
+    if articles and all(n.cut for n in articles):
+        spared = set()
+        for node in articles:
+            while node is not body and id(node) not in spared:
+                spared.add(id(node))
+                node = node.parent
+        _mark(order, spared)
+        inside = _text(body)
+        text = max(text, inside, key=len)
+    if not text:
+        within = {id(body): False}  # whether a node lies inside a named one
+        for node in order[1:]:
+            within[id(node)] = within[id(node.parent)] or node.parent.noise == NAMED
+        outermost = {id(n) for n in named if not within[id(n)]}
+        for spared in (outermost, {id(n) for n in named}):
+            _mark(order, spared)
+            if text := _text(body):
+                break
     return text
 
 
