@@ -52,12 +52,12 @@ TOP = 2000
 TRIE_PHRASES = 400_000
 VOCABULARY = 1_000_000
 # Texts are worked off in slices of so many bytes, numbers in slices of so many places.
-SLICE_BYTES = 1 << 21
-SLICE_PLACES = 1 << 20
+SLICE_BYTES = 1 << 19
+SLICE_PLACES = 1 << 19
 # Rows of a batch that goes back to Spark.
-BATCH_ROWS = 1 << 17
+BATCH_ROWS = 1 << 15
 # So many different words are counted by a task before it passes them on.
-KEPT_WORDS = 200_000
+KEPT_WORDS = 100_000
 
 BREAK = -1
 _PLAIN = bytes(
