@@ -1,11 +1,19 @@
 """Benchmark passages in documents, also with other numbers, names or units.
 
-Texts become sequences of canonical tokens: words in lower case, numbers as
+Texts become sequences of tokens: words and numbers, and single characters of
+scripts without spaces.  In canonical form they are words in lower case, numbers as
 ``#n``, capitalised words that do not begin a sentence as ``#p`` (names), and
 unit words right after a number as ``#u``.  Windows of ``WINDOW`` canonical
 tokens with at least ``LITERALS`` plain words are hashed, and those of documents
-are joined with those of the benchmark.  Matches of one item on one diagonal
-(place in the document less place in the item) are one occurrence; its coverage
+are joined with those of the benchmark.  Two more forms find what this one cannot:
+
+* plain words in lower case, for windows with fewer plain words and for windows with names, which a
+  copy without capitals would break; items shorter than a window are one window as a whole;
+* ``#p`` for capitalised words that begin a sentence as well, for items in which such a word occurs
+  again and never without its capital.
+
+Documents are taken in a form only if the benchmark has windows that need it.  Matches of one item
+on one diagonal (place in the document less place in the item) are one occurrence; its coverage
 is the number of item tokens inside matched windows.
 
 An occurrence counts if it covers ``LONG_RUN`` tokens, or half of the item, and
@@ -18,8 +26,8 @@ case of letters, counts whatever the slots hold elsewhere.
 All steps are column expressions; the item side of the join is broadcast by the
 engine if its size allows and shuffled otherwise.
 
-Null and empty texts hold nothing.  Items with fewer than ``WINDOW`` tokens are
-too short to be told from chance and never match.  Repeated rows and items are
+Null and empty texts hold nothing.  Items with fewer than ``SHORTEST`` tokens cannot be told from
+chance and never match.  Texts of any length are taken whole.  Repeated rows and items are
 each judged by themselves.  An empty benchmark leaves every document clean.
 """
 
@@ -32,7 +40,8 @@ from tabloom.llm.base import free_name, load, query, with_row_id
 from tabloom.session import stage
 
 WINDOW = 8
-LITERALS = 5
+LITERALS = 4
+SHORTEST = 4
 LONG_RUN = 13
 
 # Unit words.
@@ -47,11 +56,15 @@ _SENTENCE = "[.!?]+[ \n\t\r]+|\n+"
 _TOKEN = f"{MARK}?[\\p{{L}}\\p{{N}}]+([.,][0-9]+)*"
 _NUMBER = "^[0-9]+([.,][0-9]+)*$"
 _NAME = "^\\p{Lu}"
+# Scripts written without spaces; each of their characters is a token.
+_SCRIPTS = ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar")
 
 
 def raw_tokens(text: Column) -> Column:
     """Words of a text; those that begin a sentence keep a mark in front."""
-    marked = F.regexp_replace(F.concat(F.lit("\n"), text), _SENTENCE, f" {MARK}")
+    single = "([" + "".join(f"\\p{{Is{s}}}" for s in _SCRIPTS) + "])"
+    apart = F.when(F.octet_length(text) == F.char_length(text), text).otherwise(F.regexp_replace(text, single, " $1 "))
+    marked = F.regexp_replace(F.concat(F.lit("\n"), apart), _SENTENCE, f" {MARK}")
     return F.coalesce(F.regexp_extract_all(marked, F.lit(_TOKEN), F.lit(0)), F.array().cast("array<string>"))
 
 
@@ -77,35 +90,91 @@ def canonical(tokens: Column) -> Column:
     return F.transform(tokens, one)
 
 
-def _spread(df: DataFrame, key: str, text: str, place: str, window) -> DataFrame:
-    """(key, place, w) for every window; ``window`` makes w of the window's token hashes.
+def _word(x: Column) -> Column:
+    return F.lower(F.ltrim(x, F.lit(MARK)))
 
-    The outer generator keeps the optimizer from testing the array before it is
-    taken apart, which would compute everything below once more.
-    """
-    raw = df.select(key, raw_tokens(F.col(text)).alias("raw"))
-    hashes = raw.select(key, F.transform(canonical(F.col("raw")), lambda x: F.xxhash64(x)).alias("h"))
-    n = F.size("h")
-    starts = F.when(n >= WINDOW, F.sequence(F.lit(0), F.greatest(n - WINDOW, F.lit(0))))
 
+def _forms(raw: Column) -> dict[str, Column]:
+    """The tokens in their three forms."""
+    canon = canonical(raw)
+
+    def named(c, i):
+        first = F.get(raw, i)
+        begins = (F.substring(first, 1, 1) == MARK) & F.ltrim(first, F.lit(MARK)).rlike(_NAME) & (c.substr(1, 1) != "#")
+        return F.when(begins, F.lit("#p")).otherwise(c)
+
+    return {"canon": canon, "plain": F.transform(raw, _word), "named": F.transform(canon, named)}
+
+
+def _window(h: str, i: Column, width: int) -> Column:
     # Elements are taken one by one: a slice would copy the whole array for each window.
-    def at(i):
-        return window([F.get(F.col("h"), i + j) for j in range(WINDOW)])
+    return F.xxhash64(*[F.get(F.col(h), i + j) for j in range(width)])
+
+
+def _plain_window(width: int):
+    return lambda i: _window("plain", i, width)
 
-    return hashes.select(key, F.posexplode_outer(F.transform(starts, at)).alias(place, "w"))
+
+def _starts(h: str, width: int) -> Column:
+    n = F.size(h)
+    return F.when(n >= width, F.sequence(F.lit(0), F.greatest(n - width, F.lit(0))))
+
+
+def _spread(df: DataFrame, key: str, text: str, forms: list[str], widths: list[int]) -> DataFrame:
+    """(key, p, hash) for every window of ``WINDOW`` tokens in some forms, and of plain words in more widths.
+
+    The outer generators keep the optimizer from testing the arrays before they are
+    taken apart, which would compute everything below once more.
+    """
+    raw = df.select(key, raw_tokens(F.col(text)).alias("raw"))
+    hashes = raw.select(key, *[F.transform(_forms(F.col("raw"))[f], lambda x: F.xxhash64(x)).alias(f) for f in {*forms, "plain"} if f in forms or widths])
+    windows = []
+    if forms:
+        def at(i):
+            return F.array_distinct(F.array(*[_window(f, i, WINDOW) for f in forms])) if len(forms) > 1 else _window(forms[0], i, WINDOW)
+
+        windows.append(F.transform(_starts(forms[0], WINDOW), at))
+    for width in widths:
+        each = F.transform(_starts("plain", width), _plain_window(width))
+        windows.append(F.transform(each, lambda x: F.array(x)) if len(forms) > 1 else each)
+    found = hashes.select(key, F.posexplode_outer(windows[0]).alias("p", "hash"))
+    for more in windows[1:]:
+        found = found.unionByName(hashes.select(key, F.posexplode_outer(more).alias("p", "hash")))
+    return found.select(key, "p", F.explode_outer("hash").alias("hash")) if len(forms) > 1 else found
 
 
 def benchmark_windows(items: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
-    """(item, q, hash, length) for the windows of the benchmark with enough plain words."""
+    """(item, q, hash, length, form, width) for the windows of the benchmark that documents are asked for."""
     narrow = items.select(F.col(item).alias("item"), F.col(text).alias("text")).where("text is not null")
-    spread = _spread(narrow, "item", "text", "q", lambda h: F.array(*h))
-    slots = F.array(*[F.xxhash64(F.lit(s)) for s in ("#n", "#p", "#u")])
-    plain = F.size(F.filter("w", lambda x: ~F.array_contains(slots, x)))
-    length = narrow.select("item", F.size(raw_tokens(F.col("text"))).alias("length")).groupBy("item").agg(
-        F.max("length").alias("length")
-    )
-    kept = spread.where(plain >= LITERALS).select("item", "q", F.xxhash64(*[F.col("w")[j] for j in range(WINDOW)]).alias("hash")).distinct()
-    return kept.join(length, "item")
+    raw = narrow.select("item", raw_tokens(F.col("text")).alias("raw"))
+    tokens = raw.select("item", "raw", *[c.alias(f) for f, c in _forms(F.col("raw")).items()])
+    slots = F.array(*[F.lit(s) for s in ("#n", "#p", "#u")])
+    # Words that begin a sentence with a capital, occur twice and never in lower case.
+    words = F.transform("raw", lambda x: F.ltrim(x, F.lit(MARK)))
+    initial = F.transform(F.filter("raw", lambda x: x.startswith(MARK) & F.ltrim(x, F.lit(MARK)).rlike(_NAME)), lambda x: F.ltrim(x, F.lit(MARK)))
+    names = F.filter(initial, lambda x: (F.size(F.filter(words, lambda w: w == x)) > 1) & ~F.array_contains(words, F.lower(x)))
+    length = F.size("raw")
+    tokens = tokens.withColumns({"length": length, "has_names": F.size(names) > 0})
+    starts = F.when(length >= WINDOW, F.sequence(F.lit(0), F.greatest(length - WINDOW, F.lit(0))))
+    spread = tokens.select("*", F.explode(starts).alias("q"))
+    own = {f: F.slice(f, F.col("q") + 1, WINDOW) for f in ("canon", "plain", "named")}
+    count = {f: F.size(F.filter(own[f], lambda x: ~F.array_contains(slots, x))) for f in ("canon", "named")}
+    poor = (count["canon"] < LITERALS) | F.array_contains(own["canon"], "#p")
+    asked = {"canon": count["canon"] >= LITERALS, "plain": poor, "named": (count["named"] >= LITERALS) & F.col("has_names")}
+    hashed = F.array(*[
+        F.when(asked[f], F.struct(F.lit(f).alias("form"), F.lit(WINDOW).alias("width"),
+                                  F.xxhash64(*[F.xxhash64(own[f][j]) for j in range(WINDOW)]).alias("hash")))
+        for f in ("canon", "plain", "named")
+    ])
+    windows = spread.select("item", "q", "length", F.explode(F.filter(hashed, lambda x: x.isNotNull())).alias("w")).select("item", "q", "length", "w.*")
+    for width in range(SHORTEST, WINDOW):
+        short = tokens.where(F.col("length") == width).select(
+            "item", F.lit(0).alias("q"), "length", F.lit("whole").alias("form"), F.lit(width).alias("width"),
+            F.xxhash64(*[F.xxhash64(F.col("plain")[j]) for j in range(width)]).alias("hash"),
+        )
+        windows = windows.unionByName(short)
+    longest = windows.groupBy("item").agg(F.max("length").alias("length"))
+    return windows.drop("length").distinct().join(longest, "item")
 
 
 def _literal_run() -> Column:
@@ -131,23 +200,24 @@ def occurrences(
     """
     bench = stage(benchmark_windows(items, item, item_text), "benchmark")
     docs = rows.select(F.col(rid).alias("rid"), F.col(text).alias("text")).where("text is not null")
-    spread = _spread(docs, "rid", "text", "p", lambda h: F.xxhash64(*h))
+    needed = {(r["form"], r["width"]) for r in bench.select("form", "width").distinct().collect()}
+    forms = [f for f in ("canon", "plain", "named") if (f, WINDOW) in needed] or ["canon"]
+    spread = _spread(docs, "rid", "text", forms, sorted(w for f, w in needed if f == "whole"))
     met = (
-        spread.withColumnRenamed("w", "hash")
-        .join(bench, "hash")
+        spread.join(bench.select("item", "q", "hash", "width", "length").distinct(), "hash")
         .groupBy("rid", "item", (F.col("p") - F.col("q")).alias("diagonal"), "length")
         # At most one place for each token of the item.
-        .agg(F.sort_array(F.collect_set("q")).alias("qs"))
+        .agg(F.sort_array(F.collect_set(F.struct("q", "width"))).alias("qs"))
     )
     covered = F.array_distinct(
-        F.flatten(F.transform("qs", lambda q: F.sequence(q, q + (WINDOW - 1))))
+        F.flatten(F.transform("qs", lambda m: F.sequence(m["q"], m["q"] + m["width"] - 1)))
     )
     long_enough = (F.size("at") >= LONG_RUN) | (2 * F.size("at") >= F.col("length"))
     found = stage(met.withColumn("at", covered).where(long_enough).drop("qs"), "occurrences")
     # Slots need the words themselves, of the texts with occurrences only.
     asked = items.select(F.col(item).alias("item"), F.col(item_text).alias("item_text")).where("item_text is not null")
     asked = asked.select("item", raw_tokens(F.col("item_text")).alias("raw"))
-    asked = asked.select("item", "raw", canonical(F.col("raw")).alias("c")).groupBy("item").agg(
+    asked = asked.select("item", "raw", _forms(F.col("raw"))["named"].alias("c")).groupBy("item").agg(
         F.min_by("raw", F.array_join("raw", " ")).alias("raw"), F.min_by("c", F.array_join("raw", " ")).alias("c")
     )
     slotted = found.join(asked, "item").withColumn(
@@ -200,55 +270,89 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, text: str = "text") ->
     return rows.join(found, rid, "left_anti").drop(rid)
 
 
-_MARKED = "regexp_replace(chr(10) || text, '[.!?]+[ \\n\\t\\r]+|\\n+', ' ¶', 'g')"
+_APART = "regexp_replace(text, '([" + "".join(f"\\p{{{s}}}" for s in _SCRIPTS) + "])', ' \\1 ', 'g')"
+_MARKED = f"regexp_replace(chr(10) || {_APART}, '[.!?]+[ \\n\\t\\r]+|\\n+', ' ¶', 'g')"
 _RAW = f"regexp_extract_all({_MARKED}, '¶?[\\p{{L}}\\p{{N}}]+(?:[.,][0-9]+)*')"
 
 
 def _tokens_sql(table: str, key: str) -> str:
     units = ", ".join(f"'{u}'" for u in UNITS)
     return f"""
-  SELECT {key}, place, word,
+  SELECT *, CASE WHEN c NOT LIKE '#%' AND x LIKE '¶%' AND regexp_matches(bare, '^\\p{{Lu}}') THEN '#p' ELSE c END AS v
+  FROM (
+  SELECT {key}, place, x, bare, word,
          CASE WHEN regexp_matches(word, '^[0-9]+([.,][0-9]+)*$') THEN '#n'
               WHEN word IN ({units}) AND regexp_matches(lag(word) OVER w, '^[0-9]+([.,][0-9]+)*$') THEN '#u'
               WHEN regexp_matches(x, '^\\p{{Lu}}') THEN '#p'
               ELSE word END AS c
-  FROM (SELECT {key}, x, place, lower(replace(x, '¶', '')) AS word
+  FROM (SELECT {key}, x, place, replace(x, '¶', '') AS bare, lower(replace(x, '¶', '')) AS word
         FROM (SELECT {key}, unnest({_RAW}) AS x, generate_subscripts({_RAW}, 1) - 1 AS place
               FROM {table} WHERE text IS NOT NULL))
-  WINDOW w AS (PARTITION BY {key} ORDER BY place)"""
+  WINDOW w AS (PARTITION BY {key} ORDER BY place))"""
 
 
 def _windows_sql(tokens: str, key: str) -> str:
-    ahead = " || ' ' || ".join(
-        "c" if j == 0 else f"lead(c, {j}) OVER w" for j in range(WINDOW)
+    """(key, place, form, w, slots): all windows in all forms."""
+
+    def ahead(c: str) -> list[str]:
+        return [c if j == 0 else f"lead({c}, {j}) OVER w" for j in range(WINDOW)]
+
+    forms = " UNION ALL ".join(
+        f"""SELECT {key}, place, '{form}' AS form, {" || ' ' || ".join(ahead(c))} AS w,
+                   {" + ".join(f"CAST({x} IN ('#n', '#p', '#u') AS INTEGER)" for x in ahead(c))} AS slots,
+                   {" + ".join(f"CAST({x} = '#p' AS INTEGER)" for x in ahead('c'))} AS names,
+                   {" + ".join(f"CAST({x} IN ('#n', '#p', '#u') AS INTEGER)" for x in ahead('c'))} AS canon_slots
+            FROM {tokens} WINDOW w AS (PARTITION BY {key} ORDER BY place)"""
+        for form, c in (("canon", "c"), ("plain", "word"), ("named", "v"))
     )
-    plain = " + ".join(
-        f"CAST({'c' if j == 0 else f'lead(c, {j}) OVER w'} NOT IN ('#n', '#p', '#u') AS INTEGER)" for j in range(WINDOW)
+    return f"SELECT * FROM ({forms}) WHERE w IS NOT NULL"
+
+
+def _short_sql() -> str:
+    return " UNION ALL ".join(
+        f"""SELECT doc_id, place, {" || ' ' || ".join("word" if j == 0 else f"lead(word, {j}) OVER w" for j in range(n))} AS w
+            FROM dt WINDOW w AS (PARTITION BY doc_id ORDER BY place)"""
+        for n in range(SHORTEST, WINDOW)
     )
-    return f"""SELECT * FROM (SELECT {key}, place, {ahead} AS w, {plain} AS plain FROM {tokens}
-      WINDOW w AS (PARTITION BY {key} ORDER BY place)) WHERE w IS NOT NULL AND plain >= {LITERALS}"""
 
 
 OP7_SQL = f"""
 WITH dt AS ({_tokens_sql("documents", "doc_id")}),
 bt AS ({_tokens_sql("benchmark", "item_id")}),
-dw AS ({_windows_sql("dt", "doc_id")}),
-bw AS ({_windows_sql("bt", "item_id")}),
 ln AS (SELECT item_id, count(*) AS length FROM bt GROUP BY 1),
-m AS (SELECT doc_id, item_id, dw.place - bw.place AS diagonal, bw.place AS q FROM dw JOIN bw USING (w)),
-v AS (SELECT DISTINCT doc_id, item_id, diagonal, unnest(range(q, q + {WINDOW})) AS q FROM m),
+nm AS (SELECT DISTINCT i.item_id FROM bt i
+       WHERE i.x LIKE '¶%' AND regexp_matches(i.bare, '^\\p{{Lu}}')
+         AND (SELECT count(*) FROM bt o WHERE o.item_id = i.item_id AND o.bare = i.bare) > 1
+         AND NOT EXISTS (SELECT 1 FROM bt o WHERE o.item_id = i.item_id AND o.bare = lower(i.bare))),
+bw AS (SELECT item_id, place, w, {WINDOW} AS width, form FROM ({_windows_sql("bt", "item_id")})
+       WHERE (form = 'canon' AND slots <= {WINDOW - LITERALS})
+          OR (form = 'plain' AND (canon_slots > {WINDOW - LITERALS} OR names > 0))
+          OR (form = 'named' AND slots <= {WINDOW - LITERALS} AND item_id IN (SELECT item_id FROM nm))
+       UNION
+       SELECT item_id, 0, string_agg(word, ' ' ORDER BY place), count(*), 'whole' FROM bt GROUP BY item_id
+       HAVING count(*) BETWEEN {SHORTEST} AND {WINDOW - 1}),
+dw AS (SELECT doc_id, place, w FROM ({_windows_sql("dt", "doc_id")}) WHERE form IN (SELECT form FROM bw)
+       UNION SELECT doc_id, place, w FROM ({_short_sql()}) WHERE w IS NOT NULL),
+m AS (SELECT doc_id, item_id, dw.place - bw.place AS diagonal, bw.place AS q, width FROM dw JOIN bw USING (w)),
+v AS (SELECT DISTINCT doc_id, item_id, diagonal, unnest(range(q, q + width)) AS q FROM m),
 o AS (SELECT doc_id, item_id, diagonal, count(*) AS covered, max(length) AS length
       FROM v JOIN ln USING (item_id) GROUP BY 1, 2, 3),
 f AS (SELECT * FROM o WHERE covered >= {LONG_RUN} OR 2 * covered >= length),
 s AS (SELECT v.doc_id, v.item_id, v.diagonal, bt.word AS theirs, dt.word AS ours
       FROM f JOIN v USING (doc_id, item_id, diagonal)
-      JOIN bt ON bt.item_id = v.item_id AND bt.place = v.q AND bt.c IN ('#n', '#p', '#u')
+      JOIN bt ON bt.item_id = v.item_id AND bt.place = v.q AND bt.v IN ('#n', '#p', '#u')
       LEFT JOIN dt ON dt.doc_id = v.doc_id AND dt.place = v.q + v.diagonal),
 x AS (SELECT doc_id, item_id, diagonal FROM s GROUP BY ALL
       HAVING count(DISTINCT (theirs, ours)) > count(DISTINCT theirs)),
+equal AS (SELECT x.doc_id, x.item_id, x.diagonal, bt.place - row_number() OVER (PARTITION BY x.doc_id, x.item_id, x.diagonal ORDER BY bt.place) AS run
+          FROM x JOIN bt USING (item_id) JOIN dt ON dt.doc_id = x.doc_id AND dt.place = bt.place + x.diagonal AND dt.word = bt.word),
+literal AS (SELECT doc_id, item_id, diagonal, max(n) AS longest
+            FROM (SELECT doc_id, item_id, diagonal, run, count(*) AS n FROM equal GROUP BY ALL) GROUP BY 1, 2, 3),
+out AS (SELECT x.* FROM x LEFT JOIN literal USING (doc_id, item_id, diagonal) JOIN ln USING (item_id)
+        WHERE coalesce(longest, 0) < least({LONG_RUN}, length)),
 g AS (SELECT doc_id, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS items,
              count(*) AS occurrences, max(covered) AS covered
-      FROM f ANTI JOIN x USING (doc_id, item_id, diagonal) GROUP BY 1)
+      FROM f ANTI JOIN out USING (doc_id, item_id, diagonal) GROUP BY 1)
 SELECT doc_id, items IS NOT NULL AS contaminated, coalesce(items, '') AS items,
        CAST(coalesce(occurrences, 0) AS BIGINT) AS occurrences,
        CAST(coalesce(covered, 0) AS INTEGER) AS covered
