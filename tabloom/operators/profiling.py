@@ -8,11 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabloom.operators.ordering import (
-    BROADCAST_ROWS,
-    stage_in_order,
-    values_at_ranks,
-)
+from tabloom.operators.ordering import BROADCAST_ROWS
+from tabloom.operators.selection import keys_at_ranks, value_from_bits, with_ordered_bits
 from tabloom.session import stage
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -81,24 +78,19 @@ def numeric_histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     )
 
 
-def _long_counts(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
-    """(feature, label, value) with its number of rows; combined before the shuffle.
-
-    Unpivoting scans the table once, whatever the number of features.
-    """
+def _long(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
+    """(feature, label, value) of every known value: one scan, whatever the number of features."""
     return (
         df.select(
             F.col(label).alias("label"), *(F.col(c).cast("double").alias(c) for c in features)
         )
         .unpivot(["label"], list(features), "feature", "value")
         .where(F.col("value").isNotNull() & ~F.isnan("value"))
-        .groupBy("feature", "label", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
     )
 
 
-def _quartiles_by_rank(counts: DataFrame) -> DataFrame:
-    """Quartiles between order statistics found by rank, with no group held in one task."""
+def _quartiles_by_rank(long: DataFrame) -> DataFrame:
+    """Quartiles between order statistics, which are selected without moving a row."""
 
     def position(q: float, n_rows: Column) -> Column:
         return F.lit(q) * (n_rows - 1)
@@ -108,7 +100,11 @@ def _quartiles_by_rank(counts: DataFrame) -> DataFrame:
         return [side(p).cast("bigint") for p in at for side in (F.floor, F.ceil)]
 
     groups = ["feature", "label"]
-    ranked = values_at_ranks(counts, "value", "n", groups, neighbours)
+    # No value is null here; saying so keeps a test for nulls, and the bits in it, out of the scan.
+    keyed = with_ordered_bits(long, "value", "bits").withColumn("bits", F.coalesce("bits", F.lit(0)))
+    found = keys_at_ranks(keyed, "bits", groups, neighbours)
+    at_rank = F.map_from_entries(F.collect_list(F.struct("rank", value_from_bits(F.col("key")))))
+    ranked = found.groupBy(*groups, "n_rows").agg(at_rank.alias("at"))
     points = []
     for q in QUARTILES:
         at = position(q, F.col("n_rows"))
@@ -134,11 +130,11 @@ def boxplot_stats(df: DataFrame, features: Sequence[str], label: str) -> DataFra
 
     Quartiles interpolate between order statistics; whiskers are the extreme
     values within 1.5 interquartile ranges of the box; the rest are outliers.
-    Distinct values are counted once and staged, and quartiles are found by rank
-    among them, by one formula at every size.
+    Quartiles are selected by histograms over the bits of the values, by one formula
+    at every size; no row of the table is shuffled.
     """
-    counts = stage_in_order(_long_counts(df, features, label), ["value"], ["feature", "label"])
-    boxed = _join_groups(counts, _quartiles_by_rank(counts))
+    long = _long(df, features, label)
+    boxed = _join_groups(long, _quartiles_by_rank(long))
     q1, median, q3 = (F.col("q")[i] for i in range(3))
     reach = F.lit(1.5) * (q3 - q1)
     inside = F.col("value").between(q1 - reach, q3 + reach)
@@ -149,7 +145,7 @@ def boxplot_stats(df: DataFrame, features: Sequence[str], label: str) -> DataFra
         F.max(q3).alias("q3"),
         F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
         F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
-        F.sum(F.when(inside, 0).otherwise(F.col("n"))).alias("n_outliers"),
+        F.count_if(~inside).alias("n_outliers"),
     )
 
 
@@ -158,11 +154,7 @@ def boxplot_stats_approx(
 ) -> DataFrame:
     """Quartiles by mergeable summaries in one pass, for a quick look at huge tables."""
     return (
-        df.select(
-            F.col(label).alias("label"), *(F.col(c).cast("double").alias(c) for c in features)
-        )
-        .unpivot(["label"], list(features), "feature", "value")
-        .where(F.col("value").isNotNull() & ~F.isnan("value"))
+        _long(df, features, label)
         .groupBy("feature", "label")
         .agg(
             F.percentile_approx("value", list(QUARTILES), accuracy).alias("q"),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tabloom.functions.hashing import hash01, key_digest
 from tabloom.operators.ordering import dense_row_id
+from tabloom.operators.selection import keys_at_ranks
 
 
 def _cut_points(weights: dict[str, float]) -> list[tuple[str, float]]:
@@ -51,15 +52,52 @@ def exact_split(
     seed: int,
     output: str = "split",
 ) -> DataFrame:
-    """Split with exact sizes: rank rows by key digest, cut at whole-row counts."""
-    digest, rank = "__digest", "__rank"
-    ranked = dense_row_id(
-        df.withColumn(digest, key_digest(seed, *key)), rank, [digest, *key]
+    """Split with exact sizes: rows in the order of their key's digest, cut at whole-row counts.
+
+    The digests at the cuts are selected by their leading bits, so rows are only compared
+    with a few numbers and never shuffled.  Rows that share those bits with a cut (all rows of
+    one key, if keys repeat) are put in order by digest, key and the other columns.
+    """
+    head, digest, rank = "__head", "__digest", "__rank"
+    headed = df.withColumn(digest, key_digest(seed, *key)).withColumn(
+        head, F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
     )
-    # Taken from the ranked rows themselves, so that both come from one evaluation.
-    n = ranked.agg(F.coalesce(F.max(rank) + 1, F.lit(0))).first()[0]
-    cuts = [(name, floor(n * upper + 1e-9)) for name, upper in _cut_points(weights)]
-    return ranked.withColumn(output, _choose(F.col(rank), cuts)).drop(digest, rank)
+    cuts = _cut_points(weights)
+
+    def at_cuts(n: Column) -> list[Column]:
+        # A cut at the very end has no row behind it; its last row is in front then.
+        places = [F.floor(n * F.lit(upper) + F.lit(1e-9)).cast("long") for _, upper in cuts[:-1]]
+        return [F.least(p, n - 1) for p in places]
+
+    found = keys_at_ranks(headed, head, [], at_cuts).orderBy("rank").collect() if len(cuts) > 1 else []
+    if not found:
+        return df.withColumn(output, F.lit(cuts[-1][0]))
+    n = found[0]["n_rows"]
+    places = [(name, floor(n * upper + 1e-9)) for name, upper in cuts]
+    by_rank = {r["rank"]: r for r in found}
+
+    def side(position: Column) -> Column:
+        """The split of rows whose head differs from all heads at the cuts."""
+        chosen = F.lit(cuts[-1][0])
+        for name, place in reversed(places[:-1]):
+            at = by_rank[min(place, n - 1)]
+            before = position <= at["key"] if place >= n else position < at["key"]
+            chosen = F.when(before, F.lit(name)).otherwise(chosen)
+        return chosen
+
+    at_cut = {r["key"]: r for r in found}
+    crowded = [k for k, r in at_cut.items() if r["n"] > 1]
+    single = [k for k, r in at_cut.items() if r["n"] == 1]
+    plain = side(F.col(head))
+    for k in single:
+        plain = F.when(F.col(head) == k, _choose(F.lit(at_cut[k]["before"]), places)).otherwise(plain)
+    alone = headed.where(~F.col(head).isin(crowded)) if crowded else headed
+    out = alone.withColumn(output, plain).drop(digest, head)
+    for k in crowded:
+        shared = dense_row_id(headed.where(F.col(head) == k), rank, [digest, *key])
+        placed = _choose(F.col(rank) + F.lit(at_cut[k]["before"]), places)
+        out = out.unionByName(shared.withColumn(output, placed).drop(digest, head, rank))
+    return out
 
 
 def kfold(df: DataFrame, key: Sequence[str], k: int, seed: int, output: str = "fold") -> DataFrame:
