@@ -22,7 +22,7 @@ sources in the target weights; rows within a block are permuted by another diges
 
 Tokens are counted in words.  Rows without words (null or empty texts) appear
 once for each full pass of their source.  A null source counts as the source
-with the empty name.  A source without any tokens makes one pass.  Rows with
+with the empty name.  A source without any tokens makes one pass, dealt over all blocks.  Rows with
 equal keys are ordered by their number.  An empty table gives no rows.
 """
 
@@ -139,7 +139,9 @@ def mix_sources(
     )
     stream = F.greatest(F.col("whole") * F.col("total") + F.col("rest"), F.lit(1))
     at = F.col("epoch") * F.col("total") + F.col("upto") - F.col("n")
-    block = F.least(F.floor(at / stream * F.lit(blocks)), F.lit(blocks - 1)).cast("long")
+    # A source without any tokens has no places in a stream; its rows are dealt by their digest.
+    dealt = F.pmod(F.conv(F.substring("digest", 1, 8), 16, 10).cast("long"), F.lit(blocks))
+    block = F.when(F.col("total") == 0, dealt).otherwise(F.least(F.floor(at / stream * F.lit(blocks)), F.lit(blocks - 1)).cast("long"))
     order = Window.partitionBy("block").orderBy(key_digest(seed, F.lit("block"), F.col("epoch"), F.col("key")), "rid")
     return placed.withColumn("block", block).select(
         F.col("rid"), F.col("key"), "source", F.col("n").alias("tokens"), F.col("epoch").cast("int"), "block",
@@ -192,12 +194,12 @@ k AS (SELECT greatest(1, CAST(ceil(sum(whole * total + rest) / {BLOCK_TOKENS}.0:
 u AS (SELECT doc_id, source, n, total, whole, rest,
              unnest(range(0, whole + CASE WHEN rest > 0 THEN 1 ELSE 0 END)) AS epoch
       FROM d JOIN q USING (source)),
-r AS (SELECT *, sum(n) OVER (PARTITION BY source, epoch
-               ORDER BY md5(concat_ws('|', '{SEED}', CAST(epoch AS VARCHAR), CAST(doc_id AS VARCHAR))), doc_id
-               ROWS UNBOUNDED PRECEDING) AS upto FROM u),
+r AS (SELECT *, sum(n) OVER (PARTITION BY source, epoch ORDER BY digest, doc_id ROWS UNBOUNDED PRECEDING) AS upto
+      FROM (SELECT *, md5(concat_ws('|', '{SEED}', CAST(epoch AS VARCHAR), CAST(doc_id AS VARCHAR))) AS digest FROM u)),
 w AS (SELECT doc_id, source, n, epoch,
-             least(CAST(floor((epoch * total + upto - n)
-                    / CAST(greatest(whole * total + rest, 1) AS DOUBLE) * blocks) AS BIGINT), blocks - 1) AS block
+             CASE WHEN total = 0 THEN CAST(concat('0x', substr(digest, 1, 8)) AS BIGINT) % blocks
+             ELSE least(CAST(floor((epoch * total + upto - n)
+                    / CAST(greatest(whole * total + rest, 1) AS DOUBLE) * blocks) AS BIGINT), blocks - 1) END AS block
       FROM r, k WHERE epoch < whole OR (n > 0 AND upto <= rest))
 SELECT doc_id, source, n AS tokens, CAST(epoch AS INTEGER) AS epoch, CAST(block AS BIGINT) AS block,
        CAST(row_number() OVER (PARTITION BY block

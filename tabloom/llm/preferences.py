@@ -40,7 +40,9 @@ END = "<|end|>"
 
 
 def _turn_digest():
-    return F.md5(F.concat_ws("|", F.coalesce("role", F.lit("unknown")), F.coalesce("text", F.lit(""))))
+    """Of a turn's role and text, told apart by the length of the role."""
+    role = F.coalesce("role", F.lit("unknown"))
+    return F.md5(F.concat_ws("|", F.char_length(role).cast("string"), role, F.coalesce("text", F.lit(""))))
 
 
 def pairs_of(turns: DataFrame) -> DataFrame:
@@ -122,7 +124,7 @@ def format_preferences(turns: DataFrame, pairs: DataFrame) -> DataFrame:
     )
 
 
-_DIGEST = "md5(concat_ws('|', coalesce(role, 'unknown'), coalesce(text, '')))"
+_DIGEST = "md5(concat_ws('|', length(coalesce(role, 'unknown')), coalesce(role, 'unknown'), coalesce(text, '')))"
 
 OP3_SQL = f"""
 WITH t AS (SELECT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),

@@ -3,8 +3,9 @@
 The network (``gru.py``) reads overlapping windows of words; a text's score is
 that of its most toxic window, and every window of every text is scored.  It is
 trained on a bounded sample: up to ``TOXIC_TEXTS`` and ``CLEAN_TEXTS`` labelled
-rows, first by a hash of their key, of which those up to ``TRAINING_CHARS`` long
-are used.  These bounds hold for the fit alone.
+rows with a text, first by a hash of their key.  Texts up to ``TRAINING_CHARS`` long come before
+longer ones, which fill up where there are too few, as long as a class stays within
+that many characters a text.  These bounds hold for the fit alone.
 
 Null and empty texts get the score of an empty window.  Repeated rows score
 alike.  Keys labelled more than once count as toxic if one label says so.  Without labels of both
@@ -44,17 +45,24 @@ def training_sample(docs: DataFrame, labels: DataFrame, key: str, text: str, lab
         .agg(F.max(label).cast("int").alias("y"))
         .withColumn("h", F.xxhash64(F.col("k").cast("string")))
     )
-    chosen = [
-        known.where(F.col("y") == y).orderBy("h", "k").limit(n)
-        for y, n in ((1, TOXIC_TEXTS), (0, CLEAN_TEXTS))
-    ]
+    # A key that stands for many rows gives one text, a shortest one.
+    texts = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).where("t IS NOT NULL")
+    sizes = texts.groupBy("k").agg(F.min(F.char_length("t")).alias("chars"))
+    sized = known.join(sizes, "k").withColumn("long", F.col("chars") > TRAINING_CHARS)
+    keys = []
+    for y, n in ((1, TOXIC_TEXTS), (0, CLEAN_TEXTS)):
+        room = n * TRAINING_CHARS
+        for r in sized.where(F.col("y") == y).orderBy("long", "h", "k").limit(n).collect():
+            if r["chars"] <= room:
+                room -= r["chars"]
+                keys.append((r["k"], r["y"], r["h"], r["chars"]))
+    if not keys:
+        return []
+    kind = docs.schema[key].dataType.simpleString()
     # At most TOXIC_TEXTS + CLEAN_TEXTS keys, so they may be broadcast.
-    keys = F.broadcast(chosen[0].unionByName(chosen[1]))
-    texts = docs.where(F.char_length(text) <= TRAINING_CHARS).select(
-        F.col(key).alias("k"), F.col(text).alias("t")
-    )
-    # A key that stands for many rows gives one text.
-    found = texts.join(keys, "k").groupBy("k", "h", "y").agg(F.min("t").alias("t"))
+    chosen = F.broadcast(docs.sparkSession.createDataFrame(keys, f"k {kind}, y int, h long, chars int"))
+    found = texts.join(chosen, "k").where(F.char_length("t") == F.col("chars"))
+    found = found.groupBy("k", "h", "y").agg(F.min("t").alias("t"))
     return [(r["t"], r["y"]) for r in found.orderBy("h", "k").collect()]
 
 
@@ -72,10 +80,9 @@ def train_toxicity(
 def score_toxicity(
     docs: DataFrame, model: gru.Net | float, text: str = "text", out: str = "score"
 ) -> DataFrame:
-    """The input with the toxicity of each whole text added as ``out``."""
+    """The input with the toxicity of each whole text added as ``out`` (with an underscore if it is taken)."""
     names = docs.columns
-    if out.lower() in {c.lower() for c in names}:
-        raise ValueError(f"the input already has a column {out}")
+    out = free_name(names, out)
     at = [c.lower() for c in names].index(text.lower())
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
