@@ -19,15 +19,17 @@ from tabloom.llm.mixing import mixed_documents
 from tabloom.llm.near_dedup import drop_near_duplicates
 from tabloom.llm.sharding import shard_documents
 from tabloom.llm.toxicity import drop_toxic
-from tabloom.session import discard, noting, scratch_path
+from tabloom.session import discard, noting, scratch_path, staging
 
 _intermediate: list[str] = []
 
 
 def _freeing(step: Callable) -> Callable:
-    """A stage that first deletes what the stage before it left in the shared folder.
+    """A stage that first deletes what the stage called before it left in the shared folder.
 
-    By then the earlier result has been written out and is no longer read from there.
+    Callers of ``STAGES`` write each result before they ask for the next one, so
+    nothing reads from there any more.  ``run`` keeps a list of its own for each stage
+    instead, so runs side by side leave each other's data alone.
     """
 
     @wraps(step)
@@ -81,9 +83,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     written = None
     for name, step in STAGES:
         path = scratch_path(spark, name)
-        step(spark, docs, sf_dir).write.parquet(path)
+        with staging(spark):
+            step.__wrapped__(spark, docs, sf_dir).write.parquet(path)
         if written:
             discard(spark, [written])
         docs, written = spark.read.parquet(path), path
-    discard(spark, _intermediate)
     return docs
