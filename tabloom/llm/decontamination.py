@@ -9,8 +9,9 @@ are joined with those of the benchmark.  Two more forms find what this one canno
 
 * plain words in lower case, for windows with fewer plain words and for windows with names, which a
   copy without capitals would break; items shorter than a window are one window as a whole;
-* ``#p`` for capitalised words that begin a sentence as well, for items in which such a word occurs
-  again and never without its capital.
+* ``#p`` for capitalised words that begin a sentence as well, for items in which such words occur
+  again, never without their capital, and so often that no run of tokens between them is long enough
+  to count.
 
 Documents are taken in a form only if the benchmark has windows that need it.  Matches of one item
 on one diagonal (place in the document less place in the item) are one occurrence; its coverage
@@ -154,7 +155,17 @@ def benchmark_windows(items: DataFrame, item: str = "item_id", text: str = "text
     initial = F.transform(F.filter("raw", lambda x: x.startswith(MARK) & F.ltrim(x, F.lit(MARK)).rlike(_NAME)), lambda x: F.ltrim(x, F.lit(MARK)))
     names = F.filter(initial, lambda x: (F.size(F.filter(words, lambda w: w == x)) > 1) & ~F.array_contains(words, F.lower(x)))
     length = F.size("raw")
-    tokens = tokens.withColumns({"length": length, "has_names": F.size(names) > 0})
+    tokens = tokens.withColumns({"length": length, "names": names})
+    none = F.struct(F.lit(0).alias("run"), F.lit(0).alias("best"))
+
+    def step(state, x):
+        named = x.startswith(MARK) & F.array_contains("names", F.ltrim(x, F.lit(MARK)))
+        run = F.when(named, F.lit(0)).otherwise(state["run"] + 1)
+        return F.struct(run.alias("run"), F.greatest(state["best"], run).alias("best"))
+
+    between = F.aggregate("raw", none, step, lambda state: state["best"])
+    enough = F.least(F.lit(LONG_RUN), F.ceil(F.col("length") / 2).cast("int"))
+    tokens = tokens.withColumn("has_names", (F.size("names") > 0) & (between < enough))
     starts = F.when(length >= WINDOW, F.sequence(F.lit(0), F.greatest(length - WINDOW, F.lit(0))))
     spread = tokens.select("*", F.explode(starts).alias("q"))
     own = {f: F.slice(f, F.col("q") + 1, WINDOW) for f in ("canon", "plain", "named")}
@@ -320,10 +331,15 @@ OP7_SQL = f"""
 WITH dt AS ({_tokens_sql("documents", "doc_id")}),
 bt AS ({_tokens_sql("benchmark", "item_id")}),
 ln AS (SELECT item_id, count(*) AS length FROM bt GROUP BY 1),
-nm AS (SELECT DISTINCT i.item_id FROM bt i
+nw AS (SELECT DISTINCT i.item_id, i.bare FROM bt i
        WHERE i.x LIKE '¶%' AND regexp_matches(i.bare, '^\\p{{Lu}}')
          AND (SELECT count(*) FROM bt o WHERE o.item_id = i.item_id AND o.bare = i.bare) > 1
          AND NOT EXISTS (SELECT 1 FROM bt o WHERE o.item_id = i.item_id AND o.bare = lower(i.bare))),
+tn AS (SELECT b.item_id, b.place, b.x LIKE '¶%' AND nw.bare IS NOT NULL AS named FROM bt b LEFT JOIN nw USING (item_id, bare)),
+bn AS (SELECT item_id, part, count(*) FILTER (NOT named) AS run
+       FROM (SELECT *, sum(CAST(named AS INTEGER)) OVER (PARTITION BY item_id ORDER BY place) AS part FROM tn) GROUP BY 1, 2),
+nm AS (SELECT item_id FROM bn JOIN ln USING (item_id) WHERE item_id IN (SELECT item_id FROM nw)
+       GROUP BY item_id HAVING max(run) < max(least({LONG_RUN}, ceil(length / 2.0)))),
 bw AS (SELECT item_id, place, w, {WINDOW} AS width, form FROM ({_windows_sql("bt", "item_id")})
        WHERE (form = 'canon' AND slots <= {WINDOW - LITERALS})
           OR (form = 'plain' AND (canon_slots > {WINDOW - LITERALS} OR names > 0))
