@@ -18,24 +18,33 @@ from tabloom.operators.joins import (
 )
 from tabloom.session import plan_bytes
 from tabloom.sources import tables
+from tabloom.sources.commits import CommitLog, log_folder
 
 # Properties of the view readers use.
 _KEYS = "primary_keys"
 _BUCKETS = "buckets"
 _BASE = "base_table"
-_CHANGES = "changes_table"
+_CHANGES = "changes_tables"
+_VERSION = "version"
+
+# With more layers of changes than this, base and changes are written anew as one.
+MOST_LAYERS = 8
 
 
 @dataclass(frozen=True)
 class FeatureTableSpec:
-    """A feature table is a view: base rows, and changed rows laid over them."""
+    """A feature table is a view: base rows, and layers of changed rows laid over them.
+
+    ``changes`` names the layers, oldest first; ``version`` counts the states of the table.
+    """
 
     name: str
     primary_keys: tuple[str, ...]
     description: str
     base: str
-    changes: str = ""
+    changes: tuple[str, ...] = ()
     buckets: int | None = None
+    version: int = 0
 
 
 @dataclass(frozen=True)
@@ -71,24 +80,50 @@ def _require_keys(df: DataFrame, keys: Sequence[str], what: str) -> None:
         raise ValueError(f"{what} has null or repeated keys in {list(keys)}")
 
 
-def _publish(spark: SparkSession, spec: FeatureTableSpec) -> FeatureTableSpec:
-    """Point readers of the table at the stored rows named in ``spec``."""
-    if spec.changes:
-        same_key = " AND ".join(f"base.`{k}` = changed.`{k}`" for k in spec.primary_keys)
-        select = (
-            f"SELECT * FROM {spec.base} AS base LEFT ANTI JOIN {spec.changes} AS changed "
-            f"ON {same_key} UNION ALL SELECT * FROM {spec.changes}"
-        )
-    else:
-        select = f"SELECT * FROM {spec.base}"
+def _select(spec: FeatureTableSpec) -> str:
+    """The rows readers see: of each key those of the newest layer that has it."""
+    layers = [spec.base, *spec.changes]
+    parts = []
+    for i, layer in enumerate(layers):
+        part = f"SELECT * FROM {layer} AS own"
+        # Layers are small, so the newer ones are put together; the base is read once, against all of them.
+        newer = " UNION ALL ".join(f"SELECT {', '.join(f'`{k}`' for k in spec.primary_keys)} FROM {n}" for n in layers[i + 1 :])
+        if newer:
+            same_key = " AND ".join(f"own.`{k}` = newer.`{k}`" for k in spec.primary_keys)
+            part += f" LEFT ANTI JOIN ({newer}) AS newer ON {same_key}"
+        parts.append(part)
+    return " UNION ALL ".join(parts)
+
+
+def _show(spark: SparkSession, spec: FeatureTableSpec) -> None:
     properties = {
         _KEYS: ",".join(spec.primary_keys),
         _BUCKETS: str(spec.buckets or 0),
         _BASE: spec.base,
-        _CHANGES: spec.changes,
+        _CHANGES: ",".join(spec.changes),
+        _VERSION: str(spec.version),
     }
-    tables.publish_view(spark, spec.name, select, spec.description, properties)
-    return spec
+    tables.publish_view(spark, spec.name, _select(spec), spec.description, properties)
+
+
+def _publish(spark: SparkSession, spec: FeatureTableSpec, stored: str) -> FeatureTableSpec:
+    """Make ``spec`` the table's next state, unless another writer has made one since it was read.
+
+    The commit decides; the view only follows it.  A view that a slower writer has set
+    back is put right by that writer, who looks at the log once more.
+    """
+    log = CommitLog(spark, log_folder(spark, spec.name))
+    spec = replace(spec, version=spec.version + 1)
+    if not log.commit(spec.version, asdict(spec)):
+        spark.sql(f"DROP TABLE IF EXISTS {stored}")
+        raise RuntimeError(f"{spec.name} was written by another job meanwhile: upsert again")
+    shown = spec
+    while True:
+        _show(spark, shown)
+        newest = feature_table_spec(spark, spec.name)
+        if newest.version <= shown.version:
+            return spec
+        shown = newest
 
 
 def _store(spark: SparkSession, spec: FeatureTableSpec, df: DataFrame, check: bool = True) -> str:
@@ -104,18 +139,6 @@ def _store(spark: SparkSession, spec: FeatureTableSpec, df: DataFrame, check: bo
     return stored
 
 
-def _require_unmoved(spark: SparkSession, read: FeatureTableSpec, stored: str) -> None:
-    """Refuse to publish over what another writer has published since ``read``.
-
-    The catalog has no compare-and-swap, so a write in the very moment between
-    this check and the new view goes unseen.
-    """
-    now = feature_table_spec(spark, read.name)
-    if (now.base, now.changes) != (read.base, read.changes):
-        spark.sql(f"DROP TABLE {stored}")
-        raise RuntimeError(f"{read.name} was written by another job meanwhile: upsert again")
-
-
 def create_feature_table(
     spark: SparkSession,
     name: str,
@@ -142,20 +165,21 @@ def create_feature_table(
         raise ValueError(f"{name} lacks key columns {missing}")
     if spark.catalog.tableExists(name):
         raise ValueError(f"feature table {name} exists")
-    spec = FeatureTableSpec(name, keys, description, base="", changes="", buckets=buckets)
-    return _publish(spark, replace(spec, base=_store(spark, spec, df)))
+    # Numbers go on after those of an earlier table of the name.
+    last = CommitLog(spark, log_folder(spark, name)).numbers()
+    spec = FeatureTableSpec(name, keys, description, "", buckets=buckets, version=last[-1] if last else 0)
+    stored = _store(spark, spec, df)
+    return _publish(spark, replace(spec, base=stored), stored)
 
 
 def feature_table_spec(spark: SparkSession, name: str) -> FeatureTableSpec:
-    props = tables.table_properties(spark, name)
-    return FeatureTableSpec(
-        name=name,
-        primary_keys=tuple(props[_KEYS].split(",")),
-        description=tables.table_comment(spark, name),
-        base=props[_BASE],
-        changes=props[_CHANGES],
-        buckets=int(props[_BUCKETS]) or None,
-    )
+    """The state that the last commit has made."""
+    found = CommitLog(spark, log_folder(spark, name)).latest()
+    if found is None or not spark.catalog.tableExists(name):
+        raise LookupError(f"there is no feature table {name}")
+    held = found[1]
+    held["primary_keys"], held["changes"] = tuple(held["primary_keys"]), tuple(held["changes"])
+    return FeatureTableSpec(**held)
 
 
 def write_feature_table(
@@ -167,36 +191,28 @@ def write_feature_table(
 ) -> FeatureTableSpec:
     """Upsert rows by primary key (``merge``) or replace all rows (``overwrite``).
 
-    An upsert leaves the base rows alone: changed rows are kept in a table of
-    their own, which readers put over the base by an anti join on the key.  It
-    costs what the changes cost, not what the table costs.  Once the changes
-    outgrow ``compact_share`` of the base, both are written anew as one.
-    Keys are unique on both sides, so no join here can be skewed.
+    An upsert writes its own rows and no others, as one more layer over the base; readers take
+    each key from its newest layer.  Once the layers outgrow ``compact_share`` of the base or
+    are more than ``MOST_LAYERS``, all is written anew as one.  Of two writers that read the
+    same state one is refused, whatever their timing.
+    Keys are unique in each layer, so no join here can be skewed.
     """
     spec = feature_table_spec(spark, name)
     base = spark.read.table(spec.base)
     if set(df.columns) != set(base.columns):
         raise ValueError(f"columns of the source and of {name} differ")
     source = df.select(*(F.col(f.name).cast(f.dataType) for f in base.schema.fields))
-    if mode == "overwrite":
-        stored = _store(spark, spec, source)
-        return _publish(spark, replace(spec, base=stored, changes=""))
-    if mode != "merge":
+    if mode not in ("merge", "overwrite"):
         raise ValueError(f"unknown mode {mode}")
     stored = _store(spark, spec, source)
-    changes = spark.read.table(stored)
-    if changes.isEmpty():
+    if mode == "overwrite":
+        return _publish(spark, replace(spec, base=stored, changes=()), stored)
+    if spark.read.table(stored).isEmpty():
         spark.sql(f"DROP TABLE {stored}")
         return spec
-    if spec.changes:
-        # Both parts have unique keys and share none: nothing is left to check.
-        kept = spark.read.table(spec.changes).join(
-            changes.select(*spec.primary_keys), list(spec.primary_keys), "left_anti"
-        )
-        stored = _store(spark, spec, kept.select(*base.columns).unionByName(changes), check=False)
-    _require_unmoved(spark, spec, stored)
-    merged = _publish(spark, replace(spec, changes=stored))
-    if plan_bytes(spark.read.table(stored)) > compact_share * plan_bytes(base):
+    merged = _publish(spark, replace(spec, changes=(*spec.changes, stored)), stored)
+    size = sum(plan_bytes(spark.read.table(layer)) for layer in merged.changes)
+    if len(merged.changes) > MOST_LAYERS or size > compact_share * plan_bytes(base):
         merged = compact_feature_table(spark, name)
     return merged
 
@@ -204,15 +220,14 @@ def write_feature_table(
 def compact_feature_table(spark: SparkSession, name: str) -> FeatureTableSpec:
     """Write base and changed rows as one new base."""
     spec = feature_table_spec(spark, name)
-    stored = _store(spark, spec, spark.read.table(name), check=False)
-    _require_unmoved(spark, spec, stored)
-    return _publish(spark, replace(spec, base=stored, changes=""))
+    stored = _store(spark, spec, spark.sql(_select(spec)), check=False)
+    return _publish(spark, replace(spec, base=stored, changes=()), stored)
 
 
 def drop_superseded(spark: SparkSession, old: FeatureTableSpec) -> None:
     """Free the stored rows of an earlier state once nothing reads them any more."""
     current = feature_table_spec(spark, old.name)
-    for stored in {old.base, old.changes} - {current.base, current.changes, ""}:
+    for stored in {old.base, *old.changes} - {current.base, *current.changes}:
         spark.sql(f"DROP TABLE IF EXISTS {stored}")
 
 

@@ -11,6 +11,7 @@ import time
 import uuid
 from collections.abc import Sequence
 from datetime import datetime, timezone
+from hashlib import md5
 
 from pyspark.ml.util import MLWritable
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +20,7 @@ from pyspark.sql import types as T
 
 from tabloom.operators.joins import lookup_join
 from tabloom.session import scratch_path
+from tabloom.sources.commits import CommitLog, log_folder
 from tabloom.sources.models import SavedModel, load_model, save_model
 from tabloom.sources.tables import ensure_schema
 
@@ -340,15 +342,30 @@ class ModelRegistry:
         return latest_version(self.versions(), name).first()["latest_version"]
 
     def register_model(self, run_uri: str, name: str) -> int:
-        """Make a run's model the next version of ``name``."""
+        """Make a run's model the next version of ``name``.
+
+        Its number is claimed by a commit that only one writer can make, so writers at the
+        same time get different ones.
+        """
         run_id, path = self._resolve(run_uri)
         # A deleted version's number is not handed out again while the model lives.
         used = after_model_deletion(self.table("model_versions"), self.table("deletions"))
         row = next_versions(used.where(F.col("name") == name)).first()
         version = row["next_version"] if row else 1
+        version = self._claim_version(name, version, run_id)
         self._append("model_versions", (time.time_ns(), name, version, run_id, path))
         return version
 
+    def _claim_version(self, name: str, version: int, run_id: str | None) -> int:
+        """The first number from ``version`` on that no other writer has."""
+        # A model that was deleted as a whole starts again at 1, with commits of its own.
+        lives = self.table("deletions").where((F.col("name") == name) & F.col("version").isNull()).count()
+        model = md5(f"{lives}|{name}".encode()).hexdigest()
+        log = CommitLog(self.spark, log_folder(self.spark, f"{self.schema}.model_versions_{model}"))
+        while not log.commit(version, {"name": name, "run_id": run_id}):
+            version += 1
+        return version
+
     def set_alias(self, name: str, alias: str, version: int) -> None:
         self._append("aliases", (time.time_ns(), name, alias, int(version)))
 

@@ -59,11 +59,73 @@ def test_upsert_layers_then_compacts(spark, items):
     assert len(got) == 11
     assert got[3] == (99.0, "new") and got[50] == (2.0, "newer") and got[4] == (6.0, "s")
     compacted = features.write_feature_table(spark, items, again, compact_share=0)
-    assert compacted.changes == "" and compacted.base != before.base
+    assert not compacted.changes and compacted.base != before.base
     assert {r["item_id"]: (r["size"], r["kind"]) for r in spark.read.table(items).collect()} == got
     features.drop_superseded(spark, layered)
     assert spark.read.table(items).count() == 11
-    assert not spark.catalog.tableExists(layered.changes)
+    assert len(layered.changes) == 2
+    assert not any(spark.catalog.tableExists(layer) for layer in layered.changes)
+
+
+def test_an_upsert_writes_its_own_rows_only(spark, items):
+    columns = "item_id bigint, size double, kind string"
+    want = {r["item_id"]: r["kind"] for r in spark.read.table(items).collect()}
+    for i, keys in enumerate([(1, 2, 100), (2, 3), (100, 200)]):
+        change = spark.createDataFrame([(k, 0.0, f"layer {i}") for k in keys], columns)
+        spec = features.write_feature_table(spark, items, change, compact_share=1e9)
+        want |= {k: f"layer {i}" for k in keys}
+        assert spark.read.table(spec.changes[-1]).count() == len(keys) and len(spec.changes) == i + 1
+        assert {r["item_id"]: r["kind"] for r in spark.read.table(items).collect()} == want
+    for _ in range(features.MOST_LAYERS - 2):
+        spec = features.write_feature_table(spark, items, change, compact_share=1e9)
+    assert spec.changes == ()
+    assert {r["item_id"]: r["kind"] for r in spark.read.table(items).collect()} == want
+
+
+def test_of_two_writers_one_is_refused(spark, items):
+    from concurrent.futures import ThreadPoolExecutor
+    from threading import Barrier
+
+    columns, ready = "item_id bigint, size double, kind string", Barrier(4)
+    before = features.feature_table_spec(spark, items)
+    real = features._store
+
+    def slow(*args, **kwargs):  # all have read the same state before any of them commits
+        stored = real(*args, **kwargs)
+        ready.wait(60)
+        return stored
+
+    def write(i):
+        try:
+            features.write_feature_table(spark, items, spark.createDataFrame([(i, -1.0, "race")], columns), compact_share=1e9)
+            return i
+        except RuntimeError as e:
+            assert "meanwhile" in str(e)
+
+    features._store = slow
+    try:
+        with ThreadPoolExecutor(4) as pool:
+            done = [i for i in pool.map(write, range(4)) if i is not None]
+    finally:
+        features._store = real
+    assert len(done) == 1
+    assert [r["item_id"] for r in spark.read.table(items).where("kind = 'race'").collect()] == done
+    assert features.feature_table_spec(spark, items).version == before.version + 1
+    # Nothing stands in the way of the next writer.
+    for i in range(4):
+        features.write_feature_table(spark, items, spark.createDataFrame([(i, -1.0, "race")], columns), compact_share=1e9)
+    assert spark.read.table(items).where("kind = 'race'").count() == 4
+
+
+def test_a_commit_whose_writer_died_is_not_lost(spark, items, monkeypatch):
+    columns = "item_id bigint, size double, kind string"
+    with monkeypatch.context() as m:
+        m.setattr(features, "_show", lambda *_: (_ for _ in ()).throw(OSError("gone")))
+        with pytest.raises(OSError):
+            features.write_feature_table(spark, items, spark.createDataFrame([(1, -1.0, "first")], columns), compact_share=1e9)
+    features.write_feature_table(spark, items, spark.createDataFrame([(2, -1.0, "second")], columns), compact_share=1e9)
+    kinds = {r["item_id"]: r["kind"] for r in spark.read.table(items).collect()}
+    assert (kinds[1], kinds[2], len(kinds)) == ("first", "second", 10)
 
 
 def test_readers_keep_the_rows_they_started_with(spark, items):

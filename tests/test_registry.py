@@ -145,3 +145,17 @@ def test_alias_can_be_removed(store, trained):
         store.resolve("models:/x@a")
     with pytest.raises(LookupError):
         store.register_model("runs:/absent/m", "x")
+
+
+def test_writers_at_the_same_time_get_different_versions(spark, schema):
+    from concurrent.futures import ThreadPoolExecutor
+
+    store = ModelRegistry(spark, f"{schema}_race")
+    run = store.log_run("r", {}, {}, {"model": "/path"})
+    with ThreadPoolExecutor(4) as pool:
+        # All of them have seen an empty registry.
+        claimed = list(pool.map(lambda _: store._claim_version("m", 1, run), range(8)))
+    assert sorted(claimed) == list(range(1, 9))
+    assert store.register_model(f"runs:/{run}/model", "m") == 9
+    store.delete_model("m")
+    assert store.register_model(f"runs:/{run}/model", "m") == 1
