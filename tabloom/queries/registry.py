@@ -47,8 +47,8 @@ runs AS (
     "runs_table",
     f"""
     WITH {_RUNS}
-    SELECT run_id, run_name, parent_run_id, substr(CAST(start_time AS VARCHAR), 1, 19)
-             AS start_second, k, "user" AS user, round(auc, 9) AS auc, model_path
+    SELECT run_id, run_name, parent_run_id, strftime(start_time, '%Y-%m-%d %H:%M:%S.%f')
+             AS start_time, k, "user" AS user, round(auc, 9) AS auc, model_path
     FROM runs
     """,
 )
@@ -60,7 +60,7 @@ def runs_table(spark, sf_dir):
         "run_id",
         "run_name",
         "parent_run_id",
-        F.substring(F.col("start_time").cast("string"), 1, 19).alias("start_second"),
+        F.date_format("start_time", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("start_time"),
         F.col("params")["k"].alias("k"),
         F.col("params")["user"].alias("user"),
         F.round(F.col("metrics")["auc"], 9).alias("auc"),

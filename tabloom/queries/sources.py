@@ -34,16 +34,18 @@ def _lineitem_csv(spark, sf_dir):
     """
     SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice,
            l_discount, l_tax, l_returnflag, l_linestatus,
-           CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS l_shipdate
+           strftime(CAST(l_shipdate AS TIMESTAMP), '%Y-%m-%d %H:%M:%S.%f') AS l_shipdate
     FROM lineitem
     """,
 )
 def csv_scan(spark, sf_dir):
-    scanned = _lineitem_csv(spark, sf_dir)
-    wanted = load(spark, sf_dir, "lineitem").schema
-    return scanned.select(
-        *(F.col(f.name).cast(f.dataType) for f in wanted.fields if f.name != "l_shipdate"),
-        F.col("l_shipdate").cast("string"),
+    """Types inferred from the text, times to the microsecond."""
+    path = scratch_path(spark, "lineitem-csv")
+    lineitem = load(spark, sf_dir, "lineitem")
+    files.write_csv(lineitem, path)
+    return files.read_csv(spark, path).select(
+        *(F.col(f.name).cast(f.dataType) for f in lineitem.schema.fields if f.name != "l_shipdate"),
+        F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("l_shipdate"),
     )
 
 
