@@ -38,7 +38,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabloom.session import discard, noting, stage
+from tabloom.session import discard, noting, stage, with_code
 
 KEEP_TREES = 16
 MAX_BINS = 256
@@ -253,7 +253,7 @@ def _sums(rows: DataFrame, fits: list[_Fit], width: int, missing: int, scale: fl
         for i, sums in held.items():
             yield rows_of(i, -1, np.zeros(1, np.int64), sums[:, None])
 
-    return rows.mapInArrow(add, "fit long, node long, feature long, bin long, g long, h long")
+    return with_code(rows).mapInArrow(add, "fit long, node long, feature long, bin long, g long, h long")
 
 
 def _soft(g: Column, alpha: Column) -> Column:
@@ -404,7 +404,7 @@ def fit_boosted(
     schema = "bins array<smallint>, y double, part long, margins array<double>"
     stored: list[list[str]] = [[]]
     with noting(stored[-1]):
-        current = stage(used.mapInArrow(cut, schema), "boosting")
+        current = stage(with_code(used).mapInArrow(cut, schema), "boosting")
     largest = 1.0
     if any(f.params.objective == "squared" for f in fits):
         largest = max(1.0, current.agg(F.max(F.abs("y"))).first()[0] or 0.0)
@@ -454,7 +454,7 @@ def _with_margins(rows: DataFrame, fits: list[_Fit], width: int, missing: int, s
             new = pa.ListArray.from_arrays(ends, pa.array(margins.ravel()))
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], new], names=["bins", "y", "part", "margins"])
 
-    return rows.mapInArrow(add, schema)
+    return with_code(rows).mapInArrow(add, schema)
 
 
 @lru_cache(maxsize=16)
@@ -483,6 +483,7 @@ class RegularizedBoosterModel(Model, HasFeaturesCol, HasPredictionCol, HasProbab
         return len(self.model.trees)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
+        dataset = with_code(dataset)
         known = dataset.sparkSession.sparkContext.broadcast(self.getOrDefault(self.boosted))
 
         def margin(features: pd.Series) -> pd.Series:

@@ -466,7 +466,9 @@ def boosted_regularized_rounds(spark, sf_dir):
         rows.select(F.array(F.col("part").cast("double")).alias("features"), "high"),
         "features", "high", _stump_params(_STUMP_ROUNDS),
     )
-    groups = rows.select("part").distinct().select("part", array_to_vector(F.array(F.col("part").cast("double"))).alias("features"))
+    # Vectors hold no nulls; the booster takes NaN as missing too.
+    value = F.coalesce(F.col("part").cast("double"), F.lit(float("nan")))
+    groups = rows.select("part").distinct().select("part", array_to_vector(F.array(value)).alias("features"))
     trials = [
         RegularizedBoosterModel(model).transform(groups).select(
             F.lit(i).alias("trial"), "part", F.round(scoring.positive_probability(), 6).alias("prediction")
