@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabloom.llm.base import free_name, load, query
+from tabloom.session import with_code
 
 # Texts are taken in slices of so many characters (a longer text is a slice by itself).
 SLICE_CHARS = 1 << 22
@@ -287,7 +288,7 @@ def encode_texts(df: DataFrame, ranks: dict[bytes, int], pattern: str, text: str
                 part = batch.slice(begin, end - begin)
                 yield pa.RecordBatch.from_arrays([*part.columns, ids], names=names)
 
-    return df.mapInArrow(encode, _with_column(df, into, T.ArrayType(T.IntegerType())))
+    return with_code(df).mapInArrow(encode, _with_column(df, into, T.ArrayType(T.IntegerType())))
 
 
 def decode_ids(df: DataFrame, ranks: dict[bytes, int], ids: str = "ids", into: str = "decoded") -> DataFrame:
@@ -307,7 +308,7 @@ def decode_ids(df: DataFrame, ranks: dict[bytes, int], ids: str = "ids", into: s
                 texts = [b"".join(map(tokens.__getitem__, flat[i:j])) for i, j in zip(ends, ends[1:], strict=False)]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary())], names=names)
 
-    return df.mapInArrow(decode, _with_column(df, into, T.BinaryType()))
+    return with_code(df).mapInArrow(decode, _with_column(df, into, T.BinaryType()))
 
 
 @query("op13_byte_bpe")

@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from tabloom.llm.base import load, partitions_for, query
 from tabloom.llm.tries import DoubleArray
 from tabloom.operators.ordering import dense_row_id
-from tabloom.session import stage
+from tabloom.session import stage, with_code
 
 LEAST = 100
 LONGEST = 5
@@ -116,7 +116,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
                 names=["lang", "word", "n"],
             ))
 
-    partial = docs.mapInArrow(count, "lang string, word string, n long")
+    partial = with_code(docs).mapInArrow(count, "lang string, word string, n long")
     return partial.groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
@@ -193,7 +193,7 @@ def _numbered(docs: DataFrame, vocabularies: list) -> DataFrame:
     numbered = docs
     for i, known in enumerate(vocabularies):
         step = (later if i else first)(known, i == len(vocabularies) - 1)
-        numbered = stage(numbered.mapInArrow(step, kind), "numbers")
+        numbered = stage(with_code(numbered).mapInArrow(step, kind), "numbers")
     return numbered
 
 
@@ -234,7 +234,7 @@ def _states(numbered: DataFrame, trie, length: int, vocabulary: int, whole: bool
             n = np.bincount(np.cumsum(first) - 1) if len(key) else np.zeros(0, np.int64)
             yield from _pieces(pa.RecordBatch.from_arrays([pa.array(key[first]), pa.array(n)], names=["state", "n"]))
 
-    return numbered.select("numbers").mapInArrow(count, "state long, n long")
+    return with_code(numbered.select("numbers")).mapInArrow(count, "state long, n long")
 
 
 def _with_stems(states: DataFrame, stems, vocabulary: int) -> DataFrame:
@@ -248,7 +248,7 @@ def _with_stems(states: DataFrame, stems, vocabulary: int) -> DataFrame:
             ends = pa.array(np.arange(0, len(flat) + 1, ids.shape[1]), pa.int32())
             yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(ends, flat), batch.column(1)], names=["ids", "n"])
 
-    return states.mapInArrow(spell, "ids array<int>, n long")
+    return with_code(states).mapInArrow(spell, "ids array<int>, n long")
 
 
 def frequent_phrases(numbered: DataFrame, vocabulary: int, least: int = LEAST, longest: int = LONGEST, most: int = TRIE_PHRASES) -> DataFrame:

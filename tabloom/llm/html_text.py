@@ -47,6 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.llm.base import load, query
+from tabloom.session import with_code
 
 _COMMENT = r"<!--.*?(?:-->|\Z)"
 _TOKEN = re.compile(
@@ -429,7 +430,7 @@ def extract_main_text(pages: DataFrame, html_col: str = "html", out: str = "text
 
     narrow = pages.select(*(F.col(f"`{c}`") for c in kept), F.col(f"`{html_col}`"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema.fields[:at])
-    return narrow.mapInArrow(extract, f"{schema}{', ' if schema else ''}`{out}` string")
+    return with_code(narrow).mapInArrow(extract, f"{schema}{', ' if schema else ''}`{out}` string")
 
 
 @query("op1_html_main_text")

@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.llm.base import load, query
+from tabloom.session import with_code
 
 # Base phrases and their labels.
 BASE_PHRASES = (
@@ -243,7 +244,7 @@ def licence_idf(docs: DataFrame, text: str = "text", templates=TEMPLATES) -> dic
             names=["word", "files"],
         )
 
-    counted = docs.select(F.col(text)).mapInArrow(count, "word string, files long")
+    counted = with_code(docs.select(F.col(text))).mapInArrow(count, "word string, files long")
     totals = {r["word"]: r["files"] for r in counted.groupBy("word").agg(F.sum("files").alias("files")).collect()}
     n = totals.pop("", 0)
     return {w: math.log((1 + n) / (1 + totals.get(w.decode(), 0))) for w in vocab}
@@ -294,7 +295,7 @@ def scan_licences(
             )
 
     narrow = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    return narrow.mapInArrow(scan, f"key {kind.simpleString()}, {SCAN_SCHEMA}").withColumnRenamed(
+    return with_code(narrow).mapInArrow(scan, f"key {kind.simpleString()}, {SCAN_SCHEMA}").withColumnRenamed(
         "key", key
     )
 

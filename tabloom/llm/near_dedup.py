@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from tabloom.llm import shingles as S
 from tabloom.llm.base import free_name, load, query, with_row_id
 from tabloom.llm.components import connected_components
-from tabloom.session import stage
+from tabloom.session import stage, with_code
 
 BLOCK = 2048
 LONGS = S.SKETCH_BITS // 64
@@ -74,7 +74,7 @@ def fingerprints(rows: DataFrame, rid: str, key: str, text: str) -> DataFrame:
                 )
 
     narrow = rows.select(F.col(rid).alias("rid"), F.col(key).alias("key"), F.col(text).alias("text"))
-    return narrow.mapInArrow(
+    return with_code(narrow).mapInArrow(
         sign, f"rid long, key {kind}, n long, digest binary, bands array<long>, sketch array<long>"
     )
 
@@ -125,7 +125,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
                 part = pa.RecordBatch.from_arrays([part.column(0), part.column(1)], names=["a", "b"])
                 yield part.filter(pa.array(keep, pa.bool_()))
 
-    return both.select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long")
+    return with_code(both.select("a", "b", "ta", "tb")).mapInArrow(check, "a long, b long")
 
 
 def _ends(classes: DataFrame, members: DataFrame, bands: DataFrame, percent: int) -> DataFrame:

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabloom.llm.base import free_name, load, query
-from tabloom.session import stage
+from tabloom.session import stage, with_code
 
 PARTS = 8
 ENTRIES = 16
@@ -248,7 +248,7 @@ def _partial_sums(rows: DataFrame, vector: str, books: Codebooks) -> DataFrame:
             ("size", pa.int32()), ("part", pa.int32()), ("entry", pa.int32()), ("n", pa.int64()), ("high", kind), ("low", kind),
         ]))
 
-    return rows.select(vector).mapInArrow(
+    return with_code(rows.select(vector)).mapInArrow(
         add, "size int, part int, entry int, n long, high array<string>, low array<string>"
     )
 
@@ -291,7 +291,7 @@ def with_codes(rows: DataFrame, books: Codebooks, vector: str = "embedding") ->
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(code, pa.string()), pa.array(error, pa.int64())], names=names)
 
     fields = [T.StructField(names[-2], T.StringType()), T.StructField(names[-1], T.LongType())]
-    return rows.mapInArrow(encode, T.StructType([*rows.schema.fields, *fields]))
+    return with_code(rows).mapInArrow(encode, T.StructType([*rows.schema.fields, *fields]))
 
 
 def codebook_digest(entries: list[np.ndarray]) -> str:

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabloom.llm.base import free_name, load, partitions_for, query, text_bytes, with_row_id
-from tabloom.session import stage
+from tabloom.session import stage, with_code
 
 SHARDS = 8
 PARCELS_PER_SHARD = 256
@@ -178,7 +178,7 @@ def _parcels(items: DataFrame, capacity: int, level: int) -> DataFrame:
     dealt = items.select(
         F.pmod(F.xxhash64(F.lit(level), "item"), F.lit(blocks)).cast("int").alias("block"), "item", "size"
     ).repartition(blocks, "block")
-    return stage(dealt.mapInArrow(pack, "item string, parcel string, size long"), "parcels")
+    return stage(with_code(dealt).mapInArrow(pack, "item string, parcel string, size long"), "parcels")
 
 
 def _to_shards(spark: SparkSession, items: DataFrame, shards: int) -> DataFrame:

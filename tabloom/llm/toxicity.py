@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from tabloom.llm import gru
 from tabloom.llm.base import free_name, load, query
+from tabloom.session import with_code
 
 TOXIC_TEXTS = 600
 CLEAN_TEXTS = 2400
@@ -98,7 +99,7 @@ def score_toxicity(
                 )
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(score, f"{schema}, `{out}` double")
+    return with_code(docs).mapInArrow(score, f"{schema}, `{out}` double")
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, cut: float = 0.5) -> DataFrame:

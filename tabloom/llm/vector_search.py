@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabloom.llm.base import load, partitions_for, query
-from tabloom.session import stage
+from tabloom.session import stage, with_code
 
 BITS = 128
 PARTS = 8
@@ -192,7 +192,7 @@ def nearest(rows: DataFrame, asked: Callable[[Column], Column], k: int = 10, key
         return pd.DataFrame({"query_id": qids[found["q"].to_numpy()], "vec_id": found["vec_id"], "score": found["score"]})
 
     keys = ["size", "block", "chunk"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
+    found = with_code(left).groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
         search, "query_id long, vec_id long, score double"
     )
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
