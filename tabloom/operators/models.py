@@ -10,12 +10,13 @@ from pyspark.ml.classification import (
     GBTClassifier,
     RandomForestClassifier,
 )
+from pyspark.ml.param import Params
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.operators.stages import assembler, category_indexer
-from tabloom.session import iterated, shared_dir
+from tabloom.session import iterated, merged, shared_dir
 
 # Spark's trees stop at this depth.
 MAX_DEPTH = 30
@@ -102,13 +103,29 @@ def merge_repeats(
     return df.groupBy(*columns).agg(F.count(F.lit(1)).alias(weight))
 
 
+# The column of counts that fits over merged rows are given.
+WEIGHT = "__n_equal"
+
+
+def takes_merged_rows(estimator: Estimator, varied: Sequence[str] = ()) -> bool:
+    """Whether a fit over different rows, weighted by their counts, is the fit over all rows.
+
+    True of boosted trees that sample no rows, have no weights of their own and do not ask how
+    many rows a node holds; ``varied`` names the parameters that a search sets.
+    """
+    if not isinstance(estimator, (GBTClassifier, GBTRegressor)) or {"subsamplingRate", "minInstancesPerNode", "weightCol"} & set(varied):
+        return False
+    own = {n: estimator.getOrDefault(n) for n in ("subsamplingRate", "minInstancesPerNode")}
+    return own == {"subsamplingRate": 1.0, "minInstancesPerNode": 1} and not estimator.isDefined("weightCol")
+
+
 def fit(df: DataFrame, stages: Pipeline) -> PipelineModel:
     """Fit with a checkpoint folder in place: boosting cuts its lineage there.
 
     Only the columns that the stages name are kept for the fit.
     """
     shared_dir(df.sparkSession)
-    used = _input_columns(stages)
+    used = input_columns(stages.getStages())
     with iterated(df.select(*(c for c in df.columns if c in used))) as rows:
         return stages.fit(rows)
 
@@ -144,38 +161,55 @@ def fit_with_patience(
     doubling length, each judged in one pass over the held-out rows, so that all
     attempts together cost less than five times the rounds needed.  The seed
     being fixed, a shorter fit has the first trees of a longer one.  Without
-    held-out rows there is nothing to wait for: an error.
+    held-out rows there is nothing to wait for: an error.  Rows equal in what the fit
+    reads are one row with a weight, if that is the same fit.
     """
     shared_dir(df.sparkSession)
     *before, booster = stages.getStages()
-    used = _input_columns(stages) | {held_out}
-    with iterated(df.select(*(c for c in df.columns if c in used))) as rows:
-        prepared = Pipeline(stages=before).fit(rows)
-        flag = F.coalesce(F.col(held_out), F.lit(False))
-        train, validation = (prepared.transform(rows.where(f)) for f in (~flag, flag))
-        if validation.isEmpty():
-            raise ValueError(f"no row is marked in {held_out}")
-
-        def boosted(rounds: int):
-            return booster.copy({booster.maxIter: rounds}).fit(train)
-
-        rounds = min(max_rounds, patience + patience // 4 + 1)
-        while True:
-            model = boosted(rounds)
-            loss = [booster.getLossType()] if isinstance(booster, GBTRegressor) else []
-            losses = model.evaluateEachIteration(validation, *loss)
-            best, ended = patient_best(losses, patience, least_gain)
-            if ended or rounds == max_rounds:
-                break
-            rounds = min(max_rounds, 2 * rounds)
-        if best < rounds:
-            model = boosted(best)
+    used = input_columns(stages.getStages()) | {held_out}
+    narrow = df.select(*(c for c in df.columns if c in used))
+    if not takes_merged_rows(booster):
+        with iterated(narrow) as rows:
+            prepared = Pipeline(stages=before).fit(rows)
+            return _patient(rows, prepared, booster, held_out, patience, max_rounds, least_gain)
+    if any(isinstance(s, Estimator) for s in before):
+        with iterated(narrow) as rows:
+            prepared = Pipeline(stages=before).fit(rows)
+    else:
+        prepared = Pipeline(stages=before).fit(narrow)
+    weighted = booster.copy({booster.weightCol: WEIGHT})
+    with merged(narrow, WEIGHT) as rows:
+        return _patient(rows, prepared, weighted, held_out, patience, max_rounds, least_gain)
+
+
+def _patient(
+    rows: DataFrame, prepared: PipelineModel, booster: Estimator, held_out: str, patience: int, max_rounds: int, least_gain: float
+) -> PipelineModel:
+    flag = F.coalesce(F.col(held_out), F.lit(False))
+    train, validation = (prepared.transform(rows.where(f)) for f in (~flag, flag))
+    if validation.isEmpty():
+        raise ValueError(f"no row is marked in {held_out}")
+
+    def boosted(rounds: int):
+        return booster.copy({booster.maxIter: rounds}).fit(train)
+
+    rounds = min(max_rounds, patience + patience // 4 + 1)
+    while True:
+        model = boosted(rounds)
+        loss = [booster.getLossType()] if isinstance(booster, GBTRegressor) else []
+        losses = model.evaluateEachIteration(validation, *loss)
+        best, ended = patient_best(losses, patience, least_gain)
+        if ended or rounds == max_rounds:
+            break
+        rounds = min(max_rounds, 2 * rounds)
+    if best < rounds:
+        model = boosted(best)
     return PipelineModel([*prepared.stages, model])
 
 
-def _input_columns(stages: Pipeline) -> set[str]:
+def input_columns(stages: Sequence[Params]) -> set[str]:
     used: set[str] = set()
-    for s in stages.getStages():
+    for s in stages:
         for name in ("inputCol", "labelCol", "featuresCol", "weightCol", "validationIndicatorCol"):
             if s.hasParam(name) and s.isDefined(name):
                 used.add(s.getOrDefault(name))

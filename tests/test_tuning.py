@@ -3,10 +3,12 @@ from __future__ import annotations
 from math import exp
 
 import pytest
-from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
-from tabloom.operators import models, stages, tuning
+from tabloom.operators import models, scoring, stages, tuning
 
 
 def test_grid_has_all_points(spark):
@@ -143,3 +145,36 @@ def test_trials_stage_in_the_callers_scope_and_are_stored_at_once(spark, tmp_pat
         )
     assert len(paths) == 3
     assert [t.model for t in done] == [None] * 3 and all(t.path for t in done)
+
+
+def counting(monkeypatch, kind):
+    """The numbers of rows that fits of a kind read from now on."""
+    seen, plain = [], kind._fit
+    monkeypatch.setattr(kind, "_fit", lambda self, rows: (seen.append(rows.count()), plain(self, rows))[1])
+    return seen
+
+
+def hours(spark, n=20_000):
+    chance, part = F.pmod(F.xxhash64("id"), F.lit(100)), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(3))
+    hr = F.col("id") % 6
+    return spark.range(n).select(
+        "id", hr.cast("double").alias("hr"), (chance < 30 + 8 * hr).cast("int").alias("high"), part.cast("int").alias("fold")
+    )
+
+
+def test_patient_fit_reads_equal_rows_once(spark, monkeypatch):
+    seen = counting(monkeypatch, GBTClassifier)
+    rows = hours(spark).withColumn("held_out", F.col("fold") == 2)
+
+    def fit():
+        seen.clear()
+        booster = models.boosted_classifier("high", stepSize=0.5, maxDepth=4)
+        model = models.fit_with_patience(rows, models.pipeline(["hr"], booster, None), "held_out", 3, 8)
+        scored = scoring.predict_probability(spark.range(6).select(F.col("id").cast("double").alias("hr")), model)
+        return model.stages[-1].getNumTrees, [r["prediction"] for r in scored.orderBy("hr").collect()]
+
+    trees, merged = fit()
+    assert max(seen) == 12
+    monkeypatch.setattr(models, "takes_merged_rows", lambda *_: False)
+    same, whole = fit()
+    assert max(seen) > 13_000 and same == trees and merged == pytest.approx(whole, abs=1e-12)
