@@ -11,14 +11,15 @@ from math import inf, isnan, sqrt
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model
-from pyspark.ml.evaluation import Evaluator
+from pyspark.ml.evaluation import Evaluator, MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.functions.hashing import hash01
+from tabloom.operators import models
 from tabloom.operators.boosting import BoostParams
-from tabloom.session import cached, shared_dir
+from tabloom.session import cached, merged, shared_dir
 
 # The grid and the search space this toolkit has to reproduce.
 BOOSTING_GRID = {"maxDepth": [2, 5], "maxIter": [10, 100]}
@@ -155,10 +156,19 @@ def cross_validate(
     """Grid search over given folds, refit on all rows.
 
     Returns the fitted model and one row per grid point with its mean metric.
-    Fits run side by side; each one is itself distributed.
+    Fits run side by side; each one is itself distributed.  Rows equal in what fits and
+    evaluator read are one row with a weight, if that gives the same fits.
     """
     spark = df.sparkSession
     shared_dir(spark)
+    rows = cached(df)
+    weighs = isinstance(evaluator, (MulticlassClassificationEvaluator, RegressionEvaluator)) and not evaluator.isDefined("weightCol")
+    if weighs and models.takes_merged_rows(estimator, list(grid)):
+        used = models.input_columns([estimator, evaluator]) | {fold_col, evaluator.getPredictionCol()}
+        if isinstance(evaluator, MulticlassClassificationEvaluator):
+            used.add(evaluator.getProbabilityCol())
+        rows = merged(df.select(*(c for c in df.columns if c in used)), models.WEIGHT)
+        estimator, evaluator = (x.copy({x.getParam("weightCol"): models.WEIGHT}) for x in (estimator, evaluator))
     validator = CrossValidator(
         estimator=estimator,
         estimatorParamMaps=param_maps(estimator, grid),
@@ -168,8 +178,8 @@ def cross_validate(
         parallelism=parallelism,
         seed=0,
     )
-    with cached(df) as rows:
-        fitted = validator.fit(rows)
+    with rows as kept:
+        fitted = validator.fit(kept)
     rows = [
         (i, {k: str(v) for k, v in point.items()}, float(metric))
         for i, (point, metric) in enumerate(

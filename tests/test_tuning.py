@@ -162,6 +162,30 @@ def hours(spark, n=20_000):
     )
 
 
+def test_grid_search_reads_equal_rows_once(spark, monkeypatch):
+    seen = counting(monkeypatch, GBTClassifier)
+    prepared = VectorAssembler(inputCols=["hr"], outputCol="features").transform(hours(spark))
+    judge = MulticlassClassificationEvaluator(labelCol="high", metricName="logLoss")
+
+    def search(**params):
+        seen.clear()
+        booster = models.boosted_classifier("high", maxDepth=4, **params)
+        fitted, trials = tuning.cross_validate(prepared, booster, {"maxIter": [1, 3]}, judge, "fold")
+        return [r["avg_metric"] for r in trials.orderBy("trial").collect()], fitted.bestModel
+
+    merged, best = search()
+    assert max(seen) == 36 and len(seen) == 7
+    monkeypatch.setattr(models, "takes_merged_rows", lambda *_: False)
+    whole, same = search()
+    assert max(seen) == 20_000
+    assert merged == pytest.approx(whole, abs=1e-12) and best.getNumTrees == same.getNumTrees
+    monkeypatch.undo()
+    sampling = models.boosted_classifier("high", subsamplingRate=0.5)
+    assert models.takes_merged_rows(models.boosted_classifier("high"))
+    assert not models.takes_merged_rows(sampling) and not models.takes_merged_rows(models.baseline_forest("high"))
+    assert not models.takes_merged_rows(models.boosted_classifier("high"), ["minInstancesPerNode"])
+
+
 def test_patient_fit_reads_equal_rows_once(spark, monkeypatch):
     seen = counting(monkeypatch, GBTClassifier)
     rows = hours(spark).withColumn("held_out", F.col("fold") == 2)
