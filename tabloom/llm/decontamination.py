@@ -69,18 +69,23 @@ def raw_tokens(text: Column) -> Column:
     return F.coalesce(F.regexp_extract_all(marked, F.lit(_TOKEN), F.lit(0)), F.array().cast("array<string>"))
 
 
-def canonical(tokens: Column) -> Column:
-    """Tokens with numbers, names and units as typed placeholders."""
+def canonical(tokens: Column, words: Column | None = None) -> Column:
+    """Tokens with numbers, names and units as typed placeholders.
+
+    ``words`` is a column with the tokens in lower case and without marks, if there is one.
+    """
     units = F.array(*[F.lit(u) for u in UNITS])
 
+    def word_at(i):
+        return _word(F.get(tokens, i)) if words is None else F.get(words, i)
+
     def digit_first(x):
-        return F.substring(x, 1, 1).between("0", "9")
+        return (x < ":") & (x >= "0")
 
     def one(x, i):
         # Patterns are tried only where the first sign, or a change by lower-casing, allows.
-        word = F.lower(F.ltrim(x, F.lit(MARK)))
-        before = F.ltrim(F.get(tokens, i - 1), F.lit(MARK))
-        after_number = F.coalesce((i > 0) & digit_first(before) & before.rlike(_NUMBER), F.lit(False))
+        word, before = word_at(i), word_at(i - 1)
+        after_number = digit_first(before) & before.rlike(_NUMBER)
         return (
             F.when(digit_first(word) & word.rlike(_NUMBER), F.lit("#n"))
             .when(after_number & F.array_contains(units, word), F.lit("#u"))
@@ -92,28 +97,25 @@ def canonical(tokens: Column) -> Column:
 
 
 def _word(x: Column) -> Column:
-    return F.lower(F.ltrim(x, F.lit(MARK)))
+    # A token has one mark at most.
+    return F.lower(F.when(x.startswith(MARK), F.substr(x, F.lit(2))).otherwise(x))
 
 
-def _forms(raw: Column) -> dict[str, Column]:
+def _forms(raw: Column, words: Column | None = None) -> dict[str, Column]:
     """The tokens in their three forms."""
-    canon = canonical(raw)
+    canon = canonical(raw, words)
 
     def named(c, i):
         first = F.get(raw, i)
         begins = (F.substring(first, 1, 1) == MARK) & F.ltrim(first, F.lit(MARK)).rlike(_NAME) & (c.substr(1, 1) != "#")
         return F.when(begins, F.lit("#p")).otherwise(c)
 
-    return {"canon": canon, "plain": F.transform(raw, _word), "named": F.transform(canon, named)}
+    return {"canon": canon, "plain": F.transform(raw, _word) if words is None else words, "named": F.transform(canon, named)}
 
 
-def _window(h: str, i: Column, width: int) -> Column:
+def _window(h: str, width: int) -> Column:
     # Elements are taken one by one: a slice would copy the whole array for each window.
-    return F.xxhash64(*[F.get(F.col(h), i + j) for j in range(width)])
-
-
-def _plain_window(width: int):
-    return lambda i: _window("plain", i, width)
+    return F.when(F.col("p").isNotNull(), F.xxhash64(*[F.get(F.col(h), F.col("p") + j) for j in range(width)]))
 
 
 def _starts(h: str, width: int) -> Column:
@@ -124,24 +126,26 @@ def _starts(h: str, width: int) -> Column:
 def _spread(df: DataFrame, key: str, text: str, forms: list[str], widths: list[int]) -> DataFrame:
     """(key, p, hash) for every window of ``WINDOW`` tokens in some forms, and of plain words in more widths.
 
-    The outer generators keep the optimizer from testing the arrays before they are
-    taken apart, which would compute everything below once more.
+    Places are spread first, so that windows are hashed row by row in compiled code.  The outer
+    generators keep the optimizer from testing the arrays before they are taken apart, which would
+    compute everything below once more.
     """
     raw = df.select(key, raw_tokens(F.col(text)).alias("raw"))
-    hashes = raw.select(key, *[F.transform(_forms(F.col("raw"))[f], lambda x: F.xxhash64(x)).alias(f) for f in {*forms, "plain"} if f in forms or widths])
-    windows = []
-    if forms:
-        def at(i):
-            return F.array_distinct(F.array(*[_window(f, i, WINDOW) for f in forms])) if len(forms) > 1 else _window(forms[0], i, WINDOW)
-
-        windows.append(F.transform(_starts(forms[0], WINDOW), at))
+    raw = raw.select(key, "raw", F.transform("raw", _word).alias("words"))
+    made = _forms(F.col("raw"), F.col("words"))
+    hashes = raw.select(key, *[F.transform(made[f], lambda x: F.xxhash64(x)).alias(f) for f in made if f in forms or (f == "plain" and widths)])
+
+    def windows(of: list[str], width: int) -> DataFrame:
+        spread = hashes.select(key, *of, F.explode_outer(_starts(of[0], width)).alias("p"))
+        if len(of) == 1:
+            return spread.select(key, "p", _window(of[0], width).alias("hash"))
+        each = F.array_distinct(F.array(*[_window(f, width) for f in of]))
+        return spread.select(key, "p", F.explode_outer(each).alias("hash"))
+
+    found = windows(forms, WINDOW) if forms else None
     for width in widths:
-        each = F.transform(_starts("plain", width), _plain_window(width))
-        windows.append(F.transform(each, lambda x: F.array(x)) if len(forms) > 1 else each)
-    found = hashes.select(key, F.posexplode_outer(windows[0]).alias("p", "hash"))
-    for more in windows[1:]:
-        found = found.unionByName(hashes.select(key, F.posexplode_outer(more).alias("p", "hash")))
-    return found.select(key, "p", F.explode_outer("hash").alias("hash")) if len(forms) > 1 else found
+        found = windows(["plain"], width) if found is None else found.unionByName(windows(["plain"], width))
+    return found
 
 
 def benchmark_windows(items: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:

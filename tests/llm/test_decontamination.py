@@ -1,6 +1,9 @@
 """Benchmark items in other clothes, against SQL over the same small tables."""
 
+import re
+
 import pytest
+from pyspark.sql import functions as F
 
 from tabloom import llm
 from tabloom.llm import decontamination
@@ -63,3 +66,27 @@ def test_columns_and_repeated_rows_stay(spark):
     assert [tuple(r) for r in kept.collect()] == [(2, "clean", None)] * 2
     assert decontamination.drop_contaminated(docs.limit(0), items).collect() == []
     assert decontamination.drop_contaminated(docs, items.limit(0)).count() == 4
+
+
+def test_windows_are_hashed_row_by_row_not_in_lambdas(spark):
+    texts = ["Tom has 5 kg of 12 apples. Anna ate them all in 3 days", "one two", None, "¶ A b. C d e f g h I 7 j"]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, t string")
+    for forms, widths in ((["canon"], []), (["canon", "plain", "named"], [4]), (["plain"], [5])):
+        found = decontamination._spread(df, "k", "t", forms, widths)
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        # A hash of several tokens inside a lambda is interpreted for each window.
+        assert not re.search(r"lambdafunction\([^,]*xxhash64\([a-z]+#\d+\[", plan)
+        raw = df.select("k", decontamination.raw_tokens(F.col("t")).alias("raw"))
+        want = set()
+        for r in raw.select("k", *[c.alias(f) for f, c in decontamination._forms(F.col("raw")).items()]).collect():
+            for f, width in [*((f, decontamination.WINDOW) for f in forms), *(("plain", w) for w in widths)]:
+                want |= {(r["k"], p, " ".join(r[f][p : p + width])) for p in range(len(r[f]) - width + 1)}
+        tokens = spark.createDataFrame(sorted({x for *_, x in want}), "string").withColumn("h", F.transform(F.split("value", " "), lambda x: F.xxhash64(x)))
+        hashes = {}
+        for r in tokens.collect():
+            hashes[r["value"]] = r["h"]
+        pairs = spark.createDataFrame([(w, h) for w, h in hashes.items()], "w string, h array<long>")
+        long = {n: pairs.where(F.size("h") == n).select("w", F.xxhash64(*[F.col("h")[j] for j in range(n)]).alias("x")).collect() for n in {len(h) for h in hashes.values()}}
+        of = {r["w"]: r["x"] for rows in long.values() for r in rows}
+        got = {(r["k"], r["p"], r["hash"]) for r in found.where("p is not null and hash is not null").collect()}
+        assert got == {(k, p, of[x]) for k, p, x in want} and got
