@@ -165,7 +165,7 @@ class _Fit:
     validation: int | None
     trees: list[Tree] = field(default_factory=list)
     tree: Tree | None = None
-    frontier: list[int] = field(default_factory=list)
+    frontier: list[int] = field(default_factory=lambda: [0])
     depth: int = 0
     kept: int = 0  # trees that are in the stored margins
     losses: list[float] = field(default_factory=list)

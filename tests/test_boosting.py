@@ -162,3 +162,19 @@ def test_pipeline_stage_is_stored_and_scores(spark, tmp_path):
 def test_without_rows_there_are_no_trees(spark, rows):
     [model] = fit_boosted(spark.createDataFrame(rows, KIND), "x", "y", [BoostParams(3)])
     assert model.trees == [] and Pipeline is not None
+
+
+def test_batches_that_hold_different_bins_add_up(spark):
+    """The first scan of a task whose batches end at different bins, as those of long tables do."""
+    rows = [([float(v)], float(v % 3 == 0), v % 2) for k in range(6) for v in range(k + 2)]
+    settings = [BoostParams(3, 2, 0.3, min_child_weight=0.0)] * 2
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    found = []
+    try:
+        for batch in ("3", "1000"):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+            df = spark.createDataFrame(rows, KIND).coalesce(1)
+            found.append([m.to_json() for m in fit_boosted(df, "x", "y", settings, "part", [0, None])])
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    assert found[0] == found[1]
