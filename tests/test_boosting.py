@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import math
 
 import numpy as np
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tabloom.operators import boosting, models, scoring
 from tabloom.operators.boosting import Boosted, BoostParams, RegularizedBooster, fit_boosted
+from tabloom.queries import all_queries
 from tabloom.sources.models import load_model, save_model
 
 KIND = "x array<double>, y double, part int"
@@ -178,3 +180,18 @@ def test_batches_that_hold_different_bins_add_up(spark):
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
     assert found[0] == found[1]
+
+
+def test_search_over_tasks_that_hold_different_parts_of_the_day(spark, tmp_path):
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    at = lambda i: datetime.datetime(2024, 1, 1, i * i % 24)
+    rows = [(i, at(i % 90), float(i * 37 % 100)) for i in range(900)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, value double").coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    found = []
+    try:
+        for batch in ("7", "10000"):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+            found.append(sorted(map(tuple, all_queries()["boosted_search_one_scan"](spark, str(tmp_path)).collect())))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    assert len(found[0]) == 4 and found[0] == found[1]
