@@ -6,6 +6,9 @@ import json
 import os
 import subprocess
 import sys
+from pathlib import Path
+
+import pyspark
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 RUN = """
@@ -29,7 +32,12 @@ print("FOUND" + json.dumps(found))
 
 def test_boosting_takes_its_code_along(tmp_path):
     os.makedirs(tmp_path / "shared")
-    plain = {k: v for k, v in os.environ.items() if k not in ("PYTHONPATH", "SPARK_HOME")}
+    # Workers write to a folder in Spark's home, and end the session if they cannot, as where Spark is installed read-only.
+    os.makedirs(tmp_path / "home/work")
+    for part in Path(pyspark.__file__).parent.iterdir():
+        if part.name != "work":
+            (tmp_path / "home" / part.name).symlink_to(part)
+    plain = {k: v for k, v in os.environ.items() if k not in ("PYTHONPATH", "SPARK_HOME")} | {"SPARK_HOME": f"{tmp_path}/home"}
     plain["PYTHONPATH"] = os.pathsep.join(p for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p and not p.startswith(ROOT))
     done = subprocess.run(
         [sys.executable, "-c", RUN.format(root=ROOT, work=tmp_path)],
